@@ -115,8 +115,7 @@ def normalise_title(c: Column) -> Column:
 def normalise_company(c: Column) -> Column:
     out = F.lower(F.coalesce(c, F.lit("")))
     out = F.regexp_replace(out, rf"{WORD_START}(?:{LEGAL_FORMS}){ASCII_EDGE}", " ")
-    out = F.regexp_replace(out, r"[^a-z0-9 ]", " ")
-    return F.trim(F.regexp_replace(out, r" +", " "))
+    return F.trim(F.regexp_replace(out, r"[^a-z0-9]+", " "))
 
 
 # A boundary after a form that may itself end in a dot: one side is a word character.

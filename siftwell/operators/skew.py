@@ -1,0 +1,43 @@
+"""Joins that keep a hot key from landing in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key with this many rows is hot. There are at most rows / HOT_ROWS of them, which
+# bounds what gets broadcast: 10^11 rows hold at most 10^5 hot keys.
+HOT_ROWS = 1_000_000
+SALTS = 64
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with at least ``hot_rows`` rows. The count is combined map-side."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") >= hot_rows).select(key)
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    spread: Column,
+    hot: DataFrame | None = None,
+    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join ``left`` to ``right`` on ``key`` with the hot keys of ``left`` spread out.
+
+    Rows of a hot key take one of ``salts`` salts from ``spread`` (any expression that varies
+    inside the key) and the matching ``right`` rows are repeated once per salt; all other rows
+    keep salt 0. The result equals a plain join. ``how`` is inner, left, left_semi or left_anti.
+    """
+    if hot is None:
+        hot = hot_keys(left, key, hot_rows)
+    flagged = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_left = left.join(flagged, key, "left").withColumn("_salt", salt).drop("_hot")
+    salted_right = right.join(flagged, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

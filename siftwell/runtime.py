@@ -29,6 +29,7 @@ def local_session(name: str = "siftwell", cores: str = "*", partitions: int = 8)
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
