@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
+def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1, nth: str | None = None) -> DataFrame:
+    """First ``n`` rows per key; ``nth`` names a column for the rank, from 1."""
+    name = nth or "_nth"
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= n).drop("_nth")
+    top = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
+    return top if nth else top.drop(name)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:

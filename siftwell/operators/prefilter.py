@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions.dates import older_than
+from siftwell.functions.urls import let
 from siftwell.schema import FilterRules, as_lit
 
 # The reasons, in rule order.
@@ -15,11 +18,14 @@ DROP_REASONS = ["no-keyword", "excluded-keyword", "blocked-location", "location-
 
 
 def contains_any(text: Column, needles: list[str]) -> Column:
-    """True if any needle is a substring; whole words are not required."""
-    out = F.lit(False)
-    for needle in dict.fromkeys(n.lower() for n in needles):
-        out = out | F.contains(text, F.lit(needle))
-    return out
+    """True if any needle is a substring; whole words are not required.
+
+    The text is computed once, however many needles there are.
+    """
+    lowered = list(dict.fromkeys(n.lower() for n in needles))
+    if not lowered:
+        return F.lit(False)
+    return let(text, lambda t: reduce(or_, [F.contains(t, F.lit(n)) for n in lowered]))
 
 
 def drop_reason(rules: FilterRules, now: datetime | Column) -> Column:

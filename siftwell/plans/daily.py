@@ -10,6 +10,7 @@ from siftwell.operators import dedupe as dd
 from siftwell.operators import prefilter
 from siftwell.operators.history import mark_new
 from siftwell.operators.ordering import newest_first
+from siftwell.runtime import cut_lineage
 from siftwell.schema import FilterRules
 
 
@@ -17,6 +18,7 @@ def shortlist(
     postings: DataFrame, rules: FilterRules, history: DataFrame, now: datetime | Column, order: str = "ord"
 ) -> DataFrame:
     """Postings worth scoring: filtered, deduplicated, newest first, with ``is_new``."""
-    passing = prefilter.kept(prefilter.with_drop_reason(postings, rules, now))
+    # The filter leaves a small share; the dedupe and the sort read it several times.
+    passing = cut_lineage(prefilter.kept(prefilter.with_drop_reason(postings, rules, now)))
     survivors = dd.dedupe(passing, order)
     return newest_first(mark_new(survivors, history), order=order)

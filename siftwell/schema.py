@@ -74,7 +74,7 @@ SOURCE_ORDER = [
     "remotive", "remoteok", "arbeitnow", "himalayas", "jobicy", "weworkremotely", "linkedin", "job-boards",
 ]
 
-RANK_STEP = 10**15
+RANK_STEP = 10**17
 
 
 def posting_order(source_rank: Column, seq: Column) -> Column:
