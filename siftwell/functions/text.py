@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 # The white space that a feed's own trim removes.
 SPACE = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 
+SPACE_CHARS = (
+    "\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
+
 # Word boundaries count ASCII word characters only.
 WORD_START = r"(?<![A-Za-z0-9_])"
 WORD_END = r"(?![A-Za-z0-9_])"
@@ -40,7 +45,7 @@ CUT_MARK = "\n[truncated]"
 
 def trim_space(c: Column) -> Column:
     """Trim every kind of white space, not only U+0020."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def is_blank(c: Column) -> Column:

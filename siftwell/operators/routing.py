@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions.contact import extract_apply_email
-from siftwell.functions.urls import form_url, url_parts, vendor_of
+from siftwell.functions.urls import form_url, let, url_parts, vendor_of
 from siftwell.operators.distinct import top_per_key
 
 # Sites that only link on, sites that forbid automated applications, and reasons.
@@ -24,40 +24,38 @@ def _route(**given: Column) -> Column:
     return F.struct(*[given.get(f, none).alias(f) for f in ROUTE_FIELDS])
 
 
-def with_route(postings: DataFrame, try_unknown_sites: bool = False) -> DataFrame:
-    """Add ``route``. Needs url, company, source and description.
+def route(url: Column, company: Column, source: Column, description: Column, try_unknown_sites: bool = False) -> Column:
+    """Route struct of a posting. The url is parsed once, and the address search over the
+    description is reached only by postings that no earlier rule settles."""
 
-    The url is parsed once into a helper column; the address search over the description is
-    reached only by postings that no earlier rule settled.
-    """
-    parsed = postings.withColumn("_url", url_parts(F.col("url"))).withColumn("_ats", vendor_of(F.col("_url")))
-    url, ats = F.col("url"), F.col("_ats")
-    host = F.coalesce(F.col("_url.hostname"), F.lit(""))
-    mail = F.split_part(F.substring(url, 8, 1 << 30), F.lit("?"), F.lit(1))
-    hint = F.when(F.col("source") == ats, F.col("company"))
-
-    settled = (
-        F.when(F.startswith(url, F.lit("mailto:")), F.lit("mailto"))
-        .when(ats.isNotNull(), F.lit("vendor"))
-        .when(host.rlike(NO_BOTS), F.lit("forbidden"))
-    )
-    parsed = parsed.withColumn("_by", settled)
-    address = F.when(F.col("_by").isNull(), extract_apply_email(F.coalesce(F.col("description"), F.lit(""))))
-    parsed = parsed.withColumn("_address", address)
-
-    route = (
-        F.when(F.col("_by") == "mailto", _route(lane=F.lit("email"), email=mail))
-        .when(F.col("_by") == "vendor", _route(lane=F.lit("ats"), ats=ats, apply_url=form_url(ats, F.col("_url"), url, hint)))
-        .when(F.col("_by") == "forbidden", _route(lane=F.lit("review"), reason=F.concat(host, F.lit(FORBIDDEN_REASON))))
-        .when(F.col("_address").isNotNull(), _route(lane=F.lit("email"), email=F.col("_address")))
-        .when(host.rlike(AGGREGATORS), _route(lane=F.lit("resolve")))
-    )
-    if try_unknown_sites:
-        route = route.when(host != "", _route(lane=F.lit("ats"), ats=F.lit("generic"), apply_url=url))
-    shown = F.when(host == "", F.lit("no url")).otherwise(host)
-    unsupported = F.concat(F.lit(UNSUPPORTED_REASON), shown, F.lit(")"))
-    route = route.otherwise(_route(lane=F.lit("review"), reason=unsupported))
-    return parsed.withColumn("route", route).drop("_url", "_ats", "_by", "_address")
+    def decide(u: Column, ats: Column) -> Column:
+        host = F.coalesce(u["hostname"], F.lit(""))
+        mail = F.split_part(F.substring(url, 8, 1 << 30), F.lit("?"), F.lit(1))
+        hint = F.when(source == ats, company)
+
+        def by_text(address: Column) -> Column:
+            found = F.when(address.isNotNull(), _route(lane=F.lit("email"), email=address)).when(
+                host.rlike(AGGREGATORS), _route(lane=F.lit("resolve"))
+            )
+            if try_unknown_sites:
+                found = found.when(host != "", _route(lane=F.lit("ats"), ats=F.lit("generic"), apply_url=url))
+            shown = F.when(host == "", F.lit("no url")).otherwise(host)
+            return found.otherwise(_route(lane=F.lit("review"), reason=F.concat(F.lit(UNSUPPORTED_REASON), shown, F.lit(")"))))
+
+        return (
+            F.when(F.startswith(url, F.lit("mailto:")), _route(lane=F.lit("email"), email=mail))
+            .when(ats.isNotNull(), _route(lane=F.lit("ats"), ats=ats, apply_url=form_url(ats, u, url, hint)))
+            .when(host.rlike(NO_BOTS), _route(lane=F.lit("review"), reason=F.concat(host, F.lit(FORBIDDEN_REASON))))
+            .otherwise(let(extract_apply_email(F.coalesce(description, F.lit(""))), by_text))
+        )
+
+    return let(url_parts(url), lambda u: let(vendor_of(u), lambda ats: decide(u, ats)))
+
+
+def with_route(postings: DataFrame, try_unknown_sites: bool = False) -> DataFrame:
+    """Add ``route``. Needs url, company, source and description."""
+    columns = [F.col(c) for c in ("url", "company", "source", "description")]
+    return postings.withColumn("route", route(*columns, try_unknown_sites))
 
 
 def resolve_aggregators(postings: DataFrame, links: DataFrame, order: str = "ord") -> DataFrame:

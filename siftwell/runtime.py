@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,8 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Work on text is CPU-bound: narrow rows that come out of a shuffle still deserve many tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # Feeds repeat keys now and then; the last one wins, as in any JSON reader.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -64,3 +67,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and restart its lineage there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder for one run's intermediate tables, inside the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"

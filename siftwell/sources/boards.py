@@ -20,6 +20,7 @@ from siftwell.sources.payloads import (
     truthy,
     valid,
 )
+from siftwell.operators.unnest import unnest
 from siftwell.schema import SOURCE_ORDER
 
 
@@ -191,7 +192,7 @@ def from_personio_xml(bronze: DataFrame) -> DataFrame:
     """One XML feed per company; an array schema makes one position and many look alike."""
     parsed = F.from_xml("payload", PERSONIO, {"ignoreSurroundingSpaces": "true"})
     feeds = documents(bronze, "personio").where(F.col("payload").contains("<workzag-jobs"))
-    rows = feeds.select("company", "seq", F.posexplode(parsed["position"]).alias("_pos", "p"))
+    rows = unnest(feeds, parsed["position"], "_pos", "p")
     rows = rows.select("company", document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "p")
     p = F.col("p")
     blank = F.lit("")

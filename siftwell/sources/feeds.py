@@ -28,6 +28,7 @@ from siftwell.sources.payloads import (
     text_list,
     truthy,
 )
+from siftwell.operators.unnest import unnest
 from siftwell.schema import SOURCE_ORDER
 
 ANYWHERE = "Worldwide"
@@ -146,7 +147,7 @@ def from_rss(bronze: DataFrame) -> DataFrame:
     """RSS items titled ``Company: Title``."""
     parsed = F.from_xml("payload", RSS, {"ignoreSurroundingSpaces": "true"})
     feeds = documents(bronze, "weworkremotely").where(F.col("payload").contains("<rss"))
-    rows = feeds.select("seq", F.posexplode(parsed["channel"]["item"]).alias("_pos", "item"))
+    rows = unnest(feeds, parsed["channel"]["item"], "_pos", "item")
     rows = rows.select(document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "item")
     item, blank = F.col("item"), F.lit("")
     title = F.coalesce(item["title"], blank)
@@ -186,7 +187,7 @@ def from_linkedin_cards(bronze: DataFrame) -> DataFrame:
         found(CARD_COMPANY, 1).alias("company"),
         found(CARD_LOCATION, 1).alias("place"),
     )
-    rows = documents(bronze, "linkedin").select("seq", F.posexplode(cards).alias("_pos", "card"))
+    rows = unnest(documents(bronze, "linkedin"), cards, "_pos", "card")
     # Zipping pads the shorter lists; a company or place without a link is no card.
     rows = rows.where(F.col("card.href").isNotNull())
     rows = rows.select(document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "card")

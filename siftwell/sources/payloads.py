@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from siftwell.functions.dates import number_to_timestamp, text_to_timestamp
 from siftwell.functions.text import is_blank
 from siftwell.functions.urls import let
+from siftwell.operators.unnest import unnest
 from siftwell.schema import POSTING_COLUMNS
 
 # Postings of one document are numbered inside this step.
@@ -105,7 +106,7 @@ def explode_list(bronze: DataFrame, source: str, path: str | None) -> DataFrame:
     """
     parsed = F.try_parse_json(F.col("payload"))
     items = F.try_variant_get(parsed, "$" if path is None else f"$.{path}", "array<variant>")
-    rows = documents(bronze, source).select("company", "seq", F.posexplode(items).alias("_pos", "raw"))
+    rows = unnest(documents(bronze, source), items, "_pos", "raw")
     return rows.select("company", document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "raw")
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from siftwell.operators.history import unseen
-
 
 def run_available(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
@@ -58,8 +56,8 @@ def stream_first_seen(stream: DataFrame, target: str, checkpoint: str, moment: s
             known = spark.read.schema("url string, first_seen date, batch bigint").parquet(target).where(F.col("batch") < batch_id)
         else:
             known = spark.createDataFrame([], "url string, first_seen date")
-        fresh = unseen(first, known, F.lit(None).cast("timestamp")).select("url")
-        dated = fresh.join(first, "url").select("url", F.to_date("_at").alias("first_seen"))
-        dated.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        named = first.where(F.coalesce(F.col("url"), F.lit("")) != "")
+        fresh = named.join(known.select("url"), "url", "left_anti")
+        fresh.select("url", F.to_date("_at").alias("first_seen")).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return run_available(stream, handle, checkpoint)
