@@ -429,7 +429,7 @@ def union_ranked(spark, sf_dir):
 @query(
     "valid_posting",
     f"""WITH {MIXED_SQL} SELECT src AS source, count(*) AS n,
-  sum(CASE WHEN src = 'remotive' AND l_linenumber = 1 THEN 1 ELSE 0 END) AS without_url
+  count(*) FILTER (src = 'remotive' AND l_linenumber = 1) AS without_url
 FROM m WHERE error IS NULL AND NOT (src = 'lever' AND l_linenumber = 1) GROUP BY src""",
 )
 def valid_posting(spark, sf_dir):

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from siftwell.functions.text import golden_id
 from siftwell.operators import dedupe as dd
-from siftwell.operators import prefilter
-from siftwell.operators.history import mark_new
+from siftwell.operators import prefilter, reports, scoring, sinks
+from siftwell.operators.history import mark_new, unseen, with_age
 from siftwell.operators.ordering import newest_first
 from siftwell.runtime import cut_lineage
-from siftwell.schema import FilterRules
+from siftwell.schema import HISTORY, FilterRules
+from siftwell.sources import collect
 
 
 def shortlist(
@@ -22,3 +27,62 @@ def shortlist(
     passing = cut_lineage(prefilter.kept(prefilter.with_drop_reason(postings, rules, now)))
     survivors = dd.dedupe(passing, order)
     return newest_first(mark_new(survivors, history), order=order)
+
+
+@dataclass(frozen=True)
+class DailyRun:
+    """What a daily run produced. Everything is also written below its root."""
+
+    scored: DataFrame
+    sources: DataFrame
+    totals: DataFrame
+    drop_counts: DataFrame
+
+
+def run_daily(
+    bronze: DataFrame,
+    root: str,
+    rules: FilterRules,
+    now: datetime,
+    details: DataFrame | None = None,
+    make_scorer: Callable[[], scoring.Scorer] | None = None,
+    profile: scoring.Profile | None = None,
+    prompt: str = scoring.DEFAULT_PROMPT,
+) -> DailyRun:
+    """One run over a landing table, written below ``root``.
+
+    Postings and scores are written once and read back, so nothing is parsed or paid for twice.
+    The history is appended after the outputs, and an unhealthy run raises at the very end.
+    """
+    spark = bronze.sparkSession
+    if make_scorer is not None:
+        scoring.prompt_for(prompt)
+    good, bad = collect.quarantine(bronze)
+    silver = f"{root}/silver/run_date={now:%Y-%m-%d}"
+    collect.collect_bronze(good, details).write.mode("overwrite").parquet(silver)
+    postings = spark.read.parquet(silver)
+
+    marked = prefilter.with_drop_reason(postings, rules, now)
+    passing = cut_lineage(prefilter.kept(marked))
+    deduped = cut_lineage(dd.dedupe(passing))
+    if make_scorer is None:
+        scored = scoring.score_disabled(deduped)
+    else:
+        keyed = deduped.withColumn("id", golden_id(F.col("url"), F.col("company"), F.col("title")))
+        scores = scoring.score_once(keyed, make_scorer, profile, f"{root}/scores", prompt)
+        scored = keyed.join(scores.select("id", "classification"), "id").drop("id")
+
+    history = sinks.load_state(spark, f"{root}/history", HISTORY, on_corrupt="empty")
+    scored = cut_lineage(mark_new(scored, history).drop("first_seen"))
+    sources = cut_lineage(reports.source_report(postings, bad, bronze.select("source").distinct()))
+    totals = cut_lineage(reports.run_totals(marked, deduped, scored))
+
+    sinks.write_snapshots(scored, root, now.date())
+    sinks.write_csv(newest_first(scored), f"{root}/latest_csv")
+    sections = reports.digest_sections(with_age(scored, history, now))
+    sinks.write_lines(reports.digest_lines(sections, sources, now), f"{root}/digest", "part", "place")
+    run = reports.run_report(sources, totals, now, now)
+    run.write.mode("overwrite").json(f"{root}/run_report")
+    sinks.append_state(unseen(scored, history, now), f"{root}/history")
+    reports.require_health(sources)
+    return DailyRun(scored, sources, totals, prefilter.drop_counts(marked))

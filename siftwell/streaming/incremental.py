@@ -43,21 +43,27 @@ def ingest(
 
 
 def stream_first_seen(stream: DataFrame, target: str, checkpoint: str, moment: str = "ts") -> StreamingQuery:
-    """First-seen state as a table of batches: urls not in an earlier batch, with their date.
+    """First-seen state as a table of batches; read it with :func:`first_seen_table`.
 
-    Nothing expires, so the state lives in the table and no watermark is needed. A repeated batch
-    reads only the folders of earlier batches and overwrites its own.
+    Nothing expires, so the state lives in the table and no watermark is needed. A batch adds a url
+    it knows no date for, and also one that a late file dates earlier than all batches before. A
+    repeated batch reads only the folders of earlier batches and overwrites its own.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = batch.groupBy("url").agg(F.min(moment).alias("_at"))
+        named = batch.where(F.coalesce(F.col("url"), F.lit("")) != "")
+        first = named.groupBy("url").agg(F.to_date(F.min(moment)).alias("first_seen"))
         if batch_id > 0:
-            known = spark.read.schema("url string, first_seen date, batch bigint").parquet(target).where(F.col("batch") < batch_id)
-        else:
-            known = spark.createDataFrame([], "url string, first_seen date")
-        named = first.where(F.coalesce(F.col("url"), F.lit("")) != "")
-        fresh = named.join(known.select("url"), "url", "left_anti")
-        fresh.select("url", F.to_date("_at").alias("first_seen")).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            known = first_seen_table(batch.sparkSession, target, batch_id).withColumnRenamed("first_seen", "_known")
+            first = first.join(known, "url", "left").where(F.col("_known").isNull() | (F.col("first_seen") < F.col("_known")))
+        first.select("url", "first_seen").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return run_available(stream, handle, checkpoint)
+
+
+def first_seen_table(spark: SparkSession, target: str, before_batch: int | None = None) -> DataFrame:
+    """History as (url, first_seen), from all batches or from those before one."""
+    rows = spark.read.schema("url string, first_seen date, batch bigint").parquet(target)
+    if before_batch is not None:
+        rows = rows.where(F.col("batch") < before_batch)
+    return rows.groupBy("url").agg(F.min("first_seen").alias("first_seen"))
