@@ -45,5 +45,5 @@ def run_evaluation(
     joined = evaluate.join_predictions(tagged, predictions, ["version", "id"])
     metrics = evaluate.metrics(joined, ["version"])
     cost = scoring.score_stats(predictions, ["version"], pricing)
-    wrong = evaluate.disagreements(joined.drop("id").withColumn("id", F.concat_ws(":", "version", joined["id"])))
+    wrong = evaluate.disagreements(joined.withColumn("id", F.concat_ws(":", "version", "id")))
     return Evaluation(metrics.join(cost, "version"), wrong)

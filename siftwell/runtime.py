@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SQL_SETTINGS = {
@@ -23,6 +25,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings the operators rely on to a running session."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    # The few functions that run in Python workers travel with the job, so executors need no
+    # installed copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules["siftwell"])
     return spark
 
 

@@ -9,7 +9,9 @@ from siftwell.runtime import local_session  # noqa: E402
 
 
 # Column expressions need a running session, also those that test modules build on import.
-SESSION = local_session("tests", cores="8")
+SESSION = local_session("tests", cores="8", partitions=4)
+# A few rows per test: compiling every stage would take longer than running it.
+SESSION.conf.set("spark.sql.codegen.wholeStage", "false")
 
 
 @pytest.fixture(scope="session")
