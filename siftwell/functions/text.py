@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftwell.functions.bind import let
+
 # The white space that a feed's own trim removes.
 SPACE = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 
@@ -65,16 +67,26 @@ def join_parts(parts: list[Column], sep: str = " / ") -> Column:
 
 
 def strip_html(c: Column) -> Column:
-    """Markup to plain text. Tags go before entities, so escaped markup stays as text."""
-    out = F.regexp_replace(c, rf"(?i)<br{SPACE}*/?>", "\n")
-    out = F.regexp_replace(out, r"(?i)</(?:p|div|li|h[1-6])>", "\n")
-    out = F.regexp_replace(out, r"<[^>]*>", " ")
-    for entity, char in ENTITIES:
-        out = F.regexp_replace(out, f"(?i){entity}", char)
-    out = F.regexp_replace(out, r"[ \t]+", " ")
-    out = F.regexp_replace(out, r" *\n *", "\n")
-    out = F.regexp_replace(out, r"\n{3,}", "\n\n")
-    return trim_space(out)
+    """Markup to plain text. Tags go before entities, so escaped markup stays as text.
+
+    Each group of passes runs only over text that holds the character it is about.
+    """
+
+    def untag(t: Column) -> Column:
+        out = F.regexp_replace(t, rf"(?i)<br{SPACE}*/?>|</(?:p|div|li|h[1-6])>", "\n")
+        return F.when(F.contains(t, F.lit("<")), F.regexp_replace(out, r"<[^>]*>", " ")).otherwise(t)
+
+    def decode(t: Column) -> Column:
+        out = t
+        for entity, char in ENTITIES:
+            out = F.regexp_replace(out, f"(?i){entity}", char)
+        return F.when(F.contains(t, F.lit("&")), out).otherwise(t)
+
+    def squeeze(t: Column) -> Column:
+        out = F.regexp_replace(F.regexp_replace(t, r" *\n *", "\n"), r"\n{3,}", "\n\n")
+        return trim_space(F.when(F.contains(t, F.lit("\n")), out).otherwise(t))
+
+    return let(let(let(c, untag), decode), lambda t: let(F.regexp_replace(t, r"[ \t]+", " "), squeeze))
 
 
 def truncate(c: Column, limit: int) -> Column:

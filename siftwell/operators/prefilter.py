@@ -9,8 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.functions.bind import let
 from siftwell.functions.dates import older_than
-from siftwell.functions.urls import let
 from siftwell.schema import FilterRules, as_lit
 
 # The reasons, in rule order.

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.functions.bind import let
 from siftwell.functions.contact import extract_apply_email
-from siftwell.functions.urls import form_url, let, url_parts, vendor_of
+from siftwell.functions.urls import form_url, url_parts, vendor_of
 from siftwell.operators.distinct import top_per_key
 
 # Sites that only link on, sites that forbid automated applications, and reasons.

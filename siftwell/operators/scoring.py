@@ -12,8 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.functions.bind import let
 from siftwell.functions.text import trim_space
-from siftwell.functions.urls import let
 from siftwell.operators.evaluate import with_cost
 from siftwell.schema import EMPLOYMENT_TYPES, Pricing
 from siftwell.sources.payloads import field, is_number, kind, number_text

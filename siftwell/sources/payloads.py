@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.functions.bind import let
 from siftwell.functions.dates import number_to_timestamp, text_to_timestamp
 from siftwell.functions.text import is_blank
-from siftwell.functions.urls import let
 from siftwell.operators.unnest import unnest
 from siftwell.schema import POSTING_COLUMNS
 
