@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Work on text is CPU-bound: narrow rows that come out of a shuffle still deserve many tasks.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    # Beyond 8000 bytes the JVM does not compile a method; split expressions run faster then.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Feeds repeat keys now and then; the last one wins, as in any JSON reader.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
