@@ -106,7 +106,7 @@ def digest_sections(spark, sf_dir):
     "digest_text",
     f"""WITH {STAR_SQL}, {SEEN_SQL}, {SCORED_SQL}, d AS (SELECT CASE WHEN confidence < 0.6 THEN 3 WHEN url NOT IN (SELECT url FROM seen) THEN 1 ELSE 2 END AS section FROM scored WHERE eligible),
 n AS (SELECT count(*) FILTER (section = 1) AS a, count(*) FILTER (section = 2) AS b, count(*) FILTER (section = 3) AS c FROM d)
-SELECT 0 AS part, '# Job radar — 2001-09-01' || chr(10) || chr(10) || a || ' new, ' || b || ' still open, ' || c || ' needing a look.' AS line FROM n
+SELECT 0 AS part, '# Postings — 2001-09-01' || chr(10) || chr(10) || a || ' new, ' || b || ' still open, ' || c || ' needing a look.' AS line FROM n
 UNION ALL SELECT DISTINCT section, '## ' || ['New today', 'Still open', 'Low confidence, worth a glance'][section] FROM d
 UNION ALL SELECT 4, '- broken: feed is down'""",
 )

@@ -174,7 +174,9 @@ def digest_entry() -> Column:
     return F.when(F.col("section") == 3, short).otherwise(full)
 
 
-def digest_lines(sections: DataFrame, sources: DataFrame, now: datetime | Column, order: str = "ord") -> DataFrame:
+def digest_lines(
+    sections: DataFrame, sources: DataFrame, now: datetime | Column, order: str = "ord", heading: str = "Postings"
+) -> DataFrame:
     """The digest as ordered lines (``part``, ``place``, ``line``); write it after a sort by them.
 
     Entries keep the newest-first order of the scored postings.
@@ -185,7 +187,7 @@ def digest_lines(sections: DataFrame, sources: DataFrame, now: datetime | Column
         F.lit(0).alias("part"),
         F.lit(0).cast("bigint").alias("place"),
         F.concat(
-            F.lit("# Job radar — "), day, F.lit("\n\n"),
+            F.lit(f"# {heading} — "), day, F.lit("\n\n"),
             F.format_string("%d new, %d still open, %d needing a look.", "fresh", "ongoing", "review"),
             F.when(F.col("fresh") + F.col("ongoing") + F.col("review") == 0, F.lit("\n\n" + NOTHING_TODAY)).otherwise(F.lit("")),
         ).alias("line"),

@@ -299,7 +299,7 @@ def test_run_daily_end_to_end(spark, tmp_path):
     assert {r["source"]: r["error"] for r in run.sources.collect()} == {"greenhouse": "1 company slug(s) failed: lost", "remotive": None}
     assert sorted(r["url"] for r in sinks.read_csv(spark, f"{root}/latest_csv").collect()) == ["https://x.example.com/1", "https://x.example.com/3"]
     digest = [r["value"] for r in spark.read.text(f"{root}/digest").collect()]
-    assert digest[0] == "# Job radar — 2024-05-15" and "0 new, 0 still open, 2 needing a look." in digest
+    assert digest[0] == "# Postings — 2024-05-15" and "0 new, 0 still open, 2 needing a look." in digest
     again = run_daily(landing.read_landed(spark, landed), root, rules, datetime(2024, 5, 16, 9))
     assert again.totals.first()["new_since_last_run"] == 0
     scored_run = run_daily(landing.read_landed(spark, landed), str(tmp_path / "scored"), rules, NOW, make_scorer=flaky, profile=PROFILE)
