@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftwell.catalog.inputs import NOW, REASON_SQL, RULES, STAR_SQL, event_postings, postings_star, rounds_sql, table
+from siftwell.catalog.inputs import NOW, REASON_SQL, RULES, STAR_SQL, postings_star, rounds_sql, table
 from siftwell.catalog.registry import query
 from siftwell.operators import dedupe as dd
-from siftwell.operators import distinct, prefilter
+from siftwell.operators import prefilter
 from siftwell.plans.daily import shortlist
 
 # The dedupe keys of a supplier name: '#' becomes a blank.
