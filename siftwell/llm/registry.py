@@ -1,0 +1,32 @@
+"""Queries of this package and their comparison SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from siftwell.runtime import configure
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(configure(spark), sf_dir)
+
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+
+    return add
