@@ -3,9 +3,86 @@
 from __future__ import annotations
 
 
-from siftwell.llm import urlrules, winnowing
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from siftwell.llm import bitslices, maintext, packing, secrets, simhash, tokencount, toxicity, urlrules, winnowing
 from siftwell.llm.registry import ORACLES, QUERIES, query, table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Rows that no model learns from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
+@query("op1_html_extraction")
+def op1_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    pages = maintext.extract(table(spark, sf_dir, "pages"), maintext.train(spark))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query(
+    "op2_exact_topk_search",
+    """WITH n AS (SELECT vec_id, embedding AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, list_transform(e, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q FROM n),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
+SELECT * FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+  AS rank, vec_id, score FROM s) WHERE rank <= 20""",
+)
+def op2_exact_topk_search(spark, sf_dir):
+    """The 20 best rows for every row whose id is divisible by 20."""
+    return bitslices.exact_top(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), learn=~held_out())
+    return toxicity.score(documents, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op4_packing")
+def op4_packing(spark, sf_dir):
+    """Pieces of all documents in windows of 2048 tokens."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op5_secret_scans")
+def op5_secret_scans(spark, sf_dir):
+    """Every candidate in every document with the forest's vote."""
+    forest = secrets.train(secrets.labelled_findings(spark))
+    found = secrets.findings(table(spark, sf_dir, "documents"), forest)
+    return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "secret")
+
+
+@query("op7_simhash_near_dedup")
+def op7_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark, sf_dir):
+    """Greedy longest-match tokens of every document."""
+    entries = tokencount.read_vocabulary(VOCABULARY)
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), entries)
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
