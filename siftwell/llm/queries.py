@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from siftwell.llm import bitslices, maintext, packing, secrets, simhash, tokencount, toxicity, urlrules, winnowing
+from siftwell.llm import bitslices, maintext, packing, secrets, simhash, suffixes, tokencount, toxicity, urlrules, winnowing
 from siftwell.llm.registry import ORACLES, QUERIES, query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,6 +70,19 @@ def op5_secret_scans(spark, sf_dir):
     return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "secret")
 
 
+@query("op6_suffix_array_dedup")
+def op6_suffix_array_dedup(spark, sf_dir):
+    """What is left of every document without strings of 50 bytes that an earlier one holds."""
+    found = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op7_simhash_near_dedup")
 def op7_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and component of every document."""

@@ -6,8 +6,8 @@ insult, or left out, lowers the value without making it zero. The kernel space i
 Nystroem landmarks, a linear SVM is trained in it, and a text scores by its most toxic span.
 
 A span is a word, lower-cased and without signs at its ends; words over ``SPAN`` characters are
-read in overlapping pieces, and three or more single characters in a row also as one span
-("i d i o t"). A sentence is what stands between end marks or line breaks.
+read in overlapping pieces. A word with signs inside is also read without them, and three or more
+single characters in a row also as one span ("i d i o t"). A sentence is what stands between end marks or line breaks.
 
 Training looks at labelled sentences: a sentence carries the label of its document, equal sentences
 count once (so copies of a wrongly labelled document weigh no more than it does), and a span is a
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from siftwell.runtime import cut_lineage
 
 ORDER = 3
-DECAY = 0.6
+DECAY = 0.8
 SPAN = 24
 DOCS = 4000
 SPANS = 20_000
@@ -55,6 +55,7 @@ THRESHOLD = 0.3
 
 _SINGLES = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 _ENDS = re.compile(r"^[\W_]+|[\W_]+$")
+_SIGNS = re.compile(r"[\W_]+")
 _SENTENCE = r"[.!?\n]+"
 
 
@@ -157,6 +158,8 @@ def best_margins(texts: list[str | None], model: Model, known: dict[str, float])
             span = span_of(word)
             if len(span) >= ORDER:
                 found.update((span,) if len(span) <= SPAN else pieces(span))
+                if not span.isalnum():
+                    found.update(pieces(_SIGNS.sub("", span)))
         found.update(spelled(text))
         spans.append(found)
     if len(known) > CACHE:
