@@ -72,7 +72,8 @@ LABELLED = [
     (1, 1.0, 60, 0.0, 1, 1.0, 0, 0, 0, 0), (6, 0.8, 5, 0.9, 7, 0.8, 0, 0, 0, 0), (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0),
     (3, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (5, 0.0, 4, 0.9, 0, 0.0, 0, 0, 0, 0), (12, 0.9, 3, 1.0, 2, 1.0, 0, 0, 0, 0),
     (20, 0.7, 40, 0.0, 2, 1.0, 0, 0, 0, 0), (35, 0.8, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 1, 0.0, 0, 0, 0, 0),
-    (60, 0.0, 2, 1.0, 50, 0.0, 0, 0, 0, 1), (50, 0.0, 60, 0.0, 40, 0.0, 0, 0, 0, 1), (40, 0.05, 50, 0.0, 2, 1.0, 0, 0, 0, 1),
+    (2, 1.0, 50, 0.0, 0, 0.0, 0, 0, 0, 0), (1, 1.0, 90, 0.0, 0, 0.0, 0, 0, 0, 0), (4, 1.0, 60, 0.0, 60, 0.0, 0, 0, 0, 0),
+    (2, 0.0, 70, 0.0, 0, 0.0, 0, 0, 0, 0), (60, 0.0, 2, 1.0, 50, 0.0, 0, 0, 0, 1), (50, 0.0, 60, 0.0, 40, 0.0, 0, 0, 0, 1), (40, 0.05, 50, 0.0, 2, 1.0, 0, 0, 0, 1),
     (18, 0.0, 60, 0.0, 70, 0.0, 0, 0, 0, 1), (30, 0.1, 10, 0.0, 45, 0.0, 0, 0, 0, 1), (120, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
     (25, 0.2, 35, 0.0, 30, 0.1, 0, 0, 0, 1), (15, 0.0, 40, 0.0, 25, 0.0, 0, 0, 0, 1), (300, 0.0, 1, 1.0, 5, 0.0, 0, 0, 0, 1),
     (7, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 1), (9, 0.0, 50, 0.0, 45, 0.0, 0, 0, 1, 1), (5, 0.0, 0, 0.0, 90, 0.0, 0, 0, 1, 1),
@@ -89,7 +90,8 @@ def train(spark: SparkSession, labelled: list[tuple] = LABELLED) -> tuple:
 
 def _is_aside(attributes: str) -> bool:
     for _, a, b, c in ATTRIBUTE.findall(attributes):
-        words = SPLIT_WORDS.split(CAMEL.sub(" ", a or b or c).lower())
+        value = a or b or c
+        words = SPLIT_WORDS.split(value.lower()) + SPLIT_WORDS.split(CAMEL.sub(" ", value).lower())
         if not ASIDE_WORDS.isdisjoint(words):
             return True
     return False

@@ -13,6 +13,12 @@ a subtree returns a spanning star per group instead of its pairs. Subtrees do no
 number of copies: what is equal is merged, and there are at most 43,745 different fingerprints
 within 3 bits of one.
 
+``similar_documents`` looks for texts whose word shingles have a Jaccard similarity of at least
+``similarity``, which few bits of one fingerprint do not show. It routes by several fingerprints of
+the distinct words, each with its own tries, and links a pair that meets there only if a wide
+fingerprint of the distinct shingles (``WIDE`` x 64 bits) agrees: the share of differing bits estimates the
+angle between the shingle vectors, and with it the similarity, to about 0.03.
+
 Cases: a text of fewer words than a shingle is one shingle; no words (null, empty, white space)
 give fingerprint zero, which links like any other. A row with a null id gets the component of its
 fingerprint but can give none. Repeated rows stay. Other columns are ignored.
@@ -20,6 +26,7 @@ fingerprint but can give none. Repeated rows stay. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -30,11 +37,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.llm.components import components
+from siftwell.llm.suffixes import mix
 from siftwell.runtime import cut_lineage
 
 SHINGLE = 3
 BITS = 3
 SEED = 42
+SIMILARITY = 0.8
+SIMILAR_SHINGLE = 5
+ROUTES = 8
+WIDE = 8
 # Shingles whose bits are counted at once, and node pairs that are walked at once.
 COUNT_AT_ONCE = 1 << 17
 PAIRS_AT_ONCE = 1 << 18
@@ -43,7 +55,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """XXH64 of every shingle of a text's words."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+    words = words_of(text)
     if not words:
         return np.zeros(0, np.uint64)
     line = b" ".join(words)
@@ -56,14 +68,16 @@ def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, cuts, repeat(SEED)), np.uint64, n)
 
 
-def _majority(hashes: list[np.ndarray]) -> np.ndarray:
-    """Fingerprints of several texts from their shingle hashes."""
-    sizes = np.array([len(h) for h in hashes])
-    totals = np.zeros((len(hashes), 64), np.int64)
-    joined = np.concatenate(hashes) if len(hashes) else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(hashes)), sizes)
-    for at in range(0, len(joined), COUNT_AT_ONCE):
-        part, own = joined[at : at + COUNT_AT_ONCE], owner[at : at + COUNT_AT_ONCE]
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+
+
+def _majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Fingerprints of several texts from their hashes, laid end to end."""
+    totals = np.zeros((len(sizes), 64), np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    for at in range(0, len(hashes), COUNT_AT_ONCE):
+        part, own = hashes[at : at + COUNT_AT_ONCE], owner[at : at + COUNT_AT_ONCE]
         bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         totals[own[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int64)
@@ -71,27 +85,39 @@ def _majority(hashes: list[np.ndarray]) -> np.ndarray:
     return np.packbits(ones, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(p) for p in parts], np.int64)
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), sizes
+
+
+def _batched(column: pa.ChunkedArray | pa.Array, hashed) -> Iterator[list]:
+    """What ``hashed`` gives for the texts of a column, in groups of about COUNT_AT_ONCE hashes."""
+    held, size = [], 0
+    for text in column:
+        held.append(hashed(text.as_py()))
+        size += len(held[-1])
+        if size > COUNT_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def fingerprints(documents: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     """(``doc``, ``print``); the 64 bits are a signed long."""
     source = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, held, size = [], [], 0
-            for words in batch.column(1):
-                held.append(shingle_hashes(words.as_py(), shingle))
-                size += len(held[-1])
-                if size > COUNT_AT_ONCE:
-                    found.append(_majority(held))
-                    held, size = [], 0
-            found.append(_majority(held))
-            prints = pa.array(np.concatenate(found).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc", "print"])
+            groups = _batched(batch.column(1), lambda t: shingle_hashes(t, shingle))
+            found = [_majority(*_joined(g)) for g in groups]
+            prints = np.concatenate(found) if found else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc", "print"])
 
     return source.mapInArrow(run, "doc long, print long")
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
+def _roots(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Smallest reachable index after adding edges a-b to a forest of labels."""
     while True:
         low = np.minimum(label[a], label[b])
@@ -108,23 +134,38 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarra
         label = new
 
 
-def trie_groups(keys: np.ndarray, top: int, bits: int) -> np.ndarray:
-    """For sorted distinct 64-bit keys: the smallest index each is linked to through keys that
-    share their ``top`` highest bits and differ in ``bits`` bits or fewer."""
+def trie_groups(keys: np.ndarray, top: int, bits: int, agree=None) -> np.ndarray:
+    """For sorted 64-bit keys: the smallest index each is linked to through keys that share their
+    ``top`` highest bits, differ in ``bits`` bits or fewer and, if ``agree`` is given, pass it."""
     n = len(keys)
     label = np.arange(n)
+
+    def linked(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        close = np.flatnonzero((i != j) & (np.bitwise_count(keys[i] ^ keys[j]) <= bits))
+        if agree is None or not len(close):
+            return close
+        return close[agree(i[close], j[close])]
+
     if n < 2:
         return label
     shift = np.uint64(64 - top)
     head = keys >> shift
     # Neighbours in trie order are the likeliest links; grouping them first lets whole nodes drop out.
-    near = np.flatnonzero((np.bitwise_count(keys[1:] ^ keys[:-1]) <= bits) & (head[1:] == head[:-1]))
+    near = np.flatnonzero(head[1:] == head[:-1])
+    near = near[linked(near, near + 1)]
     if len(near):
-        label = _roots(n, near, near + 1, label)
+        label = _roots(near, near + 1, label)
     first = np.flatnonzero(np.r_[True, head[1:] != head[:-1]])
     last = np.r_[first[1:], n]
-    stack = [(top, first, last, first, last, np.zeros(len(first), np.int8))]
+    stack: list = [(top, first, last, first, last, np.zeros(len(first), np.int8))]
     while stack:
+        if not isinstance(stack[-1], tuple):
+            # Pairs below leaves come in bounded numbers.
+            pairs = next(stack[-1], None)
+            if pairs is None:
+                stack.pop()
+                continue
+            stack.append(pairs)
         depth, al, ah, bl, bh, diff = stack.pop()
         if len(al) > PAIRS_AT_ONCE:
             stack.append((depth, *(x[PAIRS_AT_ONCE:] for x in (al, ah, bl, bh, diff))))
@@ -136,11 +177,15 @@ def trie_groups(keys: np.ndarray, top: int, bits: int) -> np.ndarray:
         single = (ah - al == 1) & (bh - bl == 1)
         if single.any():
             i, j = al[single], bl[single]
-            close = (i != j) & (np.bitwise_count(keys[i] ^ keys[j]) <= bits)
-            if close.any():
-                label = _roots(n, i[close], j[close], label)
+            close = linked(i, j)
+            if len(close):
+                label = _roots(i[close], j[close], label)
             al, ah, bl, bh, diff = (x[~single] for x in (al, ah, bl, bh, diff))
-        if not len(al) or depth == 64:
+        if not len(al):
+            continue
+        if depth == 64:
+            # Nodes of equal keys: their entries are walked one by one.
+            stack.append(_within(al, ah, bl, bh, diff))
             continue
         bit = np.uint64(1) << np.uint64(63 - depth)
         above = ~(bit | (bit - np.uint64(1)))
@@ -163,51 +208,72 @@ def trie_groups(keys: np.ndarray, top: int, bits: int) -> np.ndarray:
     return label
 
 
-def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """(``a``, ``b``): a spanning set of links between entries ``rep`` (unique long) of ``print``."""
+def _within(al, ah, bl, bh, diff) -> Iterator[tuple]:
+    """Pairs of entries below pairs of leaves, a bounded number at a time."""
+    sizes = (ah - al) * (bh - bl)
+    ends = np.cumsum(sizes)
+    for at in range(0, int(ends[-1]), PAIRS_AT_ONCE):
+        number = np.arange(at, min(at + PAIRS_AT_ONCE, int(ends[-1])))
+        leaf = np.searchsorted(ends, number, side="right")
+        inner = number - (ends[leaf] - sizes[leaf])
+        i, j = al[leaf] + inner // (bh - bl)[leaf], bl[leaf] + inner % (bh - bl)[leaf]
+        once = i < j
+        i, j = i[once], j[once]
+        yield 64, i, i + 1, j, j + 1, diff[leaf][once]
+
+
+def links(entries: DataFrame, bits: int, far: int | None = None) -> DataFrame:
+    """(``a``, ``b``): a spanning set of links between entries ``rep`` (unique long) by any of their
+    ``routes`` (array of fingerprints); with ``far``, only if ``wide`` differs in no more bits."""
     tries = bits + 1
     borders = [64 * t // tries for t in range(tries + 1)]
-    turned = [_turned(F.col("print"), b).alias("key") for b in borders[:-1]]
-    heights = [borders[t + 1] - borders[t] for t in range(tries)]
-    rows = prints.select(
-        "rep",
-        F.explode(F.array(*[F.struct(F.lit(t).alias("trie"), turned[t]) for t in range(tries)])).alias("e"),
-    ).select("rep", "e.trie", "e.key")
     # The height of the cut differs by a bit at most between tries when 64 is no multiple of them.
-    head = F.shiftrightunsigned("key", 64 - min(heights))
+    top = min(borders[t + 1] - borders[t] for t in range(tries))
+    turned = lambda route, r: F.array(
+        *[F.struct((r * tries + t).alias("trie"), _turned(route, borders[t]).alias("key")) for t in range(tries)]
+    )
+    wide = F.lit(b"").alias("wide") if far is None else F.col("wide")
+    rows = entries.select("rep", wide, F.explode(F.flatten(F.transform("routes", turned))).alias("e"))
+    rows = rows.select("e.trie", "e.key", "rep", "wide")
     # Flipping the sign bit sorts signed longs as unsigned ones.
-    rows = rows.repartition("trie", head).sortWithinPartitions("trie", F.col("key").bitwiseXOR(F.lit(-(1 << 63))))
-    top = min(heights)
+    rows = rows.repartition("trie", F.shiftrightunsigned("key", 64 - top)).sortWithinPartitions(
+        "trie", F.col("key").bitwiseXOR(F.lit(-(1 << 63)))
+    )
 
-    def close(trie, keys, reps):
-        label = trie_groups(keys, top, bits)
+    def close(trie, keys, reps, wides):
+        agree = None
+        if far is not None:
+            agree = lambda i, j: np.bitwise_count(wides[i] ^ wides[j]).sum(axis=1) <= far
+        label = trie_groups(keys, top, bits, agree)
         linked = np.flatnonzero(label != np.arange(len(keys)))
         return pa.RecordBatch.from_arrays([pa.array(reps[linked]), pa.array(reps[label[linked]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Subtrees come in order; those that are complete are joined as soon as enough are there."""
+        """Subtrees come in order; those that are complete are joined as soon as a batch has them."""
         kept: tuple | None = None
         for batch in batches:
+            body = b"".join(batch.column(3).to_pylist())
             part = (
-                batch.column(1).to_numpy(zero_copy_only=False),
-                batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64),
                 batch.column(0).to_numpy(zero_copy_only=False),
+                batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64),
+                batch.column(2).to_numpy(zero_copy_only=False),
+                np.frombuffer(body, np.uint64).reshape(batch.num_rows, -1),
             )
             if kept is not None:
                 part = tuple(np.concatenate(x) for x in zip(kept, part, strict=True))
-            trie, keys, reps = part
+            trie, keys = part[:2]
             if not len(keys):
                 continue
             last = (trie == trie[-1]) & (keys >> np.uint64(64 - top) == keys[-1] >> np.uint64(64 - top))
             begin = int(np.argmax(last))
             for t in np.unique(trie[:begin]):
                 at = np.flatnonzero(trie[:begin] == t)
-                yield close(t, keys[at], reps[at])
+                yield close(*(x[at] for x in part))
             kept = tuple(x[begin:] for x in part)
         if kept is not None and len(kept[0]):
-            yield close(kept[0][0], kept[1], kept[2])
+            yield close(*kept)
 
-    return rows.select("rep", "trie", "key").mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _turned(value: Column, by: int) -> Column:
@@ -217,25 +283,87 @@ def _turned(value: Column, by: int) -> Column:
     return F.shiftleft(value, by).bitwiseOR(F.shiftrightunsigned(value, 64 - by))
 
 
+def _named(prints: DataFrame, keys: list[str], bits: int, far: int | None = None) -> DataFrame:
+    """``prints`` (``doc``, ``keys``) with ``component_id``; rows equal in ``keys`` are one entry."""
+    entries = prints.groupBy(*keys).agg(F.min("doc").alias("rep"))
+    if "routes" not in keys:
+        entries = entries.withColumn("routes", F.array("print"))
+    entries = cut_lineage(entries)
+    found = components(links(entries.where(F.col("rep").isNotNull()), bits, far))
+    named = entries.join(found, entries["rep"] == found["node"], "left").select(
+        *keys, F.coalesce("component", "rep").alias("component_id")
+    )
+    return prints.join(named, keys)
+
+
 def near_duplicates(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS
 ) -> DataFrame:
     """(id as long, ``fingerprint`` as 16 hex digits, ``component_id``) for every row."""
     prints = cut_lineage(fingerprints(documents, doc_id, text, shingle))
-    reps = cut_lineage(prints.groupBy("print").agg(F.min("doc").alias("rep")))
-    found = components(links(reps.where(F.col("rep").isNotNull()), bits))
-    named = reps.join(found, reps["rep"] == found["node"], "left").select(
-        "print", F.coalesce("component", "rep").alias("component_id")
-    )
-    return prints.join(named, "print").select(
+    return _named(prints, ["print"], bits).select(
         F.col("doc").alias(doc_id),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
 
 
+def far_for(similarity: float, width: int) -> int:
+    """Differing bits, of ``width``, that a pair of the given similarity stays within five times of
+    six: the expected number and one standard deviation."""
+    # Two sets of equal size with Jaccard similarity s have a cosine of 2s / (1 + s).
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(width * share + math.sqrt(width * share * (1 - share)))
+
+
+def similar_documents(
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SIMILAR_SHINGLE,
+    similarity: float = SIMILARITY,
+    bits: int = BITS,
+    routes: int = ROUTES,
+) -> DataFrame:
+    """(id as long, ``component_id``) for every row: components of texts of the given similarity."""
+    source = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+
+    def salted(hashes: np.ndarray, salt: int) -> np.ndarray:
+        return mix(hashes + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+
+    def distinct_words(text: str | None) -> np.ndarray:
+        words = set(words_of(text))
+        return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+    def many(column, hashed, count: int) -> np.ndarray:
+        found = [
+            np.stack([_majority(salted(h, s), n) for s in range(count)], axis=1)
+            for h, n in map(_joined, _batched(column, hashed))
+        ]
+        return np.concatenate(found) if found else np.zeros((0, count), np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_words = many(batch.column(1), distinct_words, routes).view(np.int64)
+            wide = many(batch.column(1), lambda t: np.unique(shingle_hashes(t, shingle)), WIDE)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(list(by_words), pa.list_(pa.int64())),
+                    pa.array([row.tobytes() for row in wide], pa.binary()),
+                ],
+                ["doc", "routes", "wide"],
+            )
+
+    prints = cut_lineage(source.mapInArrow(run, "doc long, routes array<long>, wide binary"))
+    named = _named(prints, ["routes", "wide"], bits, far_for(similarity, 64 * WIDE))
+    return named.select(F.col("doc").alias(doc_id), "component_id")
+
+
 def first_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents with the smallest id of their component, with their columns."""
-    found = near_duplicates(documents, doc_id, text)
-    keep = found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("_keep")).distinct()
+    """Documents with the smallest id of their component of similar texts, with their columns. Rows
+    with a null id stay only if no row with an id has an equal text or fingerprint."""
+    found = similar_documents(documents, doc_id, text)
+    keep = found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
+    keep = keep.select(F.col(doc_id).alias("_keep")).distinct()
     return documents.join(keep, documents[doc_id].eqNullSafe(keep["_keep"]), "left_semi")

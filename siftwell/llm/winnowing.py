@@ -120,13 +120,11 @@ def document_fingerprints(worded: DataFrame, window: int, k: int, short: list[in
         lambda m: m.isNotNull(),
     )
     parts = [F.array(mark(F.lit(None).cast("long"), F.lit(-1), F.lit(0))), fresh]
-    for n in short:
-        parts.append(
-            F.transform(
-                _starts(F.size("hashes"), n),
-                lambda i, n=n: mark(F.xxhash64(F.slice("hashes", i + 1, F.lit(n))), i, F.lit(n)),
-            )
-        )
+    def whole(n: int) -> Column:
+        gram = lambda i: F.xxhash64(F.slice("hashes", i + 1, F.lit(n)))
+        return F.transform(_starts(F.size("hashes"), n), lambda i: mark(gram(i), i, F.lit(n)))
+
+    parts += [whole(n) for n in short]
     return picked.select("doc", "sign", "words", F.concat(*parts).alias("marks"))
 
 
