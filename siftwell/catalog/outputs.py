@@ -26,10 +26,10 @@ def star_history(star: DataFrame) -> DataFrame:
 
 
 def scored_with_history(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Scored star postings with new flags and ages; many share a url, so the join is salted."""
+    """Scored star postings with new flags and ages; many share a url."""
     scored = cut_lineage(scored_star(spark, sf_dir).withColumn("salary", F.expr("case when seq % 5 = 0 then '5k' end")))
     seen = cut_lineage(star_history(scored))
-    aged = history.with_age(scored, seen, NOW, spread="ord", hot_rows=100_000)
+    aged = history.with_age(scored, seen, NOW)
     return aged.withColumn("is_new", F.col("first_seen").isNull()), seen
 
 

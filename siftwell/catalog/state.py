@@ -48,6 +48,26 @@ def dedupe_greedy(spark, sf_dir):
     return dd.kept_orders(keyed).select(F.col("ord").alias("doc_id"))
 
 
+# Postings of a language in a row, each sharing its url with one neighbour and its title with the
+# other; a document whose length is divisible by 197 begins a new chain.
+CHAIN_SQL = """chain AS (SELECT doc_id, lang, part, row_number() OVER (PARTITION BY lang, part ORDER BY doc_id) - 1 AS i
+  FROM (SELECT doc_id, lang, sum(CASE WHEN n_chars % 197 = 0 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY lang ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS part FROM documents))"""
+
+
+@query("dedupe_chain", f"WITH {CHAIN_SQL} SELECT doc_id FROM chain WHERE i % 2 = 0")
+def dedupe_chain(spark, sf_dir):
+    """Chains of postings that each depend on the one before: every second one stays."""
+    table(spark, sf_dir, "documents").createOrReplaceTempView("chain_documents")
+    chain = spark.sql(f"WITH {CHAIN_SQL.replace('FROM documents', 'FROM chain_documents')} SELECT * FROM chain")
+    keyed = chain.select(
+        F.col("doc_id").alias("ord"),
+        F.expr("concat_ws('/', 'u', lang, part, i div 2)").alias("url_key"),
+        F.expr("concat_ws('/', 't', lang, part, (i + 1) div 2)").alias("title_key"),
+    )
+    return dd.kept_orders(keyed).select(F.col("ord").alias("doc_id"))
+
+
 @query("dedupe_removed", f"WITH {STAR_SQL} SELECT count(*) - (SELECT count(DISTINCT p_partkey) FROM star) AS removed FROM star")
 def dedupe_removed(spark, sf_dir):
     """How many postings the dedupe drops when every company and title pair is its own."""
@@ -106,7 +126,7 @@ def history_update(spark, sf_dir):
 def history_join(spark, sf_dir):
     """New flags and ages for rows of which a third share one (empty) url."""
     known = known_history(spark, sf_dir)
-    aged = history.with_age(later_postings(spark, sf_dir), known, EVENTS_NOW, spread="ord", hot_rows=1000)
+    aged = history.with_age(later_postings(spark, sf_dir), known, EVENTS_NOW)
     is_new = F.col("first_seen").isNull() & (F.col("url") != "")
     return aged.select(F.col("ord").alias("id"), "url", is_new.alias("is_new"), F.coalesce("age_days", F.lit(-1)).alias("age_days"))
 
@@ -258,7 +278,7 @@ def select_candidates(spark, sf_dir):
         "cast(timestamp '2001-09-01' - make_dt_interval(cast(c_custkey % 30 as int)) as date) as first_seen",
     )
     rules = SelectionRules(exclude_companies=("Supplier#000000007", "Supplier#000000011 GmbH"))
-    picked = ca.select_candidates(scored_star(spark, sf_dir), star_log(spark, sf_dir), seen, rules, datetime(2001, 9, 1), hot_rows=5000)
+    picked = ca.select_candidates(scored_star(spark, sf_dir), star_log(spark, sf_dir), seen, rules, datetime(2001, 9, 1))
     return picked.select("company_key", "seq", "url")
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from siftwell.functions.dates import older_than, younger_than
 from siftwell.functions.text import company_key
 from siftwell.operators.distinct import top_per_key
+from siftwell.operators.history import first_sightings
 from siftwell.operators.ledger import submitted_on
 from siftwell.operators.ordering import budgeted_take, first_n_flag, newest_first, newest_first_key
-from siftwell.operators.skew import HOT_ROWS, salted_join
 from siftwell.schema import SelectionRules, as_lit
 
 
@@ -23,12 +23,12 @@ def select_candidates(
     rules: SelectionRules,
     now: datetime | Column,
     order: str = "ord",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One posting per company, newest first, that passes every gate.
 
-    Cheap column filters run before the joins. A company may hold any share of the postings, so
-    its anti join is salted; the pick per company is limited map-side before its shuffle.
+    Cheap column filters run before the joins, whose other sides hold a key once. A company or a
+    url may hold any share of the postings; adaptive execution splits such a key. The pick per
+    company is limited map-side before its shuffle.
     """
     now = as_lit(now)
     score = F.col("classification")
@@ -46,7 +46,7 @@ def select_candidates(
         .select(company_key(F.col("company")).alias("company_key"))
         .distinct()
     )
-    open_to = salted_join(wanted, cooling, "company_key", "left_anti", F.col(order), hot_rows=hot_rows)
+    open_to = wanted.join(cooling, "company_key", "left_anti")
 
     previous = ledger.select(
         "url",
@@ -54,7 +54,7 @@ def select_candidates(
         ((F.col("status") == "failed") & older_than(F.col("at"), now, rules.retry_failed_after_days)).alias("_retry"),
     )
     fresh = (
-        open_to.join(history.select("url", "first_seen"), "url", "left")
+        open_to.join(first_sightings(history), "url", "left")
         .join(previous, "url", "left")
         .where(~older_than(F.col("first_seen"), now, rules.max_age_days))
         .where(F.col("_known").isNull() | F.col("_retry"))

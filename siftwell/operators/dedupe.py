@@ -6,30 +6,26 @@ a greedy matching between url keys and title keys, which neither a window per ke
 connected components gives.
 
 It runs in rounds over narrow ``(url key, title key, order)`` rows. A posting that comes first
-among the undecided rows of both its keys is kept for certain; whatever shares a key with it is
-dropped. Every round keeps at least the earliest undecided posting, so the rounds end, and on
-ordinary data there are few. Long chains (each posting shares a url with the one before and a
-title with the one after) would need a round per link; when a round decides less than
-``head_rows`` postings, the earliest ``head_rows`` undecided rows - a fixed number, whatever the
-data size - are settled in order by one task, which is exact because a decision depends on
-earlier postings only.
+among the undecided rows of both its keys is kept for certain. One that comes first for one key
+and second for the other depends on a single earlier posting: it is kept if that one is not. Such
+dependencies form chains, which are followed by pointer doubling, so a chain of n links settles in
+log2(n) joins within one round. Whatever shares a key with a kept posting is dropped, and the rest
+goes on to the next round; every round keeps at least the earliest undecided posting.
+
+All of it is joins and first-two-per-key windows, which Spark limits to two rows per key and task
+before the shuffle. A hot key is a skewed join key, which adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.text import normalise_company, normalise_title
 from siftwell.functions.urls import canonical_url
-from siftwell.operators.skew import HOT_ROWS, hot_keys, salted_join
+from siftwell.operators.distinct import top_per_key
 from siftwell.runtime import cut_lineage
 
-HEAD_ROWS = 100_000
-
 
 def with_dedupe_keys(postings: DataFrame) -> DataFrame:
     """Add ``url_key`` and ``title_key``."""
@@ -38,73 +34,62 @@ def with_dedupe_keys(postings: DataFrame) -> DataFrame:
     )
 
 
-def _settle_in_order(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Kept rows among a bounded number of rows that arrive in order."""
-    urls: set[str] = set()
-    titles: set[str] = set()
-    for frame in frames:
-        keep = []
-        for u, t in zip(frame["url_key"], frame["title_key"]):
-            fresh = u not in urls and t not in titles
-            if fresh:
-                urls.add(u)
-                titles.add(t)
-            keep.append(fresh)
-        yield frame[keep]
+def _first_two(rows: DataFrame, key: str, nth: str, before: str) -> DataFrame:
+    """The two earliest rows per key with their rank, and the order of the row before."""
+    top = top_per_key(rows, [key], [F.col("ord")], 2, nth)
+    return top.withColumn(before, F.lag("ord").over(Window.partitionBy(key).orderBy("ord")))
 
 
-def _without(rows: DataFrame, keys: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
-    if hot is None:
-        return rows.join(keys.select(key), key, "left_anti")
-    return salted_join(rows, keys.select(key), key, "left_anti", F.col("ord"), hot=hot)
+def _chain_ends(links: DataFrame) -> DataFrame:
+    """``links`` (``ord``, ``target``, ``odd``) followed to the first target that links no further."""
+    links = cut_lineage(links)
+    while True:
+        onward = links.select(F.col("ord").alias("target"), F.col("target").alias("next"), F.col("odd").alias("flip"))
+        followed = links.join(onward, "target", "left").select(
+            "ord",
+            F.coalesce("next", "target").alias("target"),
+            (F.col("odd") != F.coalesce("flip", F.lit(False))).alias("odd"),
+            F.col("next").isNotNull().alias("moved"),
+        )
+        followed = cut_lineage(followed)
+        links = followed.drop("moved")
+        if followed.where("moved").isEmpty():
+            return links
+
+
+def _winners(undecided: DataFrame) -> DataFrame:
+    """Rows that are kept for certain: (``url_key``, ``title_key``, ``ord``)."""
+    by_url = _first_two(undecided, "url_key", "_u", "_url_before")
+    by_title = _first_two(undecided, "title_key", "_t", "_title_before").select("ord", "_t", "_title_before")
+    placed = cut_lineage(by_url.join(by_title, "ord"))
+    first = (F.col("_u") == 1) & (F.col("_t") == 1)
+    roots = placed.where(first)
+    # Second for one key only: at most one earlier row can speak against it.
+    single = placed.where(F.col("_u") + F.col("_t") == 3)
+    links = single.select(
+        "ord", F.coalesce("_url_before", "_title_before").alias("target"), F.lit(True).alias("odd")
+    )
+    ends = _chain_ends(links).where(~F.col("odd"))
+    settled = ends.join(roots.select(F.col("ord").alias("target")), "target", "left_semi").select("ord")
+    kept = roots.select("ord").unionByName(settled)
+    return placed.join(kept, "ord", "left_semi").select("url_key", "title_key", "ord")
 
 
-def kept_orders(
-    keyed: DataFrame, order: str = "ord", head_rows: int = HEAD_ROWS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def kept_orders(keyed: DataFrame, order: str = "ord") -> DataFrame:
     """Orders of the kept postings, from ``url_key``, ``title_key`` and a unique BIGINT order."""
     # A posting that repeats both keys of an earlier one is always dropped: if the earlier one
     # was kept it blocks, and if not, whatever blocked it blocks this one too.
-    pairs = keyed.groupBy("url_key", "title_key").agg(F.min(order).alias("ord"))
-    undecided = cut_lineage(pairs)
-    left = undecided.count()
-
-    hot: dict[str, DataFrame | None] = {"url_key": None, "title_key": None}
-    for key in hot:
-        found = cut_lineage(hot_keys(undecided, key, hot_rows))
-        hot[key] = None if found.isEmpty() else found
-
-    kept: DataFrame | None = None
-    head_next = False
-    while left:
-        if head_next:
-            head = undecided.orderBy("ord").limit(head_rows).coalesce(1).sortWithinPartitions("ord")
-            winners = head.mapInPandas(_settle_in_order, undecided.schema)
-        else:
-            by_url = undecided.groupBy("url_key").agg(F.min("ord").alias("ord"))
-            by_title = undecided.groupBy("title_key").agg(F.min("ord").alias("ord"))
-            winners = by_url.join(by_title, "ord").select("url_key", "title_key", "ord")
-        winners = cut_lineage(winners)
-        kept = winners if kept is None else kept.unionByName(winners)
-
-        # Losers share a key with a winner, those settled by the head included.
-        rest = _without(undecided, winners, "url_key", hot["url_key"])
-        rest = _without(rest, winners, "title_key", hot["title_key"])
-        undecided = cut_lineage(rest)
-        before, left = left, undecided.count()
-        head_next = head_rows > 0 and before - left < head_rows
-    if kept is None:
-        kept = undecided
+    undecided = cut_lineage(keyed.groupBy("url_key", "title_key").agg(F.min(order).alias("ord")))
+    kept = undecided.limit(0)
+    while not undecided.isEmpty():
+        winners = cut_lineage(_winners(undecided))
+        kept = kept.unionByName(winners)
+        rest = undecided.join(winners.select("url_key"), "url_key", "left_anti")
+        undecided = cut_lineage(rest.join(winners.select("title_key"), "title_key", "left_anti"))
     return kept.select(F.col("ord").alias(order))
 
 
-def dedupe(
-    postings: DataFrame,
-    order: str = "ord",
-    strict_empty: bool = False,
-    head_rows: int = HEAD_ROWS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def dedupe(postings: DataFrame, order: str = "ord", strict_empty: bool = False) -> DataFrame:
     """Kept postings. ``postings`` needs url, company, title and a unique BIGINT ``order``.
 
     All empty urls share one key, and so do titles without a Latin letter at one company.
@@ -118,6 +103,6 @@ def dedupe(
         narrow = narrow.withColumn(
             "title_key", F.when(F.endswith("title_key", F.lit("|")), own).otherwise(F.col("title_key"))
         )
-    kept = kept_orders(narrow, order, head_rows, hot_rows)
+    kept = kept_orders(narrow, order)
     # Both sides hold each order once, so this join has no hot key.
     return postings.join(kept, order, "left_semi")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions.dates import age_in_days, first_seen_stamp
-from siftwell.operators.skew import HOT_ROWS, salted_join
 from siftwell.schema import as_lit
 
 
@@ -23,36 +22,30 @@ def unseen(postings: DataFrame, history: DataFrame, now: datetime | Column) -> D
 
 def update_first_seen(postings: DataFrame, history: DataFrame, now: datetime | Column) -> DataFrame:
     """The whole history after a run. Known dates are never overwritten and never expire."""
-    return history.select("url", "first_seen").unionByName(unseen(postings, history, now))
+    return first_sightings(history).unionByName(unseen(postings, history, now))
 
 
 def new_count(postings: DataFrame, history: DataFrame, now: datetime | Column) -> DataFrame:
     return unseen(postings, history, now).agg(F.count(F.lit(1)).alias("new_since_last_run"))
 
 
-def _with_first_seen(postings: DataFrame, history: DataFrame, spread: str | None, hot_rows: int) -> DataFrame:
-    seen = history.select("url", "first_seen")
-    if spread is None:
-        return postings.join(seen, "url", "left")
-    return salted_join(postings, seen, "url", "left", F.col(spread), hot_rows=hot_rows)
+def first_sightings(history: DataFrame) -> DataFrame:
+    """One row per url with its earliest date, however often the history names it."""
+    return history.groupBy("url").agg(F.min("first_seen").alias("first_seen"))
 
 
-def mark_new(
-    postings: DataFrame, history: DataFrame, spread: str | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def mark_new(postings: DataFrame, history: DataFrame) -> DataFrame:
     """Add ``first_seen`` and ``is_new`` against the history as it was before this run.
 
-    Deduplicated postings hold a url once and take the plain join. For rows that may repeat a
-    url without bound, name a ``spread`` column that varies among them.
+    The history side holds a url once; postings may repeat one without bound, which makes a
+    skewed key that adaptive execution splits.
     """
-    joined = _with_first_seen(postings, history, spread, hot_rows)
+    joined = postings.join(first_sightings(history), "url", "left")
     is_new = F.col("first_seen").isNull() & (F.coalesce(F.col("url"), F.lit("")) != "")
     return joined.withColumn("is_new", is_new)
 
 
-def with_age(
-    postings: DataFrame, history: DataFrame, now: datetime | Column, spread: str | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_age(postings: DataFrame, history: DataFrame, now: datetime | Column) -> DataFrame:
     """Add ``age_days``: whole days since the first sighting, NULL for a url not in the history."""
-    joined = _with_first_seen(postings, history, spread, hot_rows)
+    joined = postings.join(first_sightings(history), "url", "left")
     return joined.withColumn("age_days", age_in_days(F.col("first_seen"), as_lit(now)))

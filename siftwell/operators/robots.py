@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.text import trim_space
 from siftwell.functions.urls import host_of, url_parts
-from siftwell.operators.skew import HOT_ROWS, salted_join
 
 
 def parse_robots(txt: Column) -> Column:
@@ -47,15 +46,15 @@ def blocked(rules: Column, path: Column) -> Column:
     return F.exists(rules, lambda r: F.rlike(path, rule_pattern(r)))
 
 
-def robots_filter(pages: DataFrame, robots: DataFrame, spread: str = "page_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+def robots_filter(pages: DataFrame, robots: DataFrame) -> DataFrame:
     """Pages their host's robots file (``host, txt``, one per host) does not close.
 
-    An equi join on the host. One host may own any share of the pages, so it is salted; the other
-    side is one small array per host.
+    An equi join on the host, whose rules are one small array. One host may own any share of the
+    pages; adaptive execution splits such a key.
     """
     rules = robots.select("host", parse_robots(F.col("txt")).alias("_rules"))
     placed = pages.withColumn("_u", url_parts(F.col("url"))).select(
         "*", host_of(F.col("_u")).alias("host"), F.col("_u.path").alias("_path")
     )
-    joined = salted_join(placed.drop("_u"), rules, "host", "left", F.col(spread), hot_rows=hot_rows)
+    joined = placed.drop("_u").join(rules, "host", "left")
     return joined.where(~F.coalesce(blocked(F.col("_rules"), F.col("_path")), F.lit(False))).drop("_rules", "_path", "host")

@@ -150,11 +150,11 @@ def test_run_evaluation(spark, tmp_path):
 
 
 def test_history_never_moves_a_date(spark):
-    known = spark.createDataFrame([("a", date(2024, 1, 1))], HISTORY)
+    known = spark.createDataFrame([("a", date(2024, 1, 1)), ("a", date(2024, 3, 1))], HISTORY)
     posts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "")], "ord bigint, url string")
     updated = {r["url"]: r["first_seen"] for r in history.update_first_seen(posts, known, NOW).collect()}
     assert updated == {"a": date(2024, 1, 1), "b": date(2024, 5, 15)}
-    flags = {r["ord"]: r["is_new"] for r in history.mark_new(posts, known, spread="ord", hot_rows=2).collect()}
+    flags = {r["ord"]: r["is_new"] for r in history.mark_new(posts, known).collect()}
     assert flags == {1: False, 2: True, 3: True, 4: False}
     assert history.new_count(posts, known, NOW).first()[0] == 1
     assert {r["ord"]: r["age_days"] for r in history.with_age(posts, known, NOW).collect()}[1] == 135
