@@ -14,7 +14,8 @@ from siftwell.operators import evaluate as ev
 from siftwell.operators import prefilter, reports, scoring, sinks
 from siftwell.runtime import scratch
 
-PROFILE = scoring.Profile("Tbilisi", "a company in Georgia", "UTC+4", "no permit for the EU")
+SHORT = scoring.Prompt("short", scoring.ANSWER, "Role: {title}\nAt: {company}\nWhere: {location}\n")
+FULL = scoring.Prompt("full", scoring.ANSWER, SHORT.user + "Text:\n{description}")
 
 
 def doc_postings(spark, sf_dir) -> DataFrame:
@@ -34,22 +35,15 @@ def doc_postings(spark, sf_dir) -> DataFrame:
 
 
 def _prompt_sql(described: bool) -> str:
-    p = PROFILE
-    head = (
-        f"Contractor: lives in {p.based_in}, bills through {p.invoices_from}, works {p.timezone}, {p.work_authorisation}."
-    )
-    body = "|| chr(10) || 'Description:' || chr(10) || CASE WHEN doc_id % 5 = 0 THEN '(none published)' ELSE text END" if described else ""
-    fmt = scoring.REPLY_FORMAT.replace("'", "''")
-    return f"""'{head}' || chr(10) || chr(10) || 'Company: Company ' || doc_id % 50 || chr(10) || 'Title: Role in ' || lang || chr(10)
-  || 'Location: ' || CASE WHEN doc_id % 3 = 0 THEN '(not stated)' ELSE lang END {body}
-  || chr(10) || chr(10) || 'Is the posting open to this contractor?' || chr(10) || chr(10) || '{fmt}'"""
+    body = "|| 'Text:' || chr(10) || CASE WHEN doc_id % 5 = 0 OR text = '' THEN 'not given' ELSE text END" if described else ""
+    return f"""'Role: Role in ' || lang || chr(10) || 'At: Company ' || doc_id % 50 || chr(10)
+  || 'Where: ' || CASE WHEN doc_id % 3 = 0 THEN 'not given' ELSE lang END || chr(10) {body}"""
 
 
-@query("render_prompt", f"SELECT doc_id, md5({_prompt_sql(False)}) AS v1, md5({_prompt_sql(True)}) AS v3 FROM documents")
+@query("render_prompt", f"SELECT doc_id, md5({_prompt_sql(False)}) AS short, md5({_prompt_sql(True)}) AS \"full\" FROM documents")
 def render_prompt(spark, sf_dir):
     docs = doc_postings(spark, sf_dir)
-    v1, v3 = (F.md5(scoring.render_prompt(v, PROFILE)) for v in ("v1", "v3"))
-    return docs.select("doc_id", v1.alias("v1"), v3.alias("v3"))
+    return docs.select("doc_id", *[F.md5(scoring.render_prompt(p)).alias(p.version) for p in (SHORT, FULL)])
 
 
 # Replies a model may give, by document.
@@ -77,16 +71,14 @@ def parse_response(spark, sf_dir):
     return replies.select("doc_id", F.when(F.col("c").isNull(), F.lit("failed")).otherwise(line).alias("parsed"))
 
 
-def length_scorer():
-    """A scorer that judges by the length of the prompt; it fails on some prompts, on others once."""
-    seen: set[str] = set()
+def length_scorer(attempt: int):
+    """A scorer that judges by the length of the prompt; it fails on some prompts, on others at first."""
 
     def score(system: str, user: str) -> tuple[str, int, int]:
         n = len(user)
         if n % 11 == 0:
             raise RuntimeError("model unavailable")
-        if n % 7 == 0 and user not in seen:
-            seen.add(user)
+        if n % 7 == 0 and attempt == 0:
             return "let me think", n, 1
         kind = ["b2b", "eor", "payroll", "unknown"][n % 4]
         reply = {"eligible": n % 2 == 0, "employmentType": kind, "confidence": (n % 10) / 10, "reason": f"n={n}"}
@@ -106,7 +98,7 @@ scores AS (SELECT doc_id, n, n % 11 = 0 AS failed, n % 11 <> 0 AND n % 2 = 0 AS
 
 def scored_docs(spark, sf_dir) -> DataFrame:
     path = f"{scratch(spark)}/scores"
-    return scoring.score_once(doc_postings(spark, sf_dir), length_scorer, PROFILE, path, parallelism=8, backoff=0.0)
+    return scoring.score_once(doc_postings(spark, sf_dir), length_scorer, FULL, path, parallelism=8, backoff=0.0)
 
 
 @query(
@@ -121,6 +113,30 @@ def score_batch(spark, sf_dir):
     )
 
 
+def recovered_scorer(attempt: int):
+    """The same model, no longer unavailable."""
+
+    def score(system: str, user: str) -> tuple[str, int, int]:
+        n = len(user)
+        return json.dumps({"eligible": n % 2 == 0, "confidence": 0.5, "reason": f"again {n}"}), n, 10
+
+    return score
+
+
+@query(
+    "score_retry",
+    f"""WITH {SCORE_SQL} SELECT doc_id::VARCHAR AS id, n % 2 = 0 AS eligible,
+  CASE WHEN failed THEN 'again ' || n ELSE 'n=' || n END AS reason, false AS failed FROM scores""",
+)
+def score_retry(spark, sf_dir):
+    """Two runs over one score table: the second asks only for what failed in the first."""
+    path = f"{scratch(spark)}/scores"
+    postings = doc_postings(spark, sf_dir)
+    scoring.score_once(postings, length_scorer, FULL, path, parallelism=8, backoff=0.0)
+    scores = scoring.score_once(postings, recovered_scorer, FULL, path, parallelism=8, backoff=0.0)
+    return scores.select("id", "classification.eligible", "classification.reason", "failed")
+
+
 @query(
     "score_stats",
     f"""WITH {SCORE_SQL}, s AS (SELECT count(*) AS calls, count(*) FILTER (failed) AS failures, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,

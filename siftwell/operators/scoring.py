@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import json
-import re
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,86 +14,60 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.bind import let
 from siftwell.functions.text import trim_space
+from siftwell.operators.distinct import latest_per_key
 from siftwell.operators.evaluate import with_cost
+from siftwell.runtime import cut_lineage
 from siftwell.schema import EMPLOYMENT_TYPES, Pricing
 from siftwell.sources.payloads import field, is_number, kind, number_text
 
-# A scorer takes (system, user) and returns (text, input tokens, output tokens).
+# A scorer takes (system, user) and returns (text, input tokens, output tokens). It is made from
+# the number of the attempt, counted from 0.
 Scorer = Callable[[str, str], tuple[str, int, int]]
+MakeScorer = Callable[[int], Scorer]
 
-
-@dataclass(frozen=True)
-class Profile:
-    based_in: str
-    invoices_from: str
-    timezone: str
-    work_authorisation: str
+FIELDS = ("company", "title", "location", "description")
+NOT_GIVEN = "not given"
 
 
 @dataclass(frozen=True)
 class Prompt:
+    """A named prompt of the caller's. ``user`` is a text in which ``{company}``, ``{title}``,
+    ``{location}`` and ``{description}`` stand for the posting's fields."""
+
+    version: str
     system: str
-    with_description: bool
-
-
-_ROLE = "You judge whether a job posting is open to one contractor and reply with JSON only."
-_CAREFUL = _ROLE + " Rely on the posting's own words; where it says nothing, say so instead of guessing."
-_RULES = """
-How to decide:
-- No region named anywhere: eligible, type unknown, confidence no higher than 0.6.
-- Required working hours are no limit on residence.
-- A permit to work in a named country is required: not eligible.
-- Hiring abroad through an employer of record is open unless countries are listed.
-- A local tax entity, local bank account or days on site are required: not eligible."""
-
-PROMPTS = {
-    "v1": Prompt(_ROLE, with_description=False),
-    "v2": Prompt(_CAREFUL, with_description=True),
-    "v3": Prompt(_CAREFUL + "\n" + _RULES, with_description=True),
-}
-DEFAULT_PROMPT = "v3"
-
-REPLY_FORMAT = (
-    'Reply with one JSON object: {"eligible": true or false, "employmentType": "b2b", "eor", "payroll" or "unknown",'
-    ' "regionConstraint": words of the posting or "", "confidence": 0 to 1, "reason": one sentence}'
+    user: str
+
+
+# A neutral example; what decides eligibility is for the caller to say.
+ANSWER = (
+    "Answer as JSON with the fields eligible (boolean), employmentType (" + ", ".join(EMPLOYMENT_TYPES) + "),"
+    " regionConstraint, confidence (0 to 1) and reason."
 )
-NO_LOCATION, NO_DESCRIPTION = "(not stated)", "(none published)"
+SHORT = Prompt("short", ANSWER, "{title}\n{company}\n{location}")
+FULL = Prompt("full", ANSWER, "{title}\n{company}\n{location}\n\n{description}")
 
 # Reasons given without a model, and the retry schedule.
 FAILED, DISABLED = "classification failed", "classifier disabled"
 NOT_BOOLEAN = "missing or non-boolean 'eligible'"
 NO_OBJECT = "no JSON object in response"
 MAX_RETRIES, BACKOFF_SECONDS = 2, 0.4
+CALLS_AT_ONCE = 4
 
 
-def prompt_for(version: str) -> Prompt:
-    if version not in PROMPTS:
-        raise ValueError(f"unknown prompt version: {version}")
-    return PROMPTS[version]
-
-
-def render_prompt(version: str, profile: Profile) -> Column:
+def render_prompt(prompt: Prompt) -> Column:
     """The user part of a prompt as a column over company, title, location, description."""
-    prompt = prompt_for(version)
-
-    def or_note(name: str, note: str) -> Column:
-        c = F.col(name)
-        return F.when(F.coalesce(c, F.lit("")) != "", c).otherwise(F.lit(note))
-
-    parts = [
-        F.lit(
-            f"Contractor: lives in {profile.based_in}, bills through {profile.invoices_from},"
-            f" works {profile.timezone}, {profile.work_authorisation}.\n\nCompany: "
-        ),
-        F.col("company"),
-        F.lit("\nTitle: "),
-        F.col("title"),
-        F.lit("\nLocation: "),
-        or_note("location", NO_LOCATION),
-    ]
-    if prompt.with_description:
-        parts += [F.lit("\nDescription:\n"), or_note("description", NO_DESCRIPTION)]
-    return F.concat(*parts, F.lit("\n\nIs the posting open to this contractor?\n\n" + REPLY_FORMAT))
+    parts, rest = [], prompt.user
+    while rest:
+        at = {rest.find("{" + f + "}"): f for f in FIELDS if "{" + f + "}" in rest}
+        if not at:
+            break
+        first = min(at)
+        name = at[first]
+        value = F.col(name)
+        parts += [F.lit(rest[:first]), F.when(F.coalesce(value, F.lit("")) != "", value).otherwise(F.lit(NOT_GIVEN))]
+        rest = rest[first + len(name) + 2 :]
+    return F.concat(*parts, F.lit(rest))
 
 
 def _strict(c: Column) -> Column:
@@ -168,104 +142,104 @@ def fixed_classification(eligible: bool, reason: Column | str) -> Column:
     )
 
 
-def _reply_error(text: str) -> str | None:
-    """Why a reply has to be asked for again; None for a usable one."""
-    text = (text or "").strip()
-    fence = re.search(r"```(?:json)?([\s\S]*?)```", text)
-    body = fence.group(1).strip() if fence else text
-    try:
-        value = json.loads(body)
-    except ValueError:
-        first, last = body.find("{"), body.rfind("}")
-        if first < 0 or last <= first:
-            return NO_OBJECT
-        try:
-            value = json.loads(body[first : last + 1])
-        except ValueError as e:
-            return str(e)
-    if not isinstance(value, dict) or not isinstance(value.get("eligible"), bool):
-        return NOT_BOOLEAN
-    return None
-
-
-_REPLIES = "id string, response string, error string, input_tokens bigint, output_tokens bigint, attempts int"
+_REPLIES = "id string, response string, error string, input_tokens bigint, output_tokens bigint"
 
 
-def ask(prompts: DataFrame, make_scorer: Callable[[], Scorer], system: str, retries: int, backoff: float) -> DataFrame:
-    """Replies for ``(id, user)``. A call or a reply that fails is asked again, waiting longer each time.
+def ask(prompts: DataFrame, make_scorer: MakeScorer, system: str, attempt: int, calls_at_once: int) -> DataFrame:
+    """One reply, or the error of the call, for each ``(id, user)``.
 
-    The scorer is made once per partition. Tokens of failed attempts count as well.
+    The scorer is made once per partition and must allow ``calls_at_once`` calls side by side.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = make_scorer()
-        for frame in frames:
-            rows = []
-            for key, user in zip(frame["id"], frame["user"]):
-                response, error, tokens_in, tokens_out, attempt = None, None, 0, 0, 0
-                for attempt in range(retries + 1):
-                    try:
-                        response, used_in, used_out = scorer(system, user)
-                        tokens_in, tokens_out = tokens_in + used_in, tokens_out + used_out
-                        error = _reply_error(response)
-                    except Exception as e:  # any failure of the model call
-                        error = str(e)
-                    if error is None:
-                        break
-                    if attempt < retries:
-                        time.sleep(backoff * 2**attempt)
-                rows.append((key, response, error, tokens_in, tokens_out, attempt + 1))
-            yield pd.DataFrame(rows, columns=["id", "response", "error", "input_tokens", "output_tokens", "attempts"])
+        scorer = make_scorer(attempt)
+
+        def call(user: str) -> tuple:
+            try:
+                response, used_in, used_out = scorer(system, user)
+                return response, None, used_in, used_out
+            except Exception as e:  # any failure of the model call
+                return None, str(e), 0, 0
+
+        with ThreadPoolExecutor(calls_at_once) as pool:
+            for frame in frames:
+                replies = pd.DataFrame(
+                    list(pool.map(call, frame["user"])), columns=["response", "error", "input_tokens", "output_tokens"]
+                )
+                yield replies.assign(id=frame["id"].to_numpy())
 
     return prompts.select("id", "user").mapInPandas(run, _REPLIES)
 
 
 def score_batch(
     postings: DataFrame,
-    make_scorer: Callable[[], Scorer],
-    profile: Profile,
-    version: str = DEFAULT_PROMPT,
+    make_scorer: MakeScorer,
+    prompt: Prompt,
     parallelism: int | None = None,
     retries: int = MAX_RETRIES,
     backoff: float = BACKOFF_SECONDS,
+    calls_at_once: int = CALLS_AT_ONCE,
 ) -> DataFrame:
     """Scores per posting ``id``: classification, token counts and whether scoring failed.
 
-    Only the id and the prompt text reach Python. The partitions bound how many calls run at
-    once; ``parallelism`` sets their number. Write the result once before using it twice (see
-    :func:`score_once`), because evaluating it again calls the model again.
+    Only the id and the prompt text reach Python. Scoring goes in rounds: all postings are asked,
+    the replies are read and kept in the checkpoint folder, and those without a usable reply are
+    asked again; the wait between rounds holds no task. Tokens of failed attempts count as well.
+    ``parallelism`` sets the number of partitions, each with ``calls_at_once`` calls.
     """
-    prompt = prompt_for(version)
-    asked = postings.select("id", render_prompt(version, profile).alias("user"))
-    if parallelism:
-        asked = asked.repartition(parallelism)
-    replies = ask(asked, make_scorer, prompt.system, retries, backoff)
-    why = F.concat(F.lit(FAILED + ": "), F.coalesce("error", F.lit("unreadable reply")))
-    parsed = F.when(F.col("error").isNull(), parse_classification(F.col("response")))
-    return replies.withColumn("_parsed", parsed).select(
+    asked = postings.select("id", render_prompt(prompt).alias("user"))
+    pending, rounds = asked, []
+    for attempt in range(retries + 1):
+        if parallelism:
+            pending = pending.repartition(parallelism)
+        replies = ask(pending, make_scorer, prompt.system, attempt, calls_at_once)
+        response = F.col("response")
+        unread = F.when(extract_json(response).isNull(), F.lit(NO_OBJECT)).otherwise(F.lit(NOT_BOOLEAN))
+        read = replies.select(
+            "id",
+            F.lit(attempt).alias("attempt"),
+            F.when(F.col("error").isNull(), parse_classification(response)).alias("parsed"),
+            F.coalesce("error", unread).alias("error"),
+            "input_tokens",
+            "output_tokens",
+        )
+        rounds.append(cut_lineage(read))
+        failed = rounds[-1].where(F.col("parsed").isNull()).select("id")
+        if attempt == retries or failed.isEmpty():
+            break
+        time.sleep(backoff * 2**attempt)
+        pending = asked.join(failed, "id", "left_semi")
+    last = F.max_by(F.struct("parsed", "error"), "attempt").alias("last")
+    final = reduce(DataFrame.unionByName, rounds).groupBy("id").agg(
+        last, F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens")
+    )
+    why = F.concat(F.lit(FAILED + ": "), F.col("last.error"))
+    return final.select(
         "id",
-        F.lit(version).alias("version"),
-        F.coalesce("_parsed", fixed_classification(False, why)).alias("classification"),
+        F.lit(prompt.version).alias("version"),
+        F.coalesce("last.parsed", fixed_classification(False, why)).alias("classification"),
         "input_tokens",
         "output_tokens",
-        F.col("_parsed").isNull().alias("failed"),
+        F.col("last.parsed").isNull().alias("failed"),
     )
 
 
-def score_once(
-    postings: DataFrame, make_scorer: Callable[[], Scorer], profile: Profile, path: str, version: str = DEFAULT_PROMPT, **options
-) -> DataFrame:
-    """Score what ``path`` does not hold yet for this version, append it there, and read it back.
+def score_once(postings: DataFrame, make_scorer: MakeScorer, prompt: Prompt, path: str, **options) -> DataFrame:
+    """Score what ``path`` does not hold yet, append it there, and read the latest scores back.
 
-    A rerun after a failure asks only for what is missing.
+    A row counts as held when its id was scored without failure under the same prompt text, so a
+    rerun asks again for what failed and for postings that changed.
     """
     spark = postings.sparkSession
-    todo = postings
+    text = F.sha2(F.concat(F.lit(prompt.system + "\u0000"), render_prompt(prompt)), 256)
+    todo = postings.withColumn("asked", text)
     if _exists(spark, path):
-        done = spark.read.parquet(path).where(F.col("version") == version).select("id")
-        todo = postings.join(done, "id", "left_anti")
-    score_batch(todo, make_scorer, profile, version, **options).write.mode("append").parquet(path)
-    return spark.read.parquet(path).where(F.col("version") == version)
+        done = spark.read.parquet(path).where((F.col("version") == prompt.version) & ~F.col("failed"))
+        todo = todo.join(done.select("id", "asked").distinct(), ["id", "asked"], "left_anti")
+    scores = score_batch(todo, make_scorer, prompt, **options).join(todo.select("id", "asked"), "id")
+    scores.withColumn("scored_at", F.lit(time.time_ns())).write.mode("append").parquet(path)
+    held = spark.read.parquet(path).where(F.col("version") == prompt.version)
+    return latest_per_key(held, ["id"], "scored_at").drop("asked", "scored_at")
 
 
 def _exists(spark, path: str) -> bool:

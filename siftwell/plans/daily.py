@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import golden_id
 from siftwell.operators import dedupe as dd
 from siftwell.operators import prefilter, reports, scoring, sinks
 from siftwell.operators.history import mark_new, unseen, with_age
@@ -45,9 +43,8 @@ def run_daily(
     rules: FilterRules,
     now: datetime,
     details: DataFrame | None = None,
-    make_scorer: Callable[[], scoring.Scorer] | None = None,
-    profile: scoring.Profile | None = None,
-    prompt: str = scoring.DEFAULT_PROMPT,
+    make_scorer: scoring.MakeScorer | None = None,
+    prompt: scoring.Prompt = scoring.FULL,
 ) -> DailyRun:
     """One run over a landing table, written below ``root``.
 
@@ -55,8 +52,6 @@ def run_daily(
     The history is appended after the outputs, and an unhealthy run raises at the very end.
     """
     spark = bronze.sparkSession
-    if make_scorer is not None:
-        scoring.prompt_for(prompt)
     good, bad = collect.quarantine(bronze)
     silver = f"{root}/silver/run_date={now:%Y-%m-%d}"
     collect.collect_bronze(good, details).write.mode("overwrite").parquet(silver)
@@ -68,8 +63,9 @@ def run_daily(
     if make_scorer is None:
         scored = scoring.score_disabled(deduped)
     else:
-        keyed = deduped.withColumn("id", golden_id(F.col("url"), F.col("company"), F.col("title")))
-        scores = scoring.score_once(keyed, make_scorer, profile, f"{root}/scores", prompt)
+        # The whole hash: the short golden id is a label, and too short for a join key.
+        keyed = deduped.withColumn("id", F.sha2(F.concat_ws("\u0001", "url", "company", "title"), 256))
+        scores = scoring.score_once(keyed, make_scorer, prompt, f"{root}/scores")
         scored = keyed.join(scores.select("id", "classification"), "id").drop("id")
 
     history = sinks.load_state(spark, f"{root}/history", HISTORY, on_corrupt="empty")

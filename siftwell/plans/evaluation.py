@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,23 +22,23 @@ class Evaluation:
 
 def run_evaluation(
     golden: DataFrame,
-    versions: list[str],
-    make_scorer: Callable[[], scoring.Scorer],
-    profile: scoring.Profile,
+    prompts: list[scoring.Prompt],
+    make_scorer: scoring.MakeScorer,
     root: str,
     pricing: Pricing = Pricing(),
     **options,
 ) -> Evaluation:
-    """Score each version once (a rerun asks only for what is missing) and compare.
+    """Score each prompt once (a rerun asks only for what is missing) and compare.
 
-    Unknown versions and an empty golden set are refused before any model call.
+    Prompts of one version name and an empty golden set are refused before any model call.
     """
-    for version in versions:
-        scoring.prompt_for(version)
+    versions = [p.version for p in prompts]
+    if len(set(versions)) < len(versions):
+        raise ValueError("every prompt needs a version name of its own")
     if golden.isEmpty():
         raise ValueError("the golden set is empty; label some postings first")
     jobs = golden.select("id", "job.*")
-    scores = [scoring.score_once(jobs, make_scorer, profile, f"{root}/scores", v, **options) for v in versions]
+    scores = [scoring.score_once(jobs, make_scorer, p, f"{root}/scores", **options) for p in prompts]
     predictions = reduce(DataFrame.unionByName, scores)
     tagged = golden.withColumn("version", F.explode(F.array(*[F.lit(v) for v in versions])))
     joined = evaluate.join_predictions(tagged, predictions, ["version", "id"])

@@ -18,7 +18,7 @@ from siftwell.sources import landing
 from siftwell.streaming import incremental
 
 NOW = datetime(2024, 5, 15, 9)
-PROFILE = scoring.Profile("Tbilisi", "a Georgian company", "UTC+4", "no EU permit")
+PROMPT = scoring.Prompt("p", "Answer.", "Title: {title}\nat {company}")
 # The scorers below run in Python workers, which cannot import a test module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,26 +41,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def test_parse_classification(spark, reply, want):
     row = spark.createDataFrame([(reply,)], "x string").select(scoring.parse_classification(F.col("x")).alias("c")).first()["c"]
     assert (tuple(row) if row else None) == want
-    assert (scoring._reply_error(reply) is None) == (want is not None)
 
 
-def test_prompts_fall_back_and_refuse_unknown_versions(spark):
-    df = spark.createDataFrame([("C", "T", "", "")], "company string, title string, location string, description string")
-    v1, v2 = (df.select(scoring.render_prompt(v, PROFILE).alias("p")).first()["p"] for v in ("v1", "v2"))
-    assert "(not stated)" in v1 and "(none published)" not in v1 and "(none published)" in v2
-    with pytest.raises(ValueError, match="unknown prompt version"):
-        scoring.render_prompt("v9", PROFILE)
+def test_prompt_fields_are_filled_in(spark):
+    df = spark.createDataFrame([("C", "T {company}", None, "")], "company string, title string, location string, description string")
+    prompt = scoring.Prompt("x", "", "{title}|{company}{company}|{location}|{description}|{other}")
+    assert df.select(scoring.render_prompt(prompt).alias("p")).first()["p"] == "T {company}|CC|not given|not given|{other}"
 
 
-def flaky():
-    seen = {}
-
+def flaky(attempt):
     def score(system, user):
         title = user.split("Title: ")[1].split("\n")[0]
-        seen[title] = seen.get(title, 0) + 1
         if title == "down":
             raise RuntimeError("no model")
-        if title == "late" and seen[title] < 3:
+        if title == "late" and attempt < 2:
             return "hm", 5, 1
         return json.dumps({"eligible": True, "confidence": 0.9, "reason": title}), 5, 2
 
@@ -73,29 +67,43 @@ def jobs(spark, titles):
 
 
 def test_score_batch_retries_counts_tokens_and_keeps_failures(spark):
-    rows = {r["id"]: r for r in scoring.score_batch(jobs(spark, ["ok", "late", "down"]), flaky, PROFILE, backoff=0).collect()}
+    rows = {r["id"]: r for r in scoring.score_batch(jobs(spark, ["ok", "late", "down"]), flaky, PROMPT, backoff=0).collect()}
     assert (rows["ok"]["input_tokens"], rows["late"]["input_tokens"], rows["late"]["output_tokens"]) == (5, 15, 4)
     assert rows["down"]["failed"] and rows["down"]["classification"]["reason"] == "classification failed: no model"
     assert not rows["down"]["classification"]["eligible"]
-    stats = scoring.score_stats(scoring.score_batch(jobs(spark, ["ok", "late", "down"]), flaky, PROFILE, backoff=0)).first()
+    stats = scoring.score_stats(scoring.score_batch(jobs(spark, ["ok", "late", "down"]), flaky, PROMPT, backoff=0)).first()
     assert (stats["calls"], stats["failures"], stats["input_tokens"]) == (3, 1, 20)
 
 
 def test_score_once_asks_only_for_what_is_missing(spark, tmp_path):
     path = str(tmp_path / "scores")
-    scoring.score_once(jobs(spark, ["a", "b"]), flaky, PROFILE, path, backoff=0)
+    scoring.score_once(jobs(spark, ["a", "b"]), flaky, PROMPT, path, backoff=0)
 
-    def never():
+    def never(attempt):
         def score(system, user):
             assert "Title: c" in user
             return '{"eligible": false}', 1, 1
 
         return score
 
-    out = scoring.score_once(jobs(spark, ["a", "b", "c"]), never, PROFILE, path, backoff=0)
+    out = scoring.score_once(jobs(spark, ["a", "b", "c"]), never, PROMPT, path, backoff=0)
     assert {r["id"]: r["classification"]["eligible"] for r in out.collect()} == {"a": True, "b": True, "c": False}
 
 
+def test_failed_and_changed_postings_are_asked_again(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    first = scoring.score_once(jobs(spark, ["a", "down"]), flaky, PROMPT, path, retries=0)
+    assert {r["id"]: r["failed"] for r in first.collect()} == {"a": False, "down": True}
+
+    def recovered(attempt):
+        return lambda system, user: ('{"eligible": false, "reason": "second"}', 1, 1)
+
+    again = jobs(spark, ["a", "down"]).withColumn("company", F.when(F.col("id") == "a", F.lit("D")).otherwise(F.col("company")))
+    out = {r["id"]: r for r in scoring.score_once(again, recovered, PROMPT, path).collect()}
+    assert out["a"]["classification"]["reason"] == out["down"]["classification"]["reason"] == "second"
+    assert not out["down"]["failed"]
+
+
 GOLD = "id string, job struct<source:string,company:string,title:string,location:string,url:string,description:string>, label struct<eligible:boolean,employment_type:string,note:string>"
 
 
@@ -140,13 +148,16 @@ def test_golden_lines_last_wins_and_bad_lines_are_named(spark):
         ev.parse_golden(spark.createDataFrame([(1, line % "true"), (2, "{")], "ord int, value string")).collect()
 
 
+V1, V3 = (scoring.Prompt(v, "Answer.", "Title: {title}\n") for v in ("v1", "v3"))
+
+
 def test_run_evaluation(spark, tmp_path):
-    out = run_evaluation(gold(spark, [("1", True), ("2", False)]), ["v1", "v3"], flaky, PROFILE, str(tmp_path), backoff=0)
+    out = run_evaluation(gold(spark, [("1", True), ("2", False)]), [V1, V3], flaky, str(tmp_path), backoff=0)
     rows = {r["version"]: r for r in out.results.collect()}
     assert set(rows) == {"v1", "v3"} and rows["v1"]["calls"] == 2 and rows["v1"]["recall"] == 1
     assert out.disagreements.count() == 2
     with pytest.raises(ValueError):
-        run_evaluation(gold(spark, []), ["v1"], flaky, PROFILE, str(tmp_path))
+        run_evaluation(gold(spark, []), [V1], flaky, str(tmp_path))
 
 
 def test_history_never_moves_a_date(spark):
@@ -302,7 +313,7 @@ def test_run_daily_end_to_end(spark, tmp_path):
     assert digest[0] == "# Postings — 2024-05-15" and "0 new, 0 still open, 2 needing a look." in digest
     again = run_daily(landing.read_landed(spark, landed), root, rules, datetime(2024, 5, 16, 9))
     assert again.totals.first()["new_since_last_run"] == 0
-    scored_run = run_daily(landing.read_landed(spark, landed), str(tmp_path / "scored"), rules, NOW, make_scorer=flaky, profile=PROFILE)
+    scored_run = run_daily(landing.read_landed(spark, landed), str(tmp_path / "scored"), rules, NOW, make_scorer=flaky, prompt=PROMPT)
     assert {r["classification"]["confidence"] for r in scored_run.scored.collect()} == {0.9}
 
 
