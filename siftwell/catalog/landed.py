@@ -455,23 +455,18 @@ def quarantine(spark, sf_dir):
     "source_report",
     f"""WITH {MIXED_SQL},
 f AS (SELECT src, count(*) AS n FROM m WHERE error IS NULL AND NOT (src = 'lever' AND l_linenumber = 1) GROUP BY src),
-b AS (SELECT src, count(DISTINCT slug) AS n, md5(string_agg(DISTINCT slug, ', ' ORDER BY slug)) AS names FROM m
+b AS (SELECT src, count(DISTINCT slug) AS n FROM m
       WHERE error IS NOT NULL GROUP BY src),
 s(src) AS (VALUES ('greenhouse'), ('lever'), ('remotive'), ('remoteok'), ('ashby'))
 SELECT src AS source, b.n IS NULL OR coalesce(f.n, 0) > 0 AS ok, coalesce(f.n, 0) AS fetched,
-  coalesce(b.n || ' company slug(s) failed', '') AS error, coalesce(names, '') AS names_md5
+  coalesce(b.n || ' company slug(s) failed', '') AS error
 FROM s LEFT JOIN f USING (src) LEFT JOIN b USING (src)""",
 )
 def source_report(spark, sf_dir):
     good, bad = collect.quarantine(mixed_bronze(spark, sf_dir))
     sources = spark.createDataFrame([("greenhouse",), ("lever",), ("remotive",), ("remoteok",), ("ashby",)], "source string")
     report = reports.source_report(collect.collect_bronze(good), bad, sources)
-    named = F.split_part("error", F.lit(": "), F.lit(2))
-    return report.select(
-        "source", "ok", "fetched",
-        F.coalesce(F.split_part("error", F.lit(": "), F.lit(1)), F.lit("")).alias("error"),
-        F.coalesce(F.md5(named), F.lit("")).alias("names_md5"),
-    )
+    return report.select("source", "ok", "fetched", F.coalesce("error", F.lit("")).alias("error"))
 
 
 @query(

@@ -86,15 +86,17 @@ def run_guard(spark, sf_dir):
     return out.select("source", "ok", "fetched", F.coalesce("error", F.lit("")).alias("error"))
 
 
+ENTRY_SQL = """CASE WHEN confidence < 0.6 THEN '- [' || title || '](' || url || ') — ' || company || ' · confidence ' || confidence || chr(10) || '  because ' || seq
+    ELSE '- **[' || title || '](' || url || ')** — ' || company || chr(10) || '  ' || CASE WHEN location = '' THEN 'location not stated' ELSE location END
+      || ' · ' || type || CASE WHEN seq % 5 = 0 THEN ' · 5k' ELSE '' END || CASE WHEN age <> 0 THEN ' · seen ' || age || 'd' ELSE '' END
+      || chr(10) || '  because ' || seq END"""
+
+
 @query(
     "digest_sections",
     f"""WITH {STAR_SQL}, {SEEN_SQL}, {SCORED_SQL}, d AS (SELECT s.*, seen.url IS NULL AS is_new, coalesce(date_diff('day', first_seen, DATE '2001-09-01'), 0) AS age
   FROM scored s LEFT JOIN seen USING (url) WHERE eligible)
-SELECT seq, CASE WHEN confidence < 0.6 THEN 3 WHEN is_new THEN 1 ELSE 2 END AS section,
-  CASE WHEN confidence < 0.6 THEN '- [' || title || '](' || url || ') — ' || company || ' · confidence ' || confidence || chr(10) || '  because ' || seq
-    ELSE '- **[' || title || '](' || url || ')** — ' || company || chr(10) || '  ' || CASE WHEN location = '' THEN 'location not stated' ELSE location END
-      || ' · ' || type || CASE WHEN seq % 5 = 0 THEN ' · 5k' ELSE '' END || CASE WHEN age <> 0 THEN ' · seen ' || age || 'd' ELSE '' END
-      || chr(10) || '  because ' || seq END AS line FROM d""",
+SELECT seq, CASE WHEN confidence < 0.6 THEN 3 WHEN is_new THEN 1 ELSE 2 END AS section, {ENTRY_SQL} AS line FROM d""",
 )
 def digest_sections(spark, sf_dir):
     scored, _ = scored_with_history(spark, sf_dir)
@@ -104,18 +106,48 @@ def digest_sections(spark, sf_dir):
 
 @query(
     "digest_text",
-    f"""WITH {STAR_SQL}, {SEEN_SQL}, {SCORED_SQL}, d AS (SELECT CASE WHEN confidence < 0.6 THEN 3 WHEN url NOT IN (SELECT url FROM seen) THEN 1 ELSE 2 END AS section FROM scored WHERE eligible),
+    f"""WITH {STAR_SQL}, {SEEN_SQL}, {SCORED_SQL}, d AS (SELECT s.*, CASE WHEN confidence < 0.6 THEN 3 WHEN seen.url IS NULL THEN 1 ELSE 2 END AS section,
+  coalesce(date_diff('day', first_seen, DATE '2001-09-01'), 0) AS age FROM scored s LEFT JOIN seen USING (url) WHERE eligible),
 n AS (SELECT count(*) FILTER (section = 1) AS a, count(*) FILTER (section = 2) AS b, count(*) FILTER (section = 3) AS c FROM d)
-SELECT 0 AS part, '# Postings — 2001-09-01' || chr(10) || chr(10) || a || ' new, ' || b || ' still open, ' || c || ' needing a look.' AS line FROM n
-UNION ALL SELECT DISTINCT section, '## ' || ['New today', 'Still open', 'Low confidence, worth a glance'][section] FROM d
-UNION ALL SELECT 4, '- broken: feed is down'""",
+SELECT 0 AS part, -1 AS late, 0 AS at, 0 AS nth, '# Postings — 2001-09-01' || chr(10) || chr(10) || a || ' new, ' || b || ' still open, ' || c || ' needing a look.' AS line FROM n
+UNION ALL SELECT DISTINCT section, -1, 0, 0, '## ' || ['New today', 'Still open', 'Low confidence, worth a glance'][section] FROM d
+UNION ALL SELECT section, CASE WHEN posted_at IS NULL THEN 1 ELSE 0 END, coalesce(-epoch_us(posted_at), 0), ord, {ENTRY_SQL} FROM d
+UNION ALL SELECT 4, -1, 0, 0, '## Sources that failed' UNION ALL SELECT 4, 0, 0, 0, '- broken: feed is down'""",
 )
 def digest_text(spark, sf_dir):
-    """The digest's title, headings and failed sources."""
+    """Every line of the digest with its place: title, headings, entries newest first, failed sources."""
     scored, _ = scored_with_history(spark, sf_dir)
     sources = spark.createDataFrame([("broken", False, "feed is down"), ("fine", True, None)], "source string, ok boolean, error string")
     lines = reports.digest_lines(reports.digest_sections(scored), sources, NOW)
-    return lines.where((F.col("place") < 0) | F.col("part").isin(0, 4)).select("part", "line")
+    # A failed source is placed by a hash of its name.
+    nth = F.when(F.col("part") == 4, F.lit(0)).otherwise(F.col("place.nth"))
+    return lines.select("part", "place.late", "place.at", nth.cast("long").alias("nth"), "line")
+
+
+@query(
+    "run_summary",
+    f"""WITH {LOG_SQL}, s AS (SELECT company AS source, count(*) FILTER (status <> 'failed') > count(*) FILTER (status = 'failed') * 4 AS ok,
+  count(*) AS fetched FROM log GROUP BY company), f AS (SELECT count(*) AS n, string_agg(source, ', ' ORDER BY source) AS names FROM s WHERE NOT ok)
+SELECT 0 AS part, '' AS source, 'Sources:' AS line UNION ALL
+SELECT 1, source, '  ' || rpad(source, 16, ' ') || ' ' || CASE WHEN ok THEN fetched::VARCHAR ELSE 'FAILED (too many)' END || '  ' || fetched * 3 || 'ms' FROM s UNION ALL
+SELECT 2, '', 'Fetched ' || count(*) || ', ' || count(*) FILTER (status <> 'failed') || ' past the prefilter, ' || count(DISTINCT url) || ' after dedupe, '
+  || count(*) FILTER (status = 'applied') || ' eligible, 0 new since the last run.' FROM log UNION ALL
+SELECT 3, '', 'Classifier: ' || count(*) || ' calls to local/plain, $1.2500.' FROM log UNION ALL
+SELECT 4, '', n || ' source(s) failed: ' || names FROM f WHERE n > 0""",
+)
+def run_summary(spark, sf_dir):
+    """The run report as text: sources with times, counters, the classifier's bill, failed sources."""
+    log = action_log(spark, sf_dir)
+    failed = F.count_if(F.col("status") == "failed")
+    n = F.count(F.lit(1))
+    sources = log.groupBy(F.col("company").alias("source")).agg((n - failed > failed * 4).alias("ok"), n.alias("fetched"))
+    sources = sources.select("*", F.when(~F.col("ok"), F.lit("too many")).alias("error"), (F.col("fetched") * 3).alias("duration_ms"))
+    totals = log.agg(
+        n.alias("fetched"), (n - failed).alias("after_prefilter"), F.countDistinct("url").alias("after_dedupe"),
+        F.count_if(F.col("status") == "applied").alias("eligible"), F.lit(0).cast("long").alias("new_since_last_run"),
+    )
+    bill = log.agg(n.alias("calls")).select("calls", F.lit("local").alias("provider"), F.lit("plain").alias("model"), F.lit(1.25).alias("cost_usd"))
+    return reports.summary_lines(sources, totals, bill)
 
 
 @query(

@@ -9,6 +9,7 @@ from siftwell.functions.money import estimate_cost, per_thousand, ratio, to_fixe
 from siftwell.functions.text import format_pct, golden_id, trim_space
 from siftwell.operators.distinct import latest_per_key
 from siftwell.schema import EMPLOYMENT_TYPES, Pricing
+from siftwell.sources.payloads import kind, one_value
 
 # Set sizes below which scores are not reportable, the share tolerance,
 # and how many disagreements a report lists.
@@ -29,7 +30,9 @@ def parse_golden(lines: DataFrame, order: str = "ord") -> DataFrame:
     and the last line per id wins."""
     text = trim_space(F.col("value"))
     bad = F.raise_error(F.concat(F.lit("line "), F.col(order).cast("string"), F.lit(" is not valid JSON")))
-    valid = F.when(F.try_parse_json(text).isNotNull(), F.lit(True)).otherwise(bad)
+    # A line holds one object: neither a second one nor anything else may follow it.
+    one = F.coalesce(F.startswith(kind(one_value(text)), F.lit("OBJECT")), F.lit(False))
+    valid = F.when(one, F.lit(True)).otherwise(bad)
     parsed = lines.where(text != "").where(valid).withColumn("_json", F.from_json(text, GOLDEN))
     return latest_per_key(parsed.select(order, "_json.*"), ["id"], order)
 

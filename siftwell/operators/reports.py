@@ -9,12 +9,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from siftwell.functions.money import to_fixed
 from siftwell.schema import REVIEW_BELOW, SOURCE_REPORT, as_lit
 
 # Digest sections in reading order, and the words used in the texts.
 DIGEST_SECTIONS = ["New today", "Still open", "Low confidence, worth a glance"]
 ACTION_SECTIONS = {"applied": "Submitted today", "dry-run": "Filled but not submitted, dry run", "review": "Needs you", "failed": "Errors"}
 NO_PLACE, NOTHING_TODAY, MANUAL_SITE = "location not stated", "Nothing matched today.", "manual site"
+FAILED_SOURCES = "Sources that failed"
 PREVIEW_LINES = 12
 
 
@@ -46,20 +48,20 @@ def run_source(
 
 
 def source_report(postings: DataFrame, failures: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per source: rows fetched, whether it is ok, and which companies failed.
+    """Per source: rows fetched, whether it is ok, and how many companies failed.
 
-    ``failures`` has source and company (one row per failed company, at most the configured
-    ones); ``sources`` lists the sources of the run. A source whose companies failed and that
-    gave no rows at all is not ok.
+    ``failures`` has source and company, and stays a table of its own, however many fail;
+    ``sources`` lists the sources of the run. A source whose companies failed and that gave no
+    rows at all is not ok.
     """
     fetched = postings.groupBy("source").agg(F.count(F.lit(1)).alias("fetched"))
     failed = (
         failures.select("source", "company")
         .distinct()
         .groupBy("source")
-        .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("company")).alias("names"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    text = F.concat(F.col("n").cast("string"), F.lit(" company slug(s) failed: "), F.array_join("names", ", "))
+    text = F.concat(F.col("n").cast("string"), F.lit(" company slug(s) failed"))
     return (
         sources.select("source")
         .join(fetched, "source", "left")
@@ -120,21 +122,31 @@ def run_report(
     return out.drop("_run").select(as_lit(started).alias("started_at"), as_lit(finished).alias("finished_at"), "*")
 
 
-def summary_lines(sources: DataFrame, totals: DataFrame) -> DataFrame:
-    """The run report as ordered text lines."""
+def summary_lines(sources: DataFrame, totals: DataFrame, classifier: DataFrame | None = None) -> DataFrame:
+    """The run report as ordered text lines (``part``, ``source``, ``line``).
+
+    ``sources`` may carry ``duration_ms``; ``classifier`` is one row with calls, provider, model and
+    cost_usd. A run has a fixed number of sources, whose names the last line lists.
+    """
     status = F.when(F.col("ok"), F.col("fetched").cast("string")).otherwise(
         F.concat(F.lit("FAILED ("), F.coalesce("error", F.lit("")), F.lit(")"))
     )
-    per_source = sources.select(
-        F.lit(1).alias("part"), "source", F.concat(F.lit("  "), F.rpad("source", 16, " "), F.lit(" "), status).alias("line")
-    )
+    took = F.concat(F.lit("  "), F.col("duration_ms").cast("string"), F.lit("ms")) if "duration_ms" in sources.columns else F.lit("")
+    line = F.concat(F.lit("  "), F.rpad("source", 16, " "), F.lit(" "), status, F.coalesce(took, F.lit("")))
+    row = lambda part, text: (F.lit(part).alias("part"), F.lit("").alias("source"), text.alias("line"))
     counted = F.format_string(
         "Fetched %d, %d past the prefilter, %d after dedupe, %d eligible, %d new since the last run.",
         "fetched", "after_prefilter", "after_dedupe", "eligible", "new_since_last_run",
     )
-    return per_source.unionByName(totals.select(F.lit(2).alias("part"), F.lit("").alias("source"), counted.alias("line"))).orderBy(
-        "part", "source"
-    )
+    out = totals.select(*row(0, F.lit("Sources:")))
+    out = out.unionByName(sources.select(F.lit(1).alias("part"), "source", line.alias("line")))
+    out = out.unionByName(totals.select(*row(2, counted)))
+    if classifier is not None:
+        bill = F.format_string("Classifier: %d calls to %s/%s, $%s.", "calls", "provider", "model", to_fixed(F.col("cost_usd"), 4))
+        out = out.unionByName(classifier.select(*row(3, bill)))
+    lost = sources.where(~F.col("ok")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("source")).alias("names"))
+    named = F.format_string("%d source(s) failed: %s", "n", F.array_join("names", ", "))
+    return out.unionByName(lost.where(F.col("n") > 0).select(*row(4, named))).orderBy("part", "source")
 
 
 # ---- digest ----
@@ -179,13 +191,19 @@ def digest_lines(
 ) -> DataFrame:
     """The digest as ordered lines (``part``, ``place``, ``line``); write it after a sort by them.
 
-    Entries keep the newest-first order of the scored postings.
+    Entries are listed newest first, those without a date last.
     """
+
+    def place(late: Column | int, at: Column | int, nth: Column | int) -> Column:
+        late, at, nth = (c if isinstance(c, Column) else F.lit(c) for c in (late, at, nth))
+        return F.struct(late.cast("int").alias("late"), at.cast("bigint").alias("at"), nth.cast("bigint").alias("nth")).alias("place")
+
+    top = place(-1, 0, 0)
     head = digest_counts(sections)
     day = F.date_format(as_lit(now), "yyyy-MM-dd")
     title = head.select(
         F.lit(0).alias("part"),
-        F.lit(0).cast("bigint").alias("place"),
+        top,
         F.concat(
             F.lit(f"# {heading} — "), day, F.lit("\n\n"),
             F.format_string("%d new, %d still open, %d needing a look.", "fresh", "ongoing", "review"),
@@ -194,15 +212,18 @@ def digest_lines(
     )
     headings = F.element_at(F.array(*[F.lit(s) for s in DIGEST_SECTIONS]), F.col("section"))
     tops = sections.select("section").distinct().select(
-        F.col("section").alias("part"), F.lit(-1).cast("bigint").alias("place"), F.concat(F.lit("## "), headings).alias("line")
+        F.col("section").alias("part"), top, F.concat(F.lit("## "), headings).alias("line")
     )
-    entries = sections.select(F.col("section").alias("part"), F.col(order).alias("place"), digest_entry().alias("line"))
+    posted = F.col("posted_at")
+    newest = place(posted.isNull(), F.coalesce(-F.unix_micros(posted), F.lit(0)), F.col(order))
+    entries = sections.select(F.col("section").alias("part"), newest, digest_entry().alias("line"))
     broken = sources.where(~F.col("ok")).select(
         F.lit(4).alias("part"),
-        F.xxhash64("source").alias("place"),
+        place(0, 0, F.xxhash64("source")),
         F.concat(F.lit("- "), F.col("source"), F.lit(": "), F.coalesce("error", F.lit(""))).alias("line"),
     )
-    return title.unionByName(tops).unionByName(entries).unionByName(broken)
+    failed = broken.limit(1).select("part", top, F.lit("## " + FAILED_SOURCES).alias("line"))
+    return title.unionByName(tops).unionByName(entries).unionByName(failed).unionByName(broken)
 
 
 # ---- actions ----

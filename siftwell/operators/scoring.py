@@ -18,7 +18,7 @@ from siftwell.operators.distinct import latest_per_key
 from siftwell.operators.evaluate import with_cost
 from siftwell.runtime import cut_lineage
 from siftwell.schema import EMPLOYMENT_TYPES, Pricing
-from siftwell.sources.payloads import field, is_number, kind, number_text
+from siftwell.sources.payloads import field, is_number, kind, number_text, one_value
 
 # A scorer takes (system, user) and returns (text, input tokens, output tokens). It is made from
 # the number of the attempt, counted from 0.
@@ -70,14 +70,6 @@ def render_prompt(prompt: Prompt) -> Column:
     return F.concat(*parts, F.lit(rest))
 
 
-def _strict(c: Column) -> Column:
-    """Variant of a text that is one JSON value and nothing more; NULL otherwise."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
-    return let(
-        F.try_variant_get(wrapped, "$", "array<variant>"), lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0)))
-    )
-
-
 def extract_json(response: Column) -> Column:
     """The JSON value of a reply: the whole text, the first fence, or its outermost braces."""
     fence = r"```(?:json)?([\s\S]*?)```"
@@ -87,7 +79,7 @@ def extract_json(response: Column) -> Column:
 
     def read(candidate: Column) -> Column:
         braces = F.regexp_extract(candidate, r"\{[\s\S]*\}", 0)
-        return F.coalesce(_strict(candidate), F.when(braces != "", _strict(braces)))
+        return F.coalesce(one_value(candidate), F.when(braces != "", one_value(braces)))
 
     return let(let(trim_space(F.coalesce(response, F.lit(""))), body), read)
 

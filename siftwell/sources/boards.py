@@ -137,13 +137,15 @@ def detail_texts(details: DataFrame) -> DataFrame:
         ),
         "\n",
     )
-    return details.select("company", "id", pick_description(joined).alias("detail"))
+    texts = details.select("company", "id", pick_description(joined).alias("detail"))
+    # A document that landed twice counts once.
+    return texts.groupBy("company", "id").agg(F.max("detail").alias("detail"))
 
 
 def from_smartrecruiters(bronze: DataFrame, details: DataFrame) -> DataFrame:
     """List documents joined to detail documents, for plausible titles only.
 
-    (company, id) is unique on both sides, so the join has no hot key.
+    (company, id) is made unique among the details, so a document landed twice doubles nothing.
     """
     raw = F.col("raw")
     rows = explode_list(bronze, "smartrecruiters", "content").select(

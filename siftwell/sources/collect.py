@@ -31,7 +31,7 @@ READERS: dict[str, Reader] = {
     "linkedin": feeds.from_linkedin_cards,
 }
 
-XML_SOURCES = {"personio": "<workzag-jobs", "weworkremotely": "<rss"}
+XML_SOURCES = {"personio": "workzag-jobs", "weworkremotely": "rss"}
 HTML_SOURCES = {"linkedin"}
 
 
@@ -51,8 +51,10 @@ def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
 def collect_bronze(bronze: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """Every source of the bronze table, one union. ``bronze`` is best partitioned by source."""
     frames = {name: read(bronze) for name, read in READERS.items()}
-    if details is not None:
-        frames["smartrecruiters"] = boards.from_smartrecruiters(bronze, details)
+    if details is None:
+        # Postings of a source without landed details stay, with an empty description.
+        details = bronze.sparkSession.createDataFrame([], "company string, id string, payload string")
+    frames["smartrecruiters"] = boards.from_smartrecruiters(bronze, details)
     return union_sources(frames)
 
 
@@ -72,16 +74,24 @@ def payload_error() -> Column:
     """Why a landed document cannot be read; NULL for one that can."""
     payload = F.col("payload")
     blank = F.coalesce(F.length(F.trim(payload)), F.lit(0)) == 0
-    xml = F.lit(None).cast("boolean")
+    xml = F.lit(None).cast("string")
     for source, root in XML_SOURCES.items():
-        xml = F.when(F.col("source") == source, payload.contains(root)).otherwise(xml)
+        # The reader marks what it cannot parse whole; an end tag that is missing means a cut.
+        record = F.from_xml(payload, "_corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
+        error = (
+            F.when(~payload.contains(f"<{root}"), F.lit("not the expected XML"))
+            .when(~F.rlike(payload, F.lit(rf"</{root}\s*>\s*\z|<{root}[^<>]*/>\s*\z")), F.lit("cut-off XML"))
+            .when(record["_corrupt_record"].isNotNull(), F.lit("damaged XML"))
+            .otherwise(F.lit(""))
+        )
+        xml = F.when(F.col("source") == source, error).otherwise(xml)
     # Brackets around the text refuse whatever follows a complete document.
     whole = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
     return (
         F.when(blank, F.lit("empty payload"))
         .when(F.col("source").isin(*HTML_SOURCES), F.lit(None))
-        .when(xml, F.lit(None))
-        .when(xml.isNotNull(), F.lit("not the expected XML"))
+        .when(xml == "", F.lit(None))
+        .when(xml.isNotNull(), xml)
         .when(whole.isNull(), F.lit("not valid JSON"))
     )
 

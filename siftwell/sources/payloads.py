@@ -36,6 +36,14 @@ def string_or_null(value: Column) -> Column:
     return F.when(kind(value) == "STRING", value.cast("string"))
 
 
+def one_value(c: Column) -> Column:
+    """Variant of a text that is one JSON value and nothing more; NULL otherwise."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return let(
+        F.try_variant_get(wrapped, "$", "array<variant>"), lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0)))
+    )
+
+
 def text(raw: Column, path: str) -> Column:
     """The field if it is a JSON string, else NULL."""
     return string_or_null(field(raw, path))

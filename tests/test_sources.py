@@ -116,9 +116,22 @@ def test_cards_go_by_position(spark):
 def test_quarantine_splits_bad_documents(spark):
     good = bronze(spark, "greenhouse", {"jobs": []})
     bad = bronze(spark, "greenhouse", '{"jobs": []} trailing').unionByName(bronze(spark, "personio", "<html/>")).unionByName(bronze(spark, "lever", " "))
-    ok, failed = collect.quarantine(good.unionByName(bad))
-    assert ok.count() == 1
-    assert sorted(r["error"] for r in failed.collect()) == ["empty payload", "not the expected XML", "not valid JSON"]
+    rss = "<rss><channel><item><title>A: B</title></item>"
+    cut = bronze(spark, "weworkremotely", rss).unionByName(bronze(spark, "weworkremotely", rss + "<item></channel></rss>"))
+    whole = bronze(spark, "weworkremotely", rss + "</channel></rss>\n").unionByName(bronze(spark, "personio", "<workzag-jobs/>"))
+    ok, failed = collect.quarantine(good.unionByName(bad).unionByName(cut).unionByName(whole))
+    assert ok.count() == 3
+    assert sorted(r["error"] for r in failed.collect()) == [
+        "cut-off XML", "damaged XML", "empty payload", "not the expected XML", "not valid JSON",
+    ]
+
+
+def test_smartrecruiters_without_details_keeps_its_postings(spark):
+    feed = bronze(spark, "smartrecruiters", {"content": [{"id": "1", "name": "React dev"}]})
+    rows = collect.collect_bronze(feed).collect()
+    assert [(r["title"], r["description"]) for r in rows] == [("React dev", "")]
+    twice = spark.createDataFrame([(feed.first()["company"], "1", '{"jobAd": {"sections": {"a": {"title": "T", "text": "x"}}}}')] * 2, "company string, id string, payload string")
+    assert [r["description"] for r in collect.collect_bronze(feed, twice).collect()] == ["T\nx"]
 
 
 def page(spark, html, url="https://www.orbit.example.com/a/b"):

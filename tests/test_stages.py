@@ -307,7 +307,7 @@ def test_run_daily_end_to_end(spark, tmp_path):
     run = run_daily(landing.read_landed(spark, landed), root, rules, NOW)
     totals = run.totals.first().asDict()
     assert totals == {"fetched": 4, "after_prefilter": 3, "after_dedupe": 2, "classified": 2, "eligible": 2, "new_since_last_run": 2}
-    assert {r["source"]: r["error"] for r in run.sources.collect()} == {"greenhouse": "1 company slug(s) failed: lost", "remotive": None}
+    assert {r["source"]: r["error"] for r in run.sources.collect()} == {"greenhouse": "1 company slug(s) failed", "remotive": None}
     assert sorted(r["url"] for r in sinks.read_csv(spark, f"{root}/latest_csv").collect()) == ["https://x.example.com/1", "https://x.example.com/3"]
     digest = [r["value"] for r in spark.read.text(f"{root}/digest").collect()]
     assert digest[0] == "# Postings — 2024-05-15" and "0 new, 0 still open, 2 needing a look." in digest
