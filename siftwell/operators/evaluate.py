@@ -37,13 +37,13 @@ def parse_golden(lines: DataFrame, order: str = "ord") -> DataFrame:
     return latest_per_key(parsed.select(order, "_json.*"), ["id"], order)
 
 
-def golden_stats(golden: DataFrame) -> DataFrame:
-    """One row: sizes, a count per employment type, balance and small-set warnings."""
+def golden_stats(golden: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One row, or one per ``by``: sizes, a count per employment type, balance and small-set warnings."""
     eligible = F.col("label.eligible")
     counts = [
         F.count_if(F.col("label.employment_type") == t).alias(f"n_{t}") for t in EMPLOYMENT_TYPES
     ]
-    base = golden.agg(F.count(F.lit(1)).alias("total"), F.count_if(eligible).alias("eligible"), *counts)
+    base = golden.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("total"), F.count_if(eligible).alias("eligible"), *counts)
     share = F.try_divide(F.col("eligible").cast("double"), F.col("total").cast("double"))
     balanced = F.coalesce(F.abs(share - 0.5) <= BALANCE_TOLERANCE, F.lit(False))
     return (

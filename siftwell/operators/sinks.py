@@ -88,5 +88,22 @@ def load_state(spark: SparkSession, path: str, schema: StructType | str, on_corr
     return empty
 
 
+def open_state(spark: SparkSession, root: str, schema: StructType | str) -> tuple[DataFrame, str]:
+    """State that costs little to lose, and the folder to append to.
+
+    The state lives in numbered versions below ``root``; the newest counts. A damaged version is
+    left as it is and read as empty, and what comes next goes into a fresh one, so one bad line
+    does not spoil all later runs.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    newest = max([int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()], default=1)
+    try:
+        return load_state(spark, f"{root}/v={newest}", schema), f"{root}/v={newest}"
+    except CorruptState:
+        return spark.createDataFrame([], schema), f"{root}/v={newest + 1}"
+
+
 def append_state(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)

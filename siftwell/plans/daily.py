@@ -68,7 +68,7 @@ def run_daily(
         scores = scoring.score_once(keyed, make_scorer, prompt, f"{root}/scores")
         scored = keyed.join(scores.select("id", "classification"), "id").drop("id")
 
-    history = sinks.load_state(spark, f"{root}/history", HISTORY, on_corrupt="empty")
+    history, history_home = sinks.open_state(spark, f"{root}/history", HISTORY)
     scored = cut_lineage(mark_new(scored, history).drop("first_seen"))
     sources = cut_lineage(reports.source_report(postings, bad, bronze.select("source").distinct()))
     totals = cut_lineage(reports.run_totals(marked, deduped, scored))
@@ -79,6 +79,6 @@ def run_daily(
     sinks.write_lines(reports.digest_lines(sections, sources, now), f"{root}/digest", "part", "place")
     run = reports.run_report(sources, totals, now, now)
     run.write.mode("overwrite").json(f"{root}/run_report")
-    sinks.append_state(unseen(scored, history, now), f"{root}/history")
+    sinks.append_state(unseen(scored, history, now), history_home)
     reports.require_health(sources)
     return DailyRun(scored, sources, totals, prefilter.drop_counts(marked))

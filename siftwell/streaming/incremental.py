@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,24 +48,39 @@ def stream_first_seen(stream: DataFrame, target: str, checkpoint: str, moment: s
     """First-seen state as a table of batches; read it with :func:`first_seen_table`.
 
     Nothing expires, so the state lives in the table and no watermark is needed. A batch adds a url
-    it knows no date for, and also one that a late file dates earlier than all batches before. A
-    repeated batch reads only the folders of earlier batches and overwrites its own.
+    it knows no date for, and also one that a late file dates earlier than all batches before.
+    Batches are numbered per checkpoint folder, so a folder of the table is named after both: a
+    repeated batch does not read its own folder and overwrites it, and a run with a new checkpoint
+    folder adds to what earlier ones left.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         named = batch.where(F.coalesce(F.col("url"), F.lit("")) != "")
         first = named.groupBy("url").agg(F.to_date(F.min(moment)).alias("first_seen"))
-        if batch_id > 0:
-            known = first_seen_table(batch.sparkSession, target, batch_id).withColumnRenamed("first_seen", "_known")
+        rows = _first_seen_rows(batch.sparkSession, target)
+        if rows is not None:
+            others = rows.where((F.col("run") != run) | (F.col("batch") < batch_id))
+            known = others.groupBy("url").agg(F.min("first_seen").alias("_known"))
             first = first.join(known, "url", "left").where(F.col("_known").isNull() | (F.col("first_seen") < F.col("_known")))
-        first.select("url", "first_seen").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        first.select("url", "first_seen").write.mode("overwrite").parquet(f"{target}/run={run}/batch={batch_id}")
 
     return run_available(stream, handle, checkpoint)
 
 
-def first_seen_table(spark: SparkSession, target: str, before_batch: int | None = None) -> DataFrame:
-    """History as (url, first_seen), from all batches or from those before one."""
-    rows = spark.read.schema("url string, first_seen date, batch bigint").parquet(target)
-    if before_batch is not None:
-        rows = rows.where(F.col("batch") < before_batch)
+def _first_seen_rows(spark: SparkSession, target: str) -> DataFrame | None:
+    """Rows of all runs and batches; None before the first."""
+    try:
+        return spark.read.schema("url string, first_seen date, run string, batch bigint").parquet(target)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def first_seen_table(spark: SparkSession, target: str) -> DataFrame:
+    """History as (url, first_seen), from all batches."""
+    rows = _first_seen_rows(spark, target)
+    if rows is None:
+        return spark.createDataFrame([], "url string, first_seen date")
     return rows.groupBy("url").agg(F.min("first_seen").alias("first_seen"))

@@ -182,6 +182,20 @@ def test_state_policies(spark, tmp_path):
         sinks.load_state(spark, path, HISTORY, on_corrupt="raise")
 
 
+def test_a_damaged_state_heals(spark, tmp_path):
+    root = str(tmp_path / "state")
+    day = spark.createDataFrame([("a", date(2024, 1, 1))], HISTORY)
+    rows, home = sinks.open_state(spark, root, HISTORY)
+    assert rows.count() == 0
+    sinks.append_state(day, home)
+    spark.createDataFrame([("{bad",)], "value string").write.mode("append").text(home)
+    rows, fresh = sinks.open_state(spark, root, HISTORY)
+    assert rows.count() == 0 and fresh != home
+    sinks.append_state(day, fresh)
+    rows, again = sinks.open_state(spark, root, HISTORY)
+    assert again == fresh and rows.count() == 1
+
+
 def record(url, company="A", status="applied", at=NOW, **more):
     base = dict.fromkeys(LEDGER.names)
     return {**base, "url": url, "company": company, "title": "T", "lane": "ats", "status": status, "at": at, **more}
@@ -335,6 +349,10 @@ def test_streaming_history_over_batches(spark, tmp_path):
     assert run() == {"a": "2024-01-02", "b": "2024-02-01"}
     land([("b", datetime(2024, 1, 15))])
     assert run() == {"a": "2024-01-02", "b": "2024-01-15"}
+    # A lost checkpoint folder reads everything again and forgets nothing.
+    progress = str(tmp_path / "progress2")
+    land([("c", datetime(2024, 1, 9))])
+    assert run() == {"a": "2024-01-02", "b": "2024-01-15", "c": "2024-01-09"}
 
 
 def test_ingest_reads_every_file_once(spark, tmp_path):
