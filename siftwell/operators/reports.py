@@ -75,6 +75,14 @@ def source_report(postings: DataFrame, failures: DataFrame, sources: DataFrame)
     )
 
 
+def guarded_report(report: DataFrame, guards: DataFrame) -> DataFrame:
+    """Source reports joined with what the guard of each source saw (one row per source)."""
+    g = guards.select("source", F.col("ok").alias("_ok"), "duration_ms", F.col("error").alias("_error"))
+    return report.join(g, "source").select(
+        "source", (F.col("ok") & F.col("_ok")).alias("ok"), "fetched", "duration_ms", F.coalesce("_error", "error").alias("error")
+    )
+
+
 def run_health(report: DataFrame) -> DataFrame:
     """One row: healthy when more than half of the sources are ok; never without sources."""
     ok, total = F.count_if("ok"), F.count(F.lit(1))

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from siftwell.operators import dedupe as dd
 from siftwell.operators import prefilter, reports, scoring, sinks
 from siftwell.operators.history import mark_new, unseen, with_age
 from siftwell.operators.ordering import newest_first
 from siftwell.runtime import cut_lineage
-from siftwell.schema import HISTORY, FilterRules
+from siftwell.schema import HISTORY, POSTING, FilterRules, Pricing
 from siftwell.sources import collect
 
 
@@ -35,6 +39,39 @@ class DailyRun:
     sources: DataFrame
     totals: DataFrame
     drop_counts: DataFrame
+    failed_companies: DataFrame
+
+
+@dataclass(frozen=True)
+class Web:
+    """Landed pages, and the company sites and job boards to read on them."""
+
+    pages: DataFrame
+    sites: DataFrame | None = None
+    boards: DataFrame | None = None
+
+
+def land_sources(readers: dict[str, Callable[[], DataFrame]], silver: str, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """Each source written on its own, and read back as one: (postings, what the guards saw).
+
+    A source that cannot be read is reported and gives no rows; the others go on.
+    """
+
+    def write(name: str) -> Callable[[DataFrame], int]:
+        def to_table(rows: DataFrame) -> int:
+            path = f"{silver}/part_of={name}"
+            collect.union_sources({name: rows}).write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path).count()
+
+        return to_table
+
+    # One small row per source.
+    guards = [reports.run_source(spark, name, read, write(name)) for name, read in readers.items()]
+    guards = cut_lineage(reduce(DataFrame.unionByName, guards))
+    paths = [f"{silver}/part_of={r['source']}" for r in guards.where("ok").collect()]
+    schema = StructType(list(POSTING) + [StructField("ord", LongType())])
+    rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return rows, guards
 
 
 def run_daily(
@@ -45,40 +82,54 @@ def run_daily(
     details: DataFrame | None = None,
     make_scorer: scoring.MakeScorer | None = None,
     prompt: scoring.Prompt = scoring.FULL,
+    web: Web | None = None,
+    pricing: Pricing = Pricing(),
 ) -> DailyRun:
-    """One run over a landing table, written below ``root``.
+    """One run over a landing table, and over landed pages if given, written below ``root``.
 
-    Postings and scores are written once and read back, so nothing is parsed or paid for twice.
-    The history is appended after the outputs, and an unhealthy run raises at the very end.
+    Every source is read behind a guard of its own. Postings and scores are written once and read
+    back, so nothing is parsed or paid for twice. The history is appended after the outputs, and
+    an unhealthy run raises at the very end.
     """
     spark = bronze.sparkSession
+    began = time.monotonic()
     good, bad = collect.quarantine(bronze)
+    bad = cut_lineage(bad.select("source", "company", "error"))
+    frames = collect.source_frames(good, details)
+    # The names of the sources that landed: at most the registered ones.
+    named = {r["source"] for r in bronze.select("source").distinct().collect()}
+    readers: dict[str, Callable[[], DataFrame]] = {n: (lambda f=f: f) for n, f in frames.items() if n in named}
+    if web is not None:
+        readers |= collect.web_frames(web.sites, web.boards, web.pages)
     silver = f"{root}/silver/run_date={now:%Y-%m-%d}"
-    collect.collect_bronze(good, details).write.mode("overwrite").parquet(silver)
-    postings = spark.read.parquet(silver)
+    postings, guards = land_sources(readers, silver, spark)
 
     marked = prefilter.with_drop_reason(postings, rules, now)
     passing = cut_lineage(prefilter.kept(marked))
     deduped = cut_lineage(dd.dedupe(passing))
+    bill = None
     if make_scorer is None:
         scored = scoring.score_disabled(deduped)
     else:
         # The whole hash: the short golden id is a label, and too short for a join key.
         keyed = deduped.withColumn("id", F.sha2(F.concat_ws("\u0001", "url", "company", "title"), 256))
         scores = scoring.score_once(keyed, make_scorer, prompt, f"{root}/scores")
+        scores = cut_lineage(scores.join(keyed.select("id").distinct(), "id", "left_semi"))
         scored = keyed.join(scores.select("id", "classification"), "id").drop("id")
+        bill = scoring.score_stats(scores, pricing=pricing)
 
     history, history_home = sinks.open_state(spark, f"{root}/history", HISTORY)
     scored = cut_lineage(mark_new(scored, history).drop("first_seen"))
-    sources = cut_lineage(reports.source_report(postings, bad, bronze.select("source").distinct()))
+    sources = cut_lineage(reports.guarded_report(reports.source_report(postings, bad, guards), guards))
     totals = cut_lineage(reports.run_totals(marked, deduped, scored))
 
     sinks.write_snapshots(scored, root, now.date())
     sinks.write_csv(newest_first(scored), f"{root}/latest_csv")
     sections = reports.digest_sections(with_age(scored, history, now))
     sinks.write_lines(reports.digest_lines(sections, sources, now), f"{root}/digest", "part", "place")
-    run = reports.run_report(sources, totals, now, now)
+    finished = now + timedelta(seconds=time.monotonic() - began)
+    run = reports.run_report(sources, totals, now, finished, bill)
     run.write.mode("overwrite").json(f"{root}/run_report")
     sinks.append_state(unseen(scored, history, now), history_home)
     reports.require_health(sources)
-    return DailyRun(scored, sources, totals, prefilter.drop_counts(marked))
+    return DailyRun(scored, sources, totals, prefilter.drop_counts(marked), bad.select("source", "company").distinct())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftwell.operators.distinct import first_per_key
 from siftwell.schema import POSTING_COLUMNS, SOURCE_ORDER, posting_order
-from siftwell.sources import boards, feeds
+from siftwell.sources import boards, feeds, jsonld
 
 Reader = Callable[[DataFrame], DataFrame]
 
@@ -48,14 +48,30 @@ def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, ranked).withColumn("ord", posting_order(F.col("source_rank"), F.col("seq")))
 
 
-def collect_bronze(bronze: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    """Every source of the bronze table, one union. ``bronze`` is best partitioned by source."""
+def source_frames(bronze: DataFrame, details: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Postings of every source of the bronze table, which is best partitioned by source."""
     frames = {name: read(bronze) for name, read in READERS.items()}
     if details is None:
         # Postings of a source without landed details stay, with an empty description.
         details = bronze.sparkSession.createDataFrame([], "company string, id string, payload string")
     frames["smartrecruiters"] = boards.from_smartrecruiters(bronze, details)
-    return union_sources(frames)
+    return frames
+
+
+def collect_bronze(bronze: DataFrame, details: DataFrame | None = None) -> DataFrame:
+    """Every source of the bronze table, one union."""
+    return union_sources(source_frames(bronze, details))
+
+
+def web_frames(sites: DataFrame | None, listings: DataFrame | None, pages: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """Readers of company sites and job boards over landed pages. Both cut lineage while they
+    read, so they are called where a failure is caught."""
+    found: dict[str, Callable[[], DataFrame]] = {}
+    if sites is not None:
+        found["company-sites"] = lambda: jsonld.from_company_sites(sites, pages).postings
+    if listings is not None:
+        found["job-boards"] = lambda: jsonld.from_board_listing(listings, pages)
+    return found
 
 
 def merge_board_lists(configured: DataFrame, discovered: DataFrame) -> DataFrame:

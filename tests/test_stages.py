@@ -11,10 +11,11 @@ from siftwell.operators import evaluate as ev
 from siftwell.operators import history, ledger, reports, routing, scoring, sinks
 from siftwell.operators.answers import validate_answers
 from siftwell.plans.actions import plan_actions
-from siftwell.plans.daily import run_daily
+from siftwell.plans.daily import Web, run_daily
 from siftwell.plans.evaluation import run_evaluation
 from siftwell.schema import HISTORY, LEDGER, FilterRules, SelectionRules
 from siftwell.sources import landing
+from siftwell.sources.jsonld import BoardSite, board_frame
 from siftwell.streaming import incremental
 
 NOW = datetime(2024, 5, 15, 9)
@@ -329,6 +330,24 @@ def test_run_daily_end_to_end(spark, tmp_path):
     assert again.totals.first()["new_since_last_run"] == 0
     scored_run = run_daily(landing.read_landed(spark, landed), str(tmp_path / "scored"), rules, NOW, make_scorer=flaky, prompt=PROMPT)
     assert {r["classification"]["confidence"] for r in scored_run.scored.collect()} == {0.9}
+    report = spark.read.json(str(tmp_path / "scored" / "run_report")).first()
+    assert report["classifier"]["calls"] == 2 and report["finished_at"] > report["started_at"]
+    assert {(r["source"], r["company"]) for r in run.failed_companies.collect()} == {("greenhouse", "lost")}
+
+
+def test_daily_reads_boards_and_outlives_a_broken_source(spark, tmp_path):
+    posting = {"@type": "JobPosting", "title": "Data Lead", "datePosted": "2024-05-10", "hiringOrganization": "Orbit"}
+    html = f'<script type="application/ld+json">{json.dumps(posting)}</script>'
+    pages = spark.createDataFrame([("https://board.example.com/jobs", html)], "url string, html string")
+    boards = board_frame(spark, [BoardSite("job-boards", "https://board.example.com/jobs", "/job/")])
+    broken = spark.range(1).select(F.raise_error(F.lit("no such feed")).cast("string").alias("domain"), F.lit(0).cast("long").alias("site"))
+    rows = [("remotive", "", "", json.dumps({"jobs": [{"title": "Data Engineer", "company_name": "A", "url": "https://r.example.com/1"}]}), 1)]
+    bronze = spark.createDataFrame(rows, "source string, company string, url string, payload string, seq bigint")
+    run = run_daily(bronze, str(tmp_path / "out"), FilterRules(["data"]), NOW, web=Web(pages, sites=broken, boards=boards))
+    assert {r["source"]: (r["ok"], r["fetched"]) for r in run.sources.collect()} == {
+        "remotive": (True, 1), "job-boards": (True, 1), "company-sites": (False, 0),
+    }
+    assert sorted(r["title"] for r in run.scored.collect()) == ["Data Engineer", "Data Lead"]
 
 
 def test_streaming_history_over_batches(spark, tmp_path):
