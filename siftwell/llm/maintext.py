@@ -34,7 +34,9 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|template|noscript|iframe|object|svg|math|canvas|textarea|select|title|noembed|noframes|audio|video"
-ASIDE = frozenset("nav header footer aside form menu dialog button fieldset figcaption address datalist search".split())
+ASIDE = frozenset("nav footer aside menu dialog button fieldset figcaption address datalist search".split())
+# These may also wrap a whole page; an article inside them is not aside.
+WRAPPING = frozenset(("header", "form"))
 MAIN = frozenset(("article", "main"))
 HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # Words in a class, id or role that mark what is no main text.
@@ -53,6 +55,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 SPLIT_WORDS = re.compile(r"[^a-z]+")
+# An article below one of these is a comment or a teaser.
+KEPT_ASIDE = frozenset("comment comments disqus related replies reply teaser teasers".split())
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 # Labelled blocks: words, link share, the same of the block before and after, inside an article,
@@ -88,21 +92,23 @@ def train(spark: SparkSession, labelled: list[tuple] = LABELLED) -> tuple:
     return train_trees(table, "features", "label", trees=1, depth=DEPTH)[0]
 
 
-def _is_aside(attributes: str) -> bool:
+def _is_aside(attributes: str) -> int:
+    """0: no, 1: unless an article opens inside, 2: whatever opens inside."""
     for _, a, b, c in ATTRIBUTE.findall(attributes):
         value = a or b or c
         words = SPLIT_WORDS.split(value.lower()) + SPLIT_WORDS.split(CAMEL.sub(" ", value).lower())
         if not ASIDE_WORDS.isdisjoint(words):
-            return True
-    return False
+            return 1 if KEPT_ASIDE.isdisjoint(words) else 2
+    return 0
 
 
 def blocks(html: str) -> list[tuple]:
     """(text, words, linked words, in article, in aside, heading) of every block with text."""
     found: list[tuple] = []
-    # Open elements that matter: name, article, aside, heading; counts of each are kept beside.
-    stack: list[tuple[str, int, int, int]] = []
-    inside = aside = heading = links = 0
+    # Open elements: name, article, aside, aside unless an article opens, heading, and how many of
+    # the latter asides were open before an article; counts of each are kept beside.
+    stack: list[tuple[str, int, int, int, int, int]] = []
+    inside = aside = weak = heading = links = 0
     text: list[str] = []
     linked = 0
 
@@ -110,15 +116,15 @@ def blocks(html: str) -> list[tuple]:
         nonlocal linked
         line = " ".join(htmllib.unescape("".join(text)).split())
         if line:
-            found.append((line, line.count(" ") + 1, linked, inside > 0, aside > 0, heading > 0))
+            found.append((line, line.count(" ") + 1, linked, inside > 0, aside + weak > 0, heading > 0))
         text.clear()
         linked = 0
 
     def pop(to: int) -> None:
-        nonlocal inside, aside, heading, links
+        nonlocal inside, aside, weak, heading, links
         while len(stack) > to:
-            _, a, b, c = stack.pop()
-            inside, aside, heading = inside - a, aside - b, heading - c
+            _, a, b, c, d, before = stack.pop()
+            inside, aside, weak, heading = inside - a, aside - b, weak - c + before, heading - d
         if not stack:
             links = 0
 
@@ -153,12 +159,18 @@ def blocks(html: str) -> list[tuple]:
         if name == "p" and stack and stack[-1][0] == "p":
             pop(len(stack) - 1)
         main = name in MAIN
-        off = name in ASIDE and not (name == "header" and inside > 0)
-        off = off or (bool(m[4]) and not main and name not in ("html", "body") and _is_aside(m[4]))
-        entry = (name, int(main), int(off), int(name in HEADING))
-        # A second article inside an aside stays aside; one inside comments does too.
-        stack.append(entry)
-        inside, aside, heading = inside + entry[1], aside + entry[2], heading + entry[3]
+        if name in ASIDE:
+            off = 2
+        elif name in WRAPPING:
+            off = 0 if name == "header" and inside else 1
+        else:
+            off = 0
+        if m[4] and off < 2 and not main and name not in ("html", "body"):
+            off = max(off, _is_aside(m[4]))
+        before = weak if main else 0
+        stack.append((name, int(main), int(off == 2), int(off == 1), int(name in HEADING), before))
+        inside, aside, heading = inside + main, aside + (off == 2), heading + (name in HEADING)
+        weak += (off == 1) - before
     if at < len(html):
         part = html[at:]
         text.append(part)

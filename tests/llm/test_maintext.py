@@ -25,6 +25,8 @@ TEXT = "Head One & two three four five Six. a < b Aé"
         '{}<section id="comments"><article><p>I think this is a very good article and I like it.</p></article></section>',
         '<div class="cookie-notice">We use cookies on this site and you have to agree with all of them</div>{}<form><p>Your name here</p></form>',
         '<!-- <p>not this</p> --><div class="sideBar"><p>Other things to read on this site today</p></div>{}<script>"<p>x</p>"',
+        '<div class="layout has-sidebar"><form id="page">{}</form><div class="sidebar"><p>More things to read on this site</p></div></div>',
+        '<header><p>A site about things that are nice to read about</p>{}</header><form><p>Please write your name and address here</p></form>',
         '<div role="navigation"><p>a b c</p></div><table class="widget"><tr><td>1</td></tr></table>{}<dialog>Sign in</dialog>',
     ],
 )
