@@ -283,22 +283,38 @@ def eval_disagreements(spark, sf_dir):
     return wrong.select("id", "title", "expected", "predicted", "confidence", "reason", "note")
 
 
+@query(
+    "disagreements_top",
+    f"""WITH {GOLD_SQL}, w AS (SELECT doc_id::VARCHAR AS id, eligible AS expected, p AS predicted FROM j WHERE version = 'v2' AND eligible <> p)
+SELECT * FROM w ORDER BY id LIMIT 15""",
+)
+def disagreements_top(spark, sf_dir):
+    """The fifteen wrong cases that a report lists."""
+    wrong = ev.listed_disagreements(ev.disagreements(judged(spark, sf_dir, ["v2"])))
+    return wrong.select("id", "expected", "predicted")
+
+
+PCT_SQL = ", ".join(
+    f"printf('%.1f%%', {c} * 100) AS {c}" for c in ("precision", "recall", "f1", "accuracy", "employment_type_accuracy")
+)
+
+
 @query(
     "eval_report",
-    f"""WITH {GOLD_SQL} SELECT version, '  TP=' || tp || ' FP=' || fp || ' TN=' || tn || ' FN=' || fn AS cells,
-  '| ' || version || ' | rule | ' || total || ' | ' AS row_start, '$0.05 |' AS row_end FROM m""",
+    f"""WITH {GOLD_SQL}, s AS (SELECT version, tp, fp, tn, fn, {METRICS_SQL} FROM m),
+t AS (SELECT version, tp, fp, tn, fn, total, {PCT_SQL} FROM s)
+SELECT version, concat_ws(chr(10), 'prompt ' || version || ' on fixed/rule',
+    '  n=' || total || '  precision=' || precision || '  recall=' || recall || '  F1=' || f1,
+    '  accuracy=' || accuracy || '  employment-type accuracy=' || employment_type_accuracy,
+    '  TP=' || tp || ' FP=' || fp || ' TN=' || tn || ' FN=' || fn,
+    '  0 call failures, $1.2500 spent, $0.05 per 1000 postings') AS text,
+  '| ' || version || ' | rule | ' || total || ' | ' || precision || ' | ' || recall || ' | ' || f1 || ' | $0.05 |' AS markdown FROM t""",
 )
 def eval_report(spark, sf_dir):
     """The text block and the markdown row per version."""
     m = ev.metrics(judged(spark, sf_dir, ["v1", "v2", "v3"]), ["version"])
     bill = m.select("*", F.lit("fixed").alias("provider"), F.lit("rule").alias("model"), F.lit(0).alias("failures"), F.lit(1.25).alias("cost_usd"), F.lit(0.05).alias("cost_per_1k_usd"))
-    text = ev.metric_text(bill)
-    return text.select(
-        "version",
-        F.element_at(F.split("text", "\n"), 4).alias("cells"),
-        F.regexp_extract("markdown", r"^\| \S+ \| \S+ \| \d+ \| ", 0).alias("row_start"),
-        F.regexp_extract("markdown", r"\$[0-9.]+ \|$", 0).alias("row_end"),
-    )
+    return ev.metric_text(bill).select("version", "text", "markdown")
 
 
 @query(

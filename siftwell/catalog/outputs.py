@@ -179,6 +179,16 @@ def action_counts(spark, sf_dir):
     return reports.action_counts(today, ledger.latest_records(log))
 
 
+@query(
+    "review_queue",
+    f"WITH {LOG_SQL} SELECT url, company, title, strftime(at_, '%Y-%m-%d %H:%M:%S') AS at FROM latest WHERE status = 'review'",
+)
+def review_queue(spark, sf_dir):
+    """Open review items of the ledger."""
+    queue = reports.review_queue(ledger.latest_records(action_log(spark, sf_dir)))
+    return queue.select("url", "company", "title", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
 @query(
     "csv_roundtrip",
     f"""WITH {STAR_SQL}, {SCORED_SQL} SELECT source, company || ' "quoted", ' || chr(10) || 'next' AS company, title, location, CASE WHEN seq % 5 = 0 THEN '5k' ELSE '' END AS salary,
