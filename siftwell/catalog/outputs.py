@@ -222,7 +222,9 @@ def event_files(spark, sf_dir) -> str:
     """Events written as JSON files, some per day range, the way they would land."""
     path = f"{scratch(spark)}/landing"
     events = event_postings(spark, sf_dir).select("ord", "url", F.unix_micros("ts").alias("micros"), "event_type", "value")
-    events.repartitionByRange(6, "ord").write.json(path)
+    # As many files as the session has shuffle partitions.
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    events.repartitionByRange(files, "ord").write.json(path)
     return path
 
 
