@@ -42,7 +42,6 @@ def _first_two(rows: DataFrame, key: str, nth: str, before: str) -> DataFrame:
 
 def _chain_ends(links: DataFrame) -> DataFrame:
     """``links`` (``ord``, ``target``, ``odd``) followed to the first target that links no further."""
-    links = cut_lineage(links)
     while True:
         onward = links.select(F.col("ord").alias("target"), F.col("target").alias("next"), F.col("odd").alias("flip"))
         followed = links.join(onward, "target", "left").select(
