@@ -31,12 +31,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.batches import pieces as small
 from siftwell.runtime import cut_lineage
 
 ORDER = 3
@@ -182,7 +184,7 @@ def margins(documents: DataFrame, model: Model, doc_id: str, text: str) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        for batch in batches:
+        for batch in chain.from_iterable(map(small, batches)):
             found = best_margins(batch.column(1).to_pylist(), model, known)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc", "margin"])
 
@@ -336,7 +338,7 @@ def accepted(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        for batch in batches:
+        for batch in chain.from_iterable(map(small, batches)):
             found = model.score(best_margins(batch.column(at).to_pylist(), model, known))
             yield batch.filter(pa.array(found < threshold))
 
