@@ -13,11 +13,16 @@ a subtree returns a spanning star per group instead of its pairs. Subtrees do no
 number of copies: what is equal is merged, and there are at most 43,745 different fingerprints
 within 3 bits of one.
 
-``similar_documents`` looks for texts whose word shingles have a Jaccard similarity of at least
-``similarity``, which few bits of one fingerprint do not show. It routes by several fingerprints of
-the distinct words, each with its own tries, and links a pair that meets there only if a wide
-fingerprint of the distinct shingles (``WIDE`` x 64 bits) agrees: the share of differing bits estimates the
-angle between the shingle vectors, and with it the similarity, to about 0.03.
+``similar_documents`` links texts whose sets of word shingles have a Jaccard similarity of at least
+``similarity``. Texts with equal sets (by a 64-bit hash) are one entry. Entries meet by MinHash: the
+smallest of the shingles under ``BANDS`` x ``BAND_ROWS`` orders, ``BAND_ROWS`` of them to a key, so a
+pair at 0.8 shares no key with probability (1 - 0.8 ** 6) ** 32 < 1e-4, whatever the shape of the
+edit. One bit per minimum is the entry's sketch; pairs whose sketches differ by four standard
+deviations more than expected are left alone, all others are decided by their whole sets of shingles.
+This goes in rounds: every entry of a key names its first entries of other components (one in the
+first round, twice as many in each that follows), the named pairs are compared and components
+joined, and keys that named a pair are walked again, without the pairs that were refuted. The
+rounds end when no key names a pair, so no pair that met is left out.
 
 Cases: a text of fewer words than a shingle is one shingle; no words (null, empty, white space)
 give fingerprint zero, which links like any other. A row with a null id gets the component of its
@@ -33,7 +38,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.llm.components import components
@@ -45,8 +50,10 @@ BITS = 3
 SEED = 42
 SIMILARITY = 0.8
 SIMILAR_SHINGLE = 5
-ROUTES = 8
-WIDE = 8
+BANDS = 32
+BAND_ROWS = 6
+# Rows of 24 bytes that a join sends to every executor.
+SENT_TO_ALL = 500_000
 # Shingles whose bits are counted at once, and node pairs that are walked at once.
 COUNT_AT_ONCE = 1 << 17
 PAIRS_AT_ONCE = 1 << 18
@@ -222,29 +229,21 @@ def _within(al, ah, bl, bh, diff) -> Iterator[tuple]:
         yield 64, i, i + 1, j, j + 1, diff[leaf][once]
 
 
-def links(entries: DataFrame, bits: int, far: int | None = None) -> DataFrame:
-    """(``a``, ``b``): a spanning set of links between entries ``rep`` (unique long) by any of their
-    ``routes`` (array of fingerprints); with ``far``, only if ``wide`` differs in no more bits."""
+def links(entries: DataFrame, bits: int) -> DataFrame:
+    """(``a``, ``b``): a spanning set of links between entries ``rep`` (unique long) by their ``print``."""
     tries = bits + 1
     borders = [64 * t // tries for t in range(tries + 1)]
     # The height of the cut differs by a bit at most between tries when 64 is no multiple of them.
     top = min(borders[t + 1] - borders[t] for t in range(tries))
-    turned = lambda route, r: F.array(
-        *[F.struct((r * tries + t).alias("trie"), _turned(route, borders[t]).alias("key")) for t in range(tries)]
-    )
-    wide = F.lit(b"").alias("wide") if far is None else F.col("wide")
-    rows = entries.select("rep", wide, F.explode(F.flatten(F.transform("routes", turned))).alias("e"))
-    rows = rows.select("e.trie", "e.key", "rep", "wide")
+    turned = [F.struct(F.lit(t).alias("trie"), _turned(F.col("print"), borders[t]).alias("key")) for t in range(tries)]
+    rows = entries.select("rep", F.explode(F.array(*turned)).alias("e")).select("e.trie", "e.key", "rep")
     # Flipping the sign bit sorts signed longs as unsigned ones.
     rows = rows.repartition("trie", F.shiftrightunsigned("key", 64 - top)).sortWithinPartitions(
         "trie", F.col("key").bitwiseXOR(F.lit(-(1 << 63)))
     )
 
-    def close(trie, keys, reps, wides):
-        agree = None
-        if far is not None:
-            agree = lambda i, j: np.bitwise_count(wides[i] ^ wides[j]).sum(axis=1) <= far
-        label = trie_groups(keys, top, bits, agree)
+    def close(trie, keys, reps):
+        label = trie_groups(keys, top, bits)
         linked = np.flatnonzero(label != np.arange(len(keys)))
         return pa.RecordBatch.from_arrays([pa.array(reps[linked]), pa.array(reps[label[linked]])], ["a", "b"])
 
@@ -252,12 +251,10 @@ def links(entries: DataFrame, bits: int, far: int | None = None) -> DataFrame:
         """Subtrees come in order; those that are complete are joined as soon as a batch has them."""
         kept: tuple | None = None
         for batch in batches:
-            body = b"".join(batch.column(3).to_pylist())
             part = (
                 batch.column(0).to_numpy(zero_copy_only=False),
                 batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64),
                 batch.column(2).to_numpy(zero_copy_only=False),
-                np.frombuffer(body, np.uint64).reshape(batch.num_rows, -1),
             )
             if kept is not None:
                 part = tuple(np.concatenate(x) for x in zip(kept, part, strict=True))
@@ -283,17 +280,14 @@ def _turned(value: Column, by: int) -> Column:
     return F.shiftleft(value, by).bitwiseOR(F.shiftrightunsigned(value, 64 - by))
 
 
-def _named(prints: DataFrame, keys: list[str], bits: int, far: int | None = None) -> DataFrame:
-    """``prints`` (``doc``, ``keys``) with ``component_id``; rows equal in ``keys`` are one entry."""
-    entries = prints.groupBy(*keys).agg(F.min("doc").alias("rep"))
-    if "routes" not in keys:
-        entries = entries.withColumn("routes", F.array("print"))
-    entries = cut_lineage(entries)
-    found = components(links(entries.where(F.col("rep").isNotNull()), bits, far))
+def _named(prints: DataFrame, bits: int) -> DataFrame:
+    """``prints`` (``doc``, ``print``) with ``component_id``; rows equal in ``print`` are one entry."""
+    entries = cut_lineage(prints.groupBy("print").agg(F.min("doc").alias("rep")))
+    found = components(links(entries.where(F.col("rep").isNotNull()), bits))
     named = entries.join(found, entries["rep"] == found["node"], "left").select(
-        *keys, F.coalesce("component", "rep").alias("component_id")
+        "print", F.coalesce("component", "rep").alias("component_id")
     )
-    return prints.join(named, keys)
+    return prints.join(named, "print")
 
 
 def near_duplicates(
@@ -301,7 +295,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(id as long, ``fingerprint`` as 16 hex digits, ``component_id``) for every row."""
     prints = cut_lineage(fingerprints(documents, doc_id, text, shingle))
-    return _named(prints, ["print"], bits).select(
+    return _named(prints, bits).select(
         F.col("doc").alias(doc_id),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -309,11 +303,201 @@ def near_duplicates(
 
 
 def far_for(similarity: float, width: int) -> int:
-    """Differing bits, of ``width``, that a pair of the given similarity stays within five times of
-    six: the expected number and one standard deviation."""
-    # Two sets of equal size with Jaccard similarity s have a cosine of 2s / (1 + s).
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(width * share + math.sqrt(width * share * (1 - share)))
+    """Differing bits, of ``width``, that sketches of a pair of the given similarity stay within but
+    for four standard deviations."""
+    # Two minima differ with probability 1 - s, their bits in half of these cases.
+    share = (1 - similarity) / 2
+    return math.ceil(width * share + 4 * math.sqrt(width * share * (1 - share)))
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, size))
+
+
+def _minima(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, BANDS x BAND_ROWS): the smallest hash of each set, none of them empty, under every order."""
+    hashes, sizes = _joined(sets)
+    first = np.r_[0, np.cumsum(sizes)[:-1]]
+    # Orders are fixed, so that all tasks and runs agree.
+    salts = mix(np.arange(1, 2 * BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1)
+    out = [np.minimum.reduceat((hashes ^ x) * (m | np.uint64(1)), first) for x, m in salts.T]
+    return np.stack(out, axis=1)
+
+
+def signatures(texts: list[np.ndarray]) -> tuple[list[int], list[np.ndarray], list[bytes]]:
+    """Hash of the whole set, keys and sketch of every set of shingles; empty sets have no keys."""
+    whole = [xxhash.xxh64_intdigest(t.tobytes(), SEED) for t in texts]
+    keys, sketch = [np.zeros(0, np.int64)] * len(texts), [bytes(BANDS * BAND_ROWS // 8)] * len(texts)
+    full = [i for i, t in enumerate(texts) if len(t)]
+    if full:
+        least = mix(_minima([texts[i] for i in full]))
+        bands = least.reshape(len(full), BANDS, BAND_ROWS)
+        key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), bands.shape[:2])
+        for r in range(BAND_ROWS):
+            key = mix((key + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ bands[:, :, r])
+        bits = np.packbits((least >> np.uint64(63)).astype(np.uint8), axis=1)
+        for n, i in enumerate(full):
+            keys[i], sketch[i] = key[n].view(np.int64), bits[n].tobytes()
+    return whole, keys, sketch
+
+
+def _name_pairs(entry, sketch, component, refuted: list, far: int, quota: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of entries of one key, as indices: for each entry its first ``quota`` others of another
+    component whose sketch is near, without ``refuted`` ones (entries, or None). No pair inside the
+    component with most entries is looked at."""
+    number, size = np.unique(component, return_inverse=True, return_counts=True)[1:]
+    if len(size) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    large = number == size.argmax()
+    left, others = np.arange(len(entry)), np.flatnonzero(~large)
+    got = np.zeros(len(entry), np.int64)
+    a, b = [], []
+    for at in range(0, len(others), 256):
+        y = others[at : at + 256]
+        for start in range(0, len(left), 4096):
+            x = left[start : start + 4096]
+            near = (number[x][:, None] != number[y]) & (large[x][:, None] | (x[:, None] > y))
+            i, j = np.nonzero(near)
+            close = np.bitwise_count(sketch[x[i]] ^ sketch[y[j]]).sum(axis=1, dtype=np.int64) <= far
+            i, j = x[i[close]], y[j[close]]
+            known = np.array([refuted[p] is not None and entry[q] in refuted[p] for p, q in zip(i, j, strict=True)], bool)
+            i, j = i[~known], j[~known]
+            place = got[i] + np.arange(len(i)) - np.searchsorted(i, i)
+            i_new, j_new = i[place < quota], j[place < quota]
+            np.add.at(got, i_new, 1)
+            a.append(i_new)
+            b.append(j_new)
+        left = left[got[left] < quota]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _named_pairs(rows: DataFrame, far: int, quota: int) -> DataFrame:
+    """(``key``, ``a``, ``b``) from (``key``, ``entry``, ``sketch``, ``component``, ``refuted``)."""
+
+    def close(part: tuple, first: np.ndarray) -> pa.RecordBatch:
+        """The pairs of all keys of ``part``, that begin at ``first``, as one batch."""
+        _, entry, sketch, component, refuted = part
+        ends = np.r_[first[1:], len(entry)]
+        # Most keys with several entries have two; those are looked at together.
+        j = first[ends - first == 2]
+        near = (component[j] != component[j + 1]) & (np.bitwise_count(sketch[j] ^ sketch[j + 1]).sum(axis=1) <= far)
+        j = [x for x in j[near].tolist() if refuted[x + 1] is None or entry[x] not in refuted[x + 1]]
+        a, b = [np.array(j, np.int64) + 1], [np.array(j, np.int64)]
+        more = ends - first > 2
+        for low, high in zip(first[more].tolist(), ends[more].tolist(), strict=True):
+            i, j = _name_pairs(*(x[low:high] for x in part[1:]), far, quota)
+            a.append(i + low)
+            b.append(j + low)
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.RecordBatch.from_arrays([pa.array(part[0][a]), pa.array(entry[a]), pa.array(entry[b])], ["key", "a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: tuple | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            refuted = np.empty(batch.num_rows, object)
+            refuted[:] = [r and frozenset(r) for r in batch.column(4).to_pylist()]
+            body = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            key, entry, component = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 3))
+            part = (key, entry, body, component, refuted)
+            if kept is not None:
+                part = tuple(np.concatenate(x) for x in zip(kept, part, strict=True))
+            # The last key may go on in the next batch.
+            first = np.flatnonzero(np.r_[True, part[0][1:] != part[0][:-1]])
+            if len(first) > 1:
+                yield close(tuple(x[: first[-1]] for x in part), first[:-1])
+            kept = tuple(x[first[-1] :] for x in part)
+        if kept is not None:
+            yield close(kept, np.zeros(1, np.int64))
+
+    dealt = rows.select("key", "entry", "sketch", "component", "refuted").repartition("key")
+    return dealt.sortWithinPartitions("key", "entry").mapInArrow(run, "key long, a long, b long")
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(``a``, ``b``, ``same``) of pairs of entries, by the whole sets of shingles of their texts."""
+    one = lambda side: texts.select(F.col("entry").alias(side), F.col("text").alias(f"text_{side}"))
+    both = pairs.join(one("b"), "b").join(one("a"), "a").select("a", "b", "text_a", "text_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = []
+            for s, t in zip(batch.column(2), batch.column(3), strict=True):
+                s, t = shingle_set(s.as_py(), shingle), shingle_set(t.as_py(), shingle)
+                shared = len(np.intersect1d(s, t, assume_unique=True))
+                same.append(shared >= similarity * (len(s) + len(t) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
+
+    return both.mapInArrow(run, "a long, b long, same boolean")
+
+
+def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """(``doc``, ``body`` hash of the text, ``component``) for every row."""
+    spark = documents.sparkSession
+    body = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("body")
+    source = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), body)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for group in _batched(batch.column(1), lambda t: shingle_set(t, shingle)):
+                whole, keys, sketch = signatures(group)
+                rows = batch.slice(at, len(group))
+                at += len(group)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column(0),
+                        rows.column(2),
+                        pa.array(np.array(whole, np.uint64).view(np.int64)),
+                        pa.array(keys, pa.list_(pa.int64())),
+                        pa.array(sketch, pa.binary()),
+                    ],
+                    ["doc", "body", "entry", "keys", "sketch"],
+                )
+
+    prints = cut_lineage(source.mapInArrow(run, "doc long, body long, entry long, keys array<long>, sketch binary"))
+    entries = prints.groupBy("entry").agg(
+        F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min(F.struct("body", "doc")).alias("row")
+    )
+    entries = cut_lineage(entries)
+    far = far_for(similarity, BANDS * BAND_ROWS)
+    links = refuted = spark.createDataFrame([], "a long, b long")
+    found = spark.createDataFrame([], "node long, component long")
+    walked, quota = None, 1
+    while True:
+        rows = entries.select("entry", "sketch", F.explode("keys").alias("key"))
+        if walked is not None:
+            rows = rows.join(walked, "key", "left_semi").join(found, F.col("entry") == F.col("node"), "left")
+            known = refuted.groupBy("a").agg(F.collect_list("b").alias("refuted"))
+            rows = rows.join(known, F.col("entry") == F.col("a"), "left")
+            rows = rows.withColumn("component", F.coalesce("component", "entry"))
+        else:
+            rows = rows.withColumns({"component": F.col("entry"), "refuted": F.lit(None).cast("array<long>")})
+        pairs = cut_lineage(_named_pairs(rows, far, quota))
+        walked = pairs.select("key").distinct()
+        # What an entry names under other keys waits for the next round.
+        place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+        asked = cut_lineage(pairs.select("a", "b").distinct().withColumn("place", place).where(F.col("place") <= quota).select("a", "b"))
+        if asked.isEmpty():
+            break
+        needed = asked.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
+        # One row of an entry is read, so copies are not sent; few needed rows leave the others where they are.
+        needed = cut_lineage(needed.join(entries.select("entry", "row"), "entry"))
+        needed = F.broadcast(needed) if needed.count() <= SENT_TO_ALL else needed
+        same_row = (F.col("row.body") == F.col("body")) & F.col("row.doc").eqNullSafe(F.col("doc"))
+        texts = needed.join(source, same_row).select("entry", "text").dropDuplicates(["entry"])
+        compared = cut_lineage(_compared(asked, texts, shingle, similarity))
+        links = cut_lineage(links.unionByName(compared.where("same").select("a", "b")))
+        # Either entry of a pair may name the other.
+        gone = compared.where(~F.col("same"))
+        refuted = refuted.unionByName(gone.select("a", "b")).unionByName(gone.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        refuted = cut_lineage(refuted)
+        found = components(links)
+        quota *= 2
+    return prints.join(found, prints["entry"] == found["node"], "left").select(
+        "doc", "body", F.coalesce("component", "entry").alias("component")
+    )
 
 
 def similar_documents(
@@ -322,42 +506,11 @@ def similar_documents(
     text: str = "text",
     shingle: int = SIMILAR_SHINGLE,
     similarity: float = SIMILARITY,
-    bits: int = BITS,
-    routes: int = ROUTES,
 ) -> DataFrame:
     """(id as long, ``component_id``) for every row: components of texts of the given similarity."""
-    source = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-
-    def salted(hashes: np.ndarray, salt: int) -> np.ndarray:
-        return mix(hashes + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-
-    def distinct_words(text: str | None) -> np.ndarray:
-        words = set(words_of(text))
-        return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-    def many(column, hashed, count: int) -> np.ndarray:
-        found = [
-            np.stack([_majority(salted(h, s), n) for s in range(count)], axis=1)
-            for h, n in map(_joined, _batched(column, hashed))
-        ]
-        return np.concatenate(found) if found else np.zeros((0, count), np.uint64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            by_words = many(batch.column(1), distinct_words, routes).view(np.int64)
-            wide = many(batch.column(1), lambda t: np.unique(shingle_hashes(t, shingle)), WIDE)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(list(by_words), pa.list_(pa.int64())),
-                    pa.array([row.tobytes() for row in wide], pa.binary()),
-                ],
-                ["doc", "routes", "wide"],
-            )
-
-    prints = cut_lineage(source.mapInArrow(run, "doc long, routes array<long>, wide binary"))
-    named = _named(prints, ["routes", "wide"], bits, far_for(similarity, 64 * WIDE))
-    return named.select(F.col("doc").alias(doc_id), "component_id")
+    found = cut_lineage(_similar(documents, doc_id, text, shingle, similarity))
+    least = found.groupBy("component").agg(F.min("doc").alias("component_id"))
+    return found.join(least, "component").select(F.col("doc").alias(doc_id), "component_id")
 
 
 def first_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -95,6 +95,35 @@ def test_similar_documents(spark, docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted([b * 100 for b in range(8)] + [b * 100 + 50 for b in range(8)] + [900])
 
 
+def jaccard(s, t):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (s.split(), t.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_similar_documents_match_brute_force_for_every_shape_of_edit(spark, docs):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    words = lambda n: rng.choices(vocabulary, k=n)
+    texts = []
+    for b in range(60):
+        n = rng.choice((60, 100, 300))
+        base, k = words(n), int(n * rng.uniform(0.08, 0.3))
+        at = rng.randrange(n - k)
+        texts.append(base)
+        texts.append([base + words(k), base[: n - k], base[:at] + words(k // 2) + base[at + k // 2 :]][b % 3])
+        texts.append(words(k) + base)
+    # A family whose members are alike in pairs only, and one word set in many orders.
+    family = words(400)
+    texts += [family[i : i + 200] for i in range(0, 200, 12)]
+    small = words(40)
+    texts += [rng.sample(small, 40) for _ in range(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    label = smallest_reachable(len(rows), lambda i, j: abs(i - j) < 40 and jaccard(rows[i][1], rows[j][1]) >= 0.8)
+    got = dict(map(tuple, simhash.similar_documents(docs(rows)).collect()))
+    assert [got[i] for i in range(len(rows))] == label
+    assert sum(i != c for i, c in enumerate(label)) > 30
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)] + [(5, 5), (None, 3)]
