@@ -79,6 +79,27 @@ def test_inserted_and_gapped_insults(spark, docs, model):
     assert {r["doc_id"] for r in long.collect() if r["score"] >= 0.3} == {1}
 
 
+@pytest.mark.parametrize("count", [60, 200])
+def test_many_insults_are_all_found(spark, docs, count):
+    rng = random.Random(count)
+    insults = ["".join(rng.choice("abcdefghijkmopuvwxyz") for _ in range(rng.randrange(6, 10))) for _ in range(count)]
+    parts = "the ning ver sto lla mi que ren der ing bal tor".split()
+    clean = lambda n: ["".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(n)]
+    rows, labels = [], []
+    for i in range(8 * count):
+        words = clean(30)
+        for k in range(8 * (i % 4 == 0)):
+            words.insert(rng.randrange(len(words)), insults[(2 * i + k) % count])
+        rows.append((i, " ".join(w + ("." if k % 9 == 8 else "") for k, w in enumerate(words))))
+        labels.append((i, int(i % 4 == 0)))
+    model = toxicity.train(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    fresh = [(i, " ".join(clean(15) + [w] + clean(15))) for i, w in enumerate(insults)]
+    fresh += [(1000 + i, " ".join(clean(30))) for i in range(200)]
+    found = {r["doc_id"] for r in toxicity.score(docs(fresh), model).collect() if r["score"] >= 0.3}
+    assert len(found & set(range(count))) > 0.97 * count
+    assert len([i for i in found if i >= 1000]) < 5
+
+
 def test_accepted_keeps_clean_documents(spark, docs, model):
     frame = docs([(1, "you scum"), (2, "the ning"), (3, None)])
     left = toxicity.accepted(frame, model)
