@@ -514,9 +514,17 @@ def similar_documents(
 
 
 def first_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents with the smallest id of their component of similar texts, with their columns. Rows
-    with a null id stay only if no row with an id has an equal text or fingerprint."""
-    found = similar_documents(documents, doc_id, text)
-    keep = found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col(doc_id).alias("_keep")).distinct()
-    return documents.join(keep, documents[doc_id].eqNullSafe(keep["_keep"]), "left_semi")
+    """One document of each component of similar texts, with its columns: the one with the smallest
+    id, of several under that id the one with the smallest hash of its text, and of rows that repeat
+    both any one. Rows with a null id stay only if their component has no row with an id."""
+    found = _similar(documents, doc_id, text, SIMILAR_SHINGLE, SIMILARITY).groupBy("component", "doc", "body")
+    first = found.count().groupBy("component").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "body", "count")).alias("row"))
+    keep = cut_lineage(first.select(F.col("row.doc").alias("_doc"), F.col("row.body").alias("_body"), F.col("row.count").alias("_n")))
+    body = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (body == F.col("_body"))
+    kept = documents.join(keep.where("_n = 1"), same, "left_semi")
+    repeated = keep.where("_n > 1")
+    if repeated.isEmpty():
+        return kept
+    once = documents.join(repeated, same).dropDuplicates(["_doc", "_body"])
+    return kept.unionByName(once.drop("_doc", "_body", "_n"))

@@ -124,6 +124,15 @@ def test_similar_documents_match_brute_force_for_every_shape_of_edit(spark, docs
     assert sum(i != c for i, c in enumerate(label)) > 30
 
 
+def test_first_of_each_keeps_one_row(spark, docs):
+    rng = random.Random(4)
+    text, other = (" ".join(rng.choices("abcdefghijklmnop", k=200)) for _ in range(2))
+    rows = [(1, text), (1, text), (1, text + " q"), (2, text), (1, other), (None, other), (None, "x y"), (None, "x y"), (5, None), (5, "")]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.first_of_each(docs(rows)).collect()]
+    assert len(kept) == 4 and (1, other) in kept and (None, "x y") in kept
+    assert {(1, text), (1, text + " q")} & set(kept) and {(5, None), (5, "")} & set(kept)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)] + [(5, 5), (None, 3)]
