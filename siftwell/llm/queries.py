@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from siftwell.llm import bitslices, maintext, packing, secrets, simhash, suffixes, tokencount, toxicity, urlrules, winnowing
+from siftwell.llm import bitslices, maintext, packing, repeats, secrets, simhash, suffixes, tokencount, toxicity, urlrules, winnowing
 from siftwell.llm.registry import ORACLES, QUERIES, query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -159,4 +159,10 @@ def op10_benchmark_decontamination(spark, sf_dir):
     )
 
 
+@query("op11_periodic_run_detection")
+def op11_periodic_run_detection(spark, sf_dir):
+    """Periodic runs of words in every document, and digests of what is left without repeats."""
+    return repeats.digest(repeats.find_runs(table(spark, sf_dir, "documents"), rewrite=repeats.echoing))
+
+
 __all__ = ["ORACLES", "QUERIES"]
