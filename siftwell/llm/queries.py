@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from siftwell.llm import bitslices, maintext, packing, repeats, secrets, simhash, suffixes, tokencount, toxicity, urlrules, winnowing
+from siftwell.llm import bitslices, bytenet, maintext, packing, repeats, secrets, simhash, suffixes, tokencount, toxicity, urlrules, whitening, winnowing
 from siftwell.llm.registry import ORACLES, QUERIES, query, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,11 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
 
+def held_out_quality(doc_id: str = "doc_id"):
+    """Rows that the quality classifier does not learn from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
 @query("op1_html_extraction")
 def op1_html_extraction(spark, sf_dir):
     """Main text of every page."""
@@ -165,4 +170,23 @@ def op11_periodic_run_detection(spark, sf_dir):
     return repeats.digest(repeats.find_runs(table(spark, sf_dir, "documents"), rewrite=repeats.echoing))
 
 
+@query("op12_quality_classifier")
+def op12_quality_classifier(spark, sf_dir):
+    """Quality score of every document."""
+    documents = table(spark, sf_dir, "documents")
+    model = bytenet.train(documents, table(spark, sf_dir, "labels"), learn=~held_out_quality())
+    return bytenet.score(documents, model).select(
+        "doc_id",
+        held_out_quality().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= bytenet.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark, sf_dir):
+    """The 32 strongest components of every embedding, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="benchmark tables
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -40,7 +40,7 @@ def test_every_row_has_a_result(spark, name):
     if name.startswith("op5"):
         assert got > 0
     else:
-        table = "pages" if name.startswith("op1_") else "documents"
+        table = {"op1": "pages", "op13": "embeddings"}.get(name.split("_")[0], "documents")
         assert got == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
