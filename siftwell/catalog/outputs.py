@@ -212,9 +212,8 @@ def json_snapshot(spark, sf_dir):
     root = scratch(spark)
     sinks.write_snapshots(scored_star(spark, sf_dir), root, date(2001, 9, 1))
     counted = [F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("urls")]
-    schema = "url string, run_date date"
-    latest = spark.read.schema("url string").json(f"{root}/latest").groupBy(F.lit("latest").alias("kind")).agg(*counted)
-    dated = spark.read.schema(schema).json(f"{root}/jobs")
+    latest = sinks.read_latest(spark, root, "url string").groupBy(F.lit("latest").alias("kind")).agg(*counted)
+    dated = sinks.read_days(spark, root, "url string")
     return latest.unionByName(dated.groupBy(F.col("run_date").cast("string").alias("kind")).agg(*counted))
 
 

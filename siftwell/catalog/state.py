@@ -11,7 +11,7 @@ from siftwell.catalog.inputs import EVENTS_NOW, STAR_SQL, event_postings, postin
 from siftwell.catalog.registry import query
 from siftwell.operators import candidates as ca
 from siftwell.operators import dedupe as dd
-from siftwell.operators import distinct, history, ledger, ordering, routing, sinks
+from siftwell.operators import distinct, history, ledger, ordering, routing, sinks, statelog
 from siftwell.runtime import scratch
 from siftwell.schema import HISTORY, SelectionRules
 
@@ -48,22 +48,19 @@ def dedupe_greedy(spark, sf_dir):
     return dd.kept_orders(keyed).select(F.col("ord").alias("doc_id"))
 
 
-# Postings of a language in a row, each sharing its url with one neighbour and its title with the
-# other; a document whose length is divisible by 197 begins a new chain.
-CHAIN_SQL = """chain AS (SELECT doc_id, lang, part, row_number() OVER (PARTITION BY lang, part ORDER BY doc_id) - 1 AS i
-  FROM (SELECT doc_id, lang, sum(CASE WHEN n_chars % 197 = 0 THEN 1 ELSE 0 END)
-    OVER (PARTITION BY lang ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS part FROM documents))"""
+# Documents in a row, by id, each sharing its url with one neighbour and its title with the other;
+# after 997 of them a new chain begins.
+CHAIN = 997
 
 
-@query("dedupe_chain", f"WITH {CHAIN_SQL} SELECT doc_id FROM chain WHERE i % 2 = 0")
+@query("dedupe_chain", f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents) WHERE i % {CHAIN} % 2 = 0")
 def dedupe_chain(spark, sf_dir):
-    """Chains of postings that each depend on the one before: every second one stays."""
-    table(spark, sf_dir, "documents").createOrReplaceTempView("chain_documents")
-    chain = spark.sql(f"WITH {CHAIN_SQL.replace('FROM documents', 'FROM chain_documents')} SELECT * FROM chain")
-    keyed = chain.select(
+    """Long chains of postings that each depend on the one before: every second one stays."""
+    placed = ordering.with_place(table(spark, sf_dir, "documents").select("doc_id"), F.col("doc_id"))
+    keyed = placed.select(
         F.col("doc_id").alias("ord"),
-        F.expr("concat_ws('/', 'u', lang, part, i div 2)").alias("url_key"),
-        F.expr("concat_ws('/', 't', lang, part, (i + 1) div 2)").alias("title_key"),
+        F.expr(f"concat_ws('/', 'u', (place - 1) div {CHAIN}, (place - 1) % {CHAIN} div 2)").alias("url_key"),
+        F.expr(f"concat_ws('/', 't', (place - 1) div {CHAIN}, ((place - 1) % {CHAIN} + 1) div 2)").alias("title_key"),
     )
     return dd.kept_orders(keyed).select(F.col("ord").alias("doc_id"))
 
@@ -367,3 +364,34 @@ def newest_first_page(spark, sf_dir):
     # The window sees the hundred rows of the report only.
     place = F.row_number().over(Window.orderBy(F.col("posted_at").desc(), F.col("ord")))
     return top.withColumn("place", place.cast("bigint")).select("seq", "place")
+
+
+@query("newest_first", f"WITH {STAR_SQL} SELECT seq, row_number() OVER (ORDER BY posted_at DESC, ord) AS place FROM star")
+def newest_first(spark, sf_dir):
+    """Every posting's place, newest first."""
+    rows = postings_star(spark, sf_dir).select("seq", "posted_at", "ord")
+    return ordering.newest_first_places(rows).select("seq", "place")
+
+
+@query(
+    "state_compacted",
+    f"""WITH {LOG_SQL} SELECT 'ledger' AS state, url, status AS value FROM latest
+UNION ALL SELECT 'history', url, strftime(min(day), '%Y-%m-%d') FROM (SELECT {URL_SQL} AS url, CAST(ts AS DATE) AS day FROM events) GROUP BY url""",
+)
+def state_compacted(spark, sf_dir):
+    """Ledger and history written in many changes, merged twice in between, and read back."""
+    root = scratch(spark)
+    log = action_log(spark, sf_dir)
+    days = event_postings(spark, sf_dir).select("url", F.to_date("ts").alias("first_seen"), "ord")
+    records, seen = statelog.ledger_log(spark, f"{root}/ledger"), statelog.history_log(spark, f"{root}/history")
+    for part in range(5):
+        # The newest first, so that the order of the changes decides nothing.
+        records.append(log.where(F.col("ord") % 5 == 4 - part))
+        seen.append(days.where(F.col("ord") % 5 == part))
+        if part in (1, 3):
+            records.compact()
+            seen.compact()
+    return (
+        records.read().select(F.lit("ledger").alias("state"), "url", F.col("status").alias("value"))
+        .unionByName(seen.read().select(F.lit("history").alias("state"), "url", F.date_format("first_seen", "yyyy-MM-dd").alias("value")))
+    )

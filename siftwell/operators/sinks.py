@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siftwell.functions.dates import to_iso_date
+from siftwell.operators.versions import Versions
 
 # The columns of the CSV, in order.
 CSV_COLUMNS = [
@@ -47,10 +49,46 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_snapshots(scored: DataFrame, root: str, day: date) -> None:
-    """All scored postings as the latest snapshot, and the eligible ones under their day."""
-    scored.write.mode("overwrite").json(f"{root}/latest")
-    eligible = scored.where(F.col("classification.eligible"))
-    eligible.write.mode("overwrite").json(f"{root}/jobs/run_date={day.isoformat()}")
+    """All scored postings as the latest snapshot, and the eligible ones under their day.
+
+    Both go to folders of their own and are published together, by one rename; until then, and
+    if the run dies, readers see the snapshots before. A second run of a day replaces its first.
+    """
+    versions = Versions(scored.sparkSession, root)
+    number, content = versions.latest()
+    mark = uuid.uuid4().hex
+    latest, dated = f"latest/version={mark}", f"jobs/run_date={day.isoformat()}/version={mark}"
+    scored.write.json(f"{root}/{latest}")
+    scored.where(F.col("classification.eligible")).write.json(f"{root}/{dated}")
+    days = {**content.get("days", {}), day.isoformat(): dated}
+    versions.publish(number + 1, {"latest": latest, "days": days})
+    # Readers of the version before may still be at work; what lies behind it goes.
+    live = {n for v in sorted(versions.numbers())[-2:] for n in _folders(versions.read(v))}
+    for old in versions.forget(keep=2):
+        for name in _folders(old) - live:
+            versions.delete(name)
+
+
+def _folders(content: dict) -> set[str]:
+    return {content["latest"], *content["days"].values()} if content else set()
+
+
+def read_latest(spark: SparkSession, root: str, schema: StructType | str) -> DataFrame:
+    """The latest snapshot; empty before the first."""
+    _, content = Versions(spark, root).latest()
+    empty = spark.createDataFrame([], schema)
+    return spark.read.schema(empty.schema).json(f"{root}/{content['latest']}") if content else empty
+
+
+def read_days(spark: SparkSession, root: str, schema: StructType | str) -> DataFrame:
+    """Eligible postings of all days, with ``run_date``."""
+    _, content = Versions(spark, root).latest()
+    dated = StructType(spark.createDataFrame([], schema).schema.fields).add("run_date", "date")
+    if not content:
+        return spark.createDataFrame([], dated)
+    whole = StructType(dated.fields).add("version", "string")
+    paths = [f"{root}/{name}" for name in content["days"].values()]
+    return spark.read.schema(whole).option("basePath", f"{root}/jobs").json(paths).drop("version")
 
 
 def write_lines(lines: DataFrame, path: str, *order: str) -> None:
@@ -62,6 +100,12 @@ class CorruptState(RuntimeError):
     """A state table that must not be lost cannot be read."""
 
 
+def complete_line(value: str) -> Column:
+    """Whether a line is one whole JSON object and nothing else."""
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col(value), F.lit("]"))).isNotNull()
+    return whole & F.startswith(F.ltrim(value), F.lit("{"))
+
+
 def load_state(spark: SparkSession, path: str, schema: StructType | str, on_corrupt: str = "raise") -> DataFrame:
     """State kept as JSON lines. A missing table is empty.
 
@@ -78,10 +122,7 @@ def load_state(spark: SparkSession, path: str, schema: StructType | str, on_corr
             return empty
         raise
     lines = text.where(F.trim("value") != "")
-    complete = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))).isNotNull() & F.startswith(
-        F.ltrim("value"), F.lit("{")
-    )
-    if lines.where(~complete).isEmpty():
+    if lines.where(~complete_line("value")).isEmpty():
         return lines.select(F.from_json("value", empty.schema).alias("row")).select("row.*")
     if on_corrupt == "raise":
         raise CorruptState(f"{path} is corrupt; fix or restore it before going on")

@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from siftwell.operators.statelog import history_log
+
 
 def run_available(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
@@ -44,43 +45,49 @@ def ingest(
     return run_available(stream, handle, checkpoint)
 
 
-def stream_first_seen(stream: DataFrame, target: str, checkpoint: str, moment: str = "ts") -> StreamingQuery:
-    """First-seen state as a table of batches; read it with :func:`first_seen_table`.
+# The state store that keeps keys on disk and uploads what a batch changed.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
-    Nothing expires, so the state lives in the table and no watermark is needed. A batch adds a url
-    it knows no date for, and also one that a late file dates earlier than all batches before.
-    Batches are numbered per checkpoint folder, so a folder of the table is named after both: a
-    repeated batch does not read its own folder and overwrites it, and a run with a new checkpoint
-    folder adds to what earlier ones left.
+
+def stream_first_seen(stream: DataFrame, target: str, checkpoint: str, moment: str = "ts") -> StreamingQuery:
+    """First-seen dates of a stream's urls, kept at ``target``; read them with :func:`first_seen_table`.
+
+    The earliest moment per url is keyed state in the state store: a batch looks up the urls it
+    holds and hands on their dates, and reads nothing else, however many urls are known. Nothing
+    expires, so no watermark is needed and a late file may date a url earlier. Each batch's dates
+    are a change of a :class:`~siftwell.operators.statelog.StateLog`, named after the checkpoint
+    folder and the batch: a repeated batch replaces its own, and a run with a new checkpoint folder
+    adds to what earlier ones left. Changes are merged when they are many.
     """
+    spark = stream.sparkSession
+    log = history_log(spark, target)
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    named = stream.where(F.coalesce(F.col("url"), F.lit("")) != "")
+    first = named.groupBy("url").agg(F.min(moment).alias("first"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        named = batch.where(F.coalesce(F.col("url"), F.lit("")) != "")
-        first = named.groupBy("url").agg(F.to_date(F.min(moment)).alias("first_seen"))
-        rows = _first_seen_rows(batch.sparkSession, target)
-        if rows is not None:
-            others = rows.where((F.col("run") != run) | (F.col("batch") < batch_id))
-            known = others.groupBy("url").agg(F.min("first_seen").alias("_known"))
-            first = first.join(known, "url", "left").where(F.col("_known").isNull() | (F.col("first_seen") < F.col("_known")))
-        first.select("url", "first_seen").write.mode("overwrite").parquet(f"{target}/run={run}/batch={batch_id}")
+        log.append(batch.select("url", F.to_date("first").alias("first_seen")), f"{run}-{batch_id}")
+        log.compact_if_due()
 
-    return run_available(stream, handle, checkpoint)
-
-
-def _first_seen_rows(spark: SparkSession, target: str) -> DataFrame | None:
-    """Rows of all runs and batches; None before the first."""
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
-        return spark.read.schema("url string, first_seen date, run string, batch bigint").parquet(target)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+        writer = first.writeStream.foreachBatch(handle).outputMode("update").option("checkpointLocation", checkpoint)
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+    return query
 
 
 def first_seen_table(spark: SparkSession, target: str) -> DataFrame:
     """History as (url, first_seen), from all batches."""
-    rows = _first_seen_rows(spark, target)
-    if rows is None:
-        return spark.createDataFrame([], "url string, first_seen date")
-    return rows.groupBy("url").agg(F.min("first_seen").alias("first_seen"))
+    return history_log(spark, target).read()
