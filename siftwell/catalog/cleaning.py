@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siftwell.catalog.inputs import NOW, REASON_SQL, RULES, STAR_SQL, postings_star, rounds_sql, table
 from siftwell.catalog.registry import query
+from siftwell.runtime import scratch
 from siftwell.operators import dedupe as dd
 from siftwell.operators import prefilter
 from siftwell.plans.daily import shortlist
@@ -47,6 +48,38 @@ def prefilter_reasons(spark, sf_dir):
     return marked.select("seq", F.coalesce("drop_reason", F.lit("kept")).alias("verdict"))
 
 
+# 5,000 keywords by a rule: every third supplier number.
+MANY_KEYWORDS = [f"Supplier#{i:09d}" for i in range(0, 15_000, 3)]
+
+
+@query(
+    "many_keywords",
+    f"""WITH {STAR_SQL} SELECT seq, CAST(substr(s_name, 10, 9) AS INTEGER) % 3 = 0 AND CAST(substr(s_name, 10, 9) AS INTEGER) < 15000 AS found FROM star""",
+)
+def many_keywords(spark, sf_dir):
+    """Postings whose company holds one of 5,000 keywords, found in one pass."""
+    star = postings_star(spark, sf_dir)
+    return star.select("seq", prefilter.contains_any(F.lower("company"), MANY_KEYWORDS).alias("found"))
+
+
+@query(
+    "observed_counts",
+    f"""WITH {STAR_SQL}, m AS (SELECT coalesce({REASON_SQL}, 'kept') AS reason FROM star)
+SELECT reason AS counter, count(*) AS n FROM m WHERE reason <> 'kept' GROUP BY reason
+UNION ALL SELECT 'fetched', count(*) FROM m UNION ALL SELECT 'after_prefilter', count(*) FROM m WHERE reason = 'kept'
+UNION ALL SELECT 'written', count(*) FROM m WHERE reason = 'kept'""",
+)
+def observed_counts(spark, sf_dir):
+    """Counters that are taken while the kept postings are written, without another pass."""
+    marked = prefilter.with_drop_reason(postings_star(spark, sf_dir), RULES, NOW)
+    observed, counters = prefilter.observe_reasons(marked)
+    path = f"{scratch(spark)}/kept"
+    prefilter.kept(observed).select("seq").write.parquet(path)
+    counted = {k: v for k, v in counters.get.items() if v or k in ("fetched", "after_prefilter")}
+    rows = spark.createDataFrame(list(counted.items()), "counter string, n bigint")
+    return rows.unionByName(spark.read.parquet(path).agg(F.lit("written").alias("counter"), F.count(F.lit(1)).alias("n")))
+
+
 @query(
     "drop_counts",
     f"""WITH {STAR_SQL}, reasons(drop_reason) AS (VALUES ('no-keyword'), ('excluded-keyword'), ('blocked-location'),

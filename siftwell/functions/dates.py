@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftwell.functions.bind import let
 from siftwell.functions.text import trim_space
 
 DAY_MICROS = 86_400_000_000
@@ -49,10 +50,15 @@ def _mail_date(c: Column) -> Column:
 
 def text_to_timestamp(c: Column) -> Column:
     """Text rule: plain numbers are epochs, then ISO, then mail dates; the rest is NULL."""
-    t = trim_space(c)
-    number = F.when(t.rlike(r"^\+?(?:\d+\.?\d*|\.\d+)(?:[eE]\+?\d+)?$"), t.try_cast("double"))
-    iso = F.when(t.rlike(r"^\d{4}(?:-\d{1,2}){1,2}(?:[T ]|$)"), t.try_cast("timestamp"))
-    return F.coalesce(number_to_timestamp(number), iso, _mail_date(t))
+
+    def read(t: Column) -> Column:
+        iso = F.when(t.rlike(r"^\d{4}(?:-\d{1,2}){1,2}(?:[T ]|$)"), t.try_cast("timestamp"))
+        number = number_to_timestamp(t.try_cast("double"))
+        plain = t.rlike(r"^\+?(?:\d+\.?\d*|\.\d+)(?:[eE]\+?\d+)?$")
+        # A text that is no date of one kind may be one of the next.
+        return F.coalesce(iso, F.when(plain, number), _mail_date(t))
+
+    return let(trim_space(c), read)
 
 
 def to_iso_date(c: Column) -> Column:

@@ -90,7 +90,7 @@ def strip_html(c: Column) -> Column:
 
 
 def truncate(c: Column, limit: int) -> Column:
-    return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit), F.lit(CUT_MARK))).otherwise(c)
+    return let(c, lambda t: F.when(F.length(t) > limit, F.concat(F.substring(t, 1, limit), F.lit(CUT_MARK))).otherwise(t))
 
 
 def pick_description(*candidates: Column) -> Column:

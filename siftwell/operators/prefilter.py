@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siftwell.functions.bind import let
@@ -17,15 +19,63 @@ from siftwell.schema import FilterRules, as_lit
 DROP_REASONS = ["no-keyword", "excluded-keyword", "blocked-location", "location-not-allowed", "stale"]
 
 
+# Up to so many needles are looked for one by one; that is cheaper than a pattern.
+FEW_NEEDLES = 12
+# A branch with more ways out is halved by a look at the next character.
+FEW_WAYS = 4
+
+
+def _trie(needles: Iterable[str]) -> dict:
+    """Needles letter by letter; one that begins with a shorter needle adds nothing."""
+    root: dict = {}
+    for needle in sorted(needles):
+        node = root
+        for c in needle:
+            if "" in node:
+                break
+            node = node.setdefault(c, {})
+        else:
+            node.clear()
+            node[""] = {}
+    return root
+
+
+def _pattern(node: dict) -> str:
+    """The trie as a regex that decides on one character at a time, without going back."""
+    prefix = ""
+    while len(node) == 1 and "" not in node:
+        [(c, node)] = node.items()
+        prefix += re.escape(c)
+    if "" in node:
+        return prefix
+    return prefix + _branch(sorted(node.items()))
+
+
+def _branch(ways: list[tuple[str, dict]]) -> str:
+    if len(ways) <= FEW_WAYS:
+        return "(?:" + "|".join(re.escape(c) + _pattern(below) for c, below in ways) + ")"
+    half = len(ways) // 2
+    first, last = re.escape(ways[0][0]), re.escape(ways[half - 1][0])
+    return f"(?:(?=[{first}-{last}]){_branch(ways[:half])}|(?![{first}-{last}]){_branch(ways[half:])})"
+
+
+def any_of(needles: list[str]) -> str:
+    """One pattern that finds any of the needles in a single pass over a text."""
+    return _pattern(_trie(needles))
+
+
 def contains_any(text: Column, needles: list[str]) -> Column:
     """True if any needle is a substring; whole words are not required.
 
-    The text is computed once, however many needles there are.
+    Many needles become one pattern made of their trie, so their number costs little; the text is
+    computed once either way.
     """
     lowered = list(dict.fromkeys(n.lower() for n in needles))
     if not lowered:
         return F.lit(False)
-    return let(text, lambda t: reduce(or_, [F.contains(t, F.lit(n)) for n in lowered]))
+    if len(lowered) <= FEW_NEEDLES or "" in lowered:
+        return let(text, lambda t: reduce(or_, [F.contains(t, F.lit(n)) for n in lowered]))
+    return F.rlike(text, F.lit(any_of(lowered)))
 
 
 def drop_reason(rules: FilterRules, now: datetime | Column) -> Column:
@@ -71,6 +121,19 @@ def drop_counts(marked: DataFrame) -> DataFrame:
     return reasons.join(F.broadcast(counts), "drop_reason", "left").select("drop_reason", "rule", n)
 
 
+def observe_reasons(marked: DataFrame) -> tuple[DataFrame, Observation]:
+    """``marked`` with counters that are filled while it is written: ``fetched``,
+    ``after_prefilter``, and one per reason.
+
+    Each counter is right if the rows are written without a shuffle after this point, since only
+    finished tasks of a job's last stage count once.
+    """
+    counters = Observation()
+    per_reason = [F.count_if(F.col("drop_reason") == r).alias(r) for r in DROP_REASONS]
+    passed = F.count_if(F.col("drop_reason").isNull()).alias("after_prefilter")
+    return marked.observe(counters, F.count(F.lit(1)).alias("fetched"), passed, *per_reason), counters
+
+
 def eligible_only(scored: DataFrame) -> DataFrame:
     return scored.where(F.col("classification.eligible"))
 

@@ -16,6 +16,7 @@ from siftwell.schema import REVIEW_BELOW, SOURCE_REPORT, as_lit
 DIGEST_SECTIONS = ["New today", "Still open", "Low confidence, worth a glance"]
 ACTION_SECTIONS = {"applied": "Submitted today", "dry-run": "Filled but not submitted, dry run", "review": "Needs you", "failed": "Errors"}
 NO_PLACE, NOTHING_TODAY, MANUAL_SITE = "location not stated", "Nothing matched today.", "manual site"
+COMPANY_SITES = "company-sites"
 FAILED_SOURCES = "Sources that failed"
 PREVIEW_LINES = 12
 
@@ -83,6 +84,27 @@ def guarded_report(report: DataFrame, guards: DataFrame) -> DataFrame:
     )
 
 
+def landed_report(guards: DataFrame, failures: DataFrame, sites: int | None = None) -> DataFrame:
+    """Per source: what its guard saw, and how many of its companies failed.
+
+    ``sites`` is the number of company sites that were read. They are a source that is ok unless
+    each of them gave nothing; any other source with failed companies needs rows to be ok.
+    """
+    failed = failures.select("source", "company").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    of_sites = F.col("source") == COMPANY_SITES
+    total = F.lit(sites or 0)
+    slugs = F.concat(F.col("n").cast("string"), F.lit(" company slug(s) failed"))
+    text = F.when(of_sites, F.format_string("%d/%d site(s) gave nothing", "n", total)).otherwise(slugs)
+    fine = F.when(of_sites, F.col("n") < total).otherwise(F.col("fetched") > 0)
+    return guards.join(failed, "source", "left").select(
+        "source",
+        (F.col("ok") & (F.col("n").isNull() | fine)).alias("ok"),
+        "fetched",
+        "duration_ms",
+        F.coalesce("error", F.when(F.col("n").isNotNull(), text)).alias("error"),
+    )
+
+
 def run_health(report: DataFrame) -> DataFrame:
     """One row: healthy when more than half of the sources are ok; never without sources."""
     ok, total = F.count_if("ok"), F.count(F.lit(1))

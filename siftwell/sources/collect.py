@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.operators.distinct import first_per_key
+from siftwell.operators.reports import COMPANY_SITES
 from siftwell.schema import POSTING_COLUMNS, SOURCE_ORDER, posting_order
 from siftwell.sources import boards, feeds, jsonld
 
@@ -31,6 +32,9 @@ READERS: dict[str, Reader] = {
     "linkedin": feeds.from_linkedin_cards,
 }
 
+# Sources whose documents are boards of single companies, fetched by slug.
+BOARD_SOURCES = ["greenhouse", "lever", "ashby", "workable", "recruitee", "smartrecruiters", "personio"]
+
 XML_SOURCES = {"personio": "workzag-jobs", "weworkremotely": "rss"}
 HTML_SOURCES = {"linkedin"}
 
@@ -63,17 +67,6 @@ def collect_bronze(bronze: DataFrame, details: DataFrame | None = None) -> DataF
     return union_sources(source_frames(bronze, details))
 
 
-def web_frames(sites: DataFrame | None, listings: DataFrame | None, pages: DataFrame) -> dict[str, Callable[[], DataFrame]]:
-    """Readers of company sites and job boards over landed pages. Both cut lineage while they
-    read, so they are called where a failure is caught."""
-    found: dict[str, Callable[[], DataFrame]] = {}
-    if sites is not None:
-        found["company-sites"] = lambda: jsonld.from_company_sites(sites, pages).postings
-    if listings is not None:
-        found["job-boards"] = lambda: jsonld.from_board_listing(listings, pages)
-    return found
-
-
 def merge_board_lists(configured: DataFrame, discovered: DataFrame) -> DataFrame:
     """Configured slugs, then discovered ones, each once in first order; empty ones dropped.
 
@@ -86,6 +79,19 @@ def merge_board_lists(configured: DataFrame, discovered: DataFrame) -> DataFrame
     return first_per_key(named, ["vendor", "slug"], "at").select("vendor", "slug", "part", "pos")
 
 
+def board_place(number: Column) -> Column:
+    """A plain number as the place of a board in its list."""
+    return F.struct(number.cast("bigint").alias("site"), F.lit(0).alias("at"), F.lit(0).alias("pos"))
+
+
+def only_boards(bronze: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Documents of all sources, but of board sources only those of ``wanted`` (``vendor``, ``slug``)."""
+    listed = wanted.select(F.col("vendor").alias("source"), F.col("slug").alias("company")).distinct()
+    is_board = F.col("source").isin(*BOARD_SOURCES)
+    boards = bronze.where(is_board).join(listed, ["source", "company"], "left_semi").select(*bronze.columns)
+    return bronze.where(~is_board).unionByName(boards)
+
+
 def payload_error() -> Column:
     """Why a landed document cannot be read; NULL for one that can."""
     payload = F.col("payload")

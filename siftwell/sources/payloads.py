@@ -28,8 +28,12 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
+def names_number(kind_name: Column) -> Column:
+    return kind_name.rlike(r"^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)")
+
+
 def is_number(value: Column) -> Column:
-    return kind(value).rlike(r"^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return names_number(kind(value))
 
 
 def string_or_null(value: Column) -> Column:
@@ -46,7 +50,7 @@ def one_value(c: Column) -> Column:
 
 def text(raw: Column, path: str) -> Column:
     """The field if it is a JSON string, else NULL."""
-    return string_or_null(field(raw, path))
+    return let(field(raw, path), lambda v: F.when(v.isNotNull(), string_or_null(v)))
 
 
 def number_text(value: Column) -> Column:
@@ -57,21 +61,29 @@ def number_text(value: Column) -> Column:
 
 def scalar_text(raw: Column, path: str) -> Column:
     """Any scalar as text; NULL for null, objects and arrays."""
-    value = field(raw, path)
-    return F.when(kind(value).isin("STRING", "BOOLEAN"), value.cast("string")).when(is_number(value), number_text(value))
+
+    def shown(value: Column) -> Column:
+        return let(
+            kind(value),
+            lambda k: F.when(k.isin("STRING", "BOOLEAN"), value.cast("string")).when(names_number(k), number_text(value)),
+        )
+
+    return let(field(raw, path), lambda v: F.when(v.isNotNull(), shown(v)))
 
 
 def truthy(raw: Column, path: str) -> Column:
     """Present and neither null, false, 0 nor the empty string."""
-    value = field(raw, path)
-    return F.coalesce(
-        F.when(kind(value) == "BOOLEAN", value.cast("boolean"))
-        .when(kind(value) == "STRING", value.cast("string") != "")
-        .when(is_number(value), value.cast("double") != 0)
-        .when(kind(value) == "VOID", F.lit(False))
-        .otherwise(value.isNotNull()),
-        F.lit(False),
-    )
+
+    def holds(value: Column) -> Column:
+        return let(
+            kind(value),
+            lambda k: F.when(k == "BOOLEAN", value.cast("boolean"))
+            .when(k == "STRING", value.cast("string") != "")
+            .when(names_number(k), value.cast("double") != 0)
+            .otherwise(k != "VOID"),
+        )
+
+    return let(field(raw, path), lambda v: F.coalesce(F.when(v.isNotNull(), holds(v)), F.lit(False)))
 
 
 def first_present(raw: Column, *paths: str) -> Column:
