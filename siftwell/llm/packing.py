@@ -20,7 +20,6 @@ as four bytes a token.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,7 +33,6 @@ END_ID = 1
 MAX_OPEN = 4096
 # Windows get ids partition * SEQUENCES + n.
 SEQUENCES = 1 << 33
-CACHED_CHUNKS = 300_000
 ROWS_OUT = 4096
 
 
@@ -46,11 +44,7 @@ def byte_letters() -> dict[str, int]:
 
 
 def text_encoder(vocabulary: str, pattern: str) -> Callable[[str], bytes]:
-    """Text -> ids as little-endian unsigned 32-bit numbers, for a byte-level BPE vocabulary file.
-
-    A blank between two other characters always starts a new word of such a vocabulary, so the
-    text between such blanks is encoded once and kept.
-    """
+    """Text -> ids as little-endian unsigned 32-bit numbers, for a byte-level BPE vocabulary file."""
     import tiktoken
 
     with open(vocabulary, encoding="utf-8") as f:
@@ -60,23 +54,9 @@ def text_encoder(vocabulary: str, pattern: str) -> Callable[[str], bytes]:
     ranks = {bytes(letters[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
     encoding = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
-    def ids_of(text: str) -> bytes:
-        return np.asarray(encoding.encode(text, allowed_special="all"), "<u4").tobytes()
-
-    class Chunks(dict):
-        def __missing__(self, chunk: str) -> bytes:
-            if len(self) >= CACHED_CHUNKS:
-                self.clear()
-            found = self[chunk] = ids_of(" " + chunk)
-            return found
-
-    chunks = Chunks()
-    double = re.compile(r"\s\s")
-    border = re.compile(r"(?<=\S) (?=\S)")
-
     def encode(text: str) -> bytes:
-        first, *rest = border.split(text) if double.search(text) else text.split(" ")
-        return ids_of(first) + b"".join([chunks[c] for c in rest])
+        # Whole texts at once: words of web text are too varied to be worth keeping.
+        return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
     return encode
 
