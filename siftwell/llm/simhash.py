@@ -52,6 +52,8 @@ SIMILARITY = 0.8
 SIMILAR_SHINGLE = 5
 BANDS = 32
 BAND_ROWS = 6
+# The first round looks at so many keys of a text, the second at those up to the next number.
+KEYS_AT_FIRST = (4, 12)
 # Rows of 24 bytes that a join sends to every executor.
 SENT_TO_ALL = 500_000
 # Shingles whose bits are counted at once, and node pairs that are walked at once.
@@ -464,22 +466,30 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
     far = far_for(similarity, BANDS * BAND_ROWS)
     links = refuted = spark.createDataFrame([], "a long, b long")
     found = spark.createDataFrame([], "node long, component long")
-    walked, quota = None, 1
+    # A few keys at first: what they bring together needs no pair under the other keys.
+    pending = [F.slice("keys", low + 1, high - low) for low, high in zip((0, *KEYS_AT_FIRST), (*KEYS_AT_FIRST, BANDS), strict=True)]
+    every, walked, quota, known = F.col("keys"), spark.createDataFrame([], "key long"), 1, False
     while True:
-        rows = entries.select("entry", "sketch", F.explode("keys").alias("key"))
-        if walked is not None:
-            rows = rows.join(walked, "key", "left_semi").join(found, F.col("entry") == F.col("node"), "left")
-            known = refuted.groupBy("a").agg(F.collect_list("b").alias("refuted"))
-            rows = rows.join(known, F.col("entry") == F.col("a"), "left")
+        passing = bool(pending)
+        rows = entries.select("entry", "sketch", F.explode(pending.pop(0) if passing else every).alias("key"))
+        if not passing:
+            rows = rows.join(walked, "key", "left_semi")
+        if known:
+            rows = rows.join(found, F.col("entry") == F.col("node"), "left")
+            against = refuted.groupBy("a").agg(F.collect_list("b").alias("refuted"))
+            rows = rows.join(against, F.col("entry") == F.col("a"), "left")
             rows = rows.withColumn("component", F.coalesce("component", "entry"))
         else:
             rows = rows.withColumns({"component": F.col("entry"), "refuted": F.lit(None).cast("array<long>")})
         pairs = cut_lineage(_named_pairs(rows, far, quota))
-        walked = pairs.select("key").distinct()
+        # Keys without a pair hold nothing undecided.
+        walked = pairs.select("key").distinct().unionByName(walked) if passing else pairs.select("key").distinct()
         # What an entry names under other keys waits for the next round.
         place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
         asked = cut_lineage(pairs.select("a", "b").distinct().withColumn("place", place).where(F.col("place") <= quota).select("a", "b"))
         if asked.isEmpty():
+            if passing:
+                continue
             break
         needed = asked.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
         # One row of an entry is read, so copies are not sent; few needed rows leave the others where they are.
@@ -493,8 +503,8 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
         gone = compared.where(~F.col("same"))
         refuted = refuted.unionByName(gone.select("a", "b")).unionByName(gone.select(F.col("b").alias("a"), F.col("a").alias("b")))
         refuted = cut_lineage(refuted)
-        found = components(links)
-        quota *= 2
+        found, known = components(links), True
+        quota *= 1 if pending else 2
     return prints.join(found, prints["entry"] == found["node"], "left").select(
         "doc", "body", F.coalesce("component", "entry").alias("component")
     )

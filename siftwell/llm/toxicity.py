@@ -70,7 +70,7 @@ MARKS_AT_ONCE = 64
 HINTS = 3
 # Subsequences looked up at a time.
 TERMS = 1_000_000
-CACHE = 400_000
+CACHE = 50_000
 BATCH = 512
 THRESHOLD = 0.3
 
