@@ -12,13 +12,16 @@ dependencies form chains, which are followed by pointer doubling, so a chain of
 log2(n) joins within one round. Whatever shares a key with a kept posting is dropped, and the rest
 goes on to the next round; every round keeps at least the earliest undecided posting.
 
+A round costs several jobs, however few rows are left; once there are at most ``FEW`` of them, the
+driver reads those narrow rows in order and settles them as described above.
+
 All of it is joins and first-two-per-key windows, which Spark limits to two rows per key and task
 before the shuffle. A hot key is a skewed join key, which adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.text import normalise_company, normalise_title
@@ -27,6 +30,10 @@ from siftwell.operators.distinct import top_per_key
 from siftwell.runtime import cut_lineage
 
 
+# So many undecided rows, of two keys and a number, are settled by the driver.
+FEW = 10_000
+
+
 def with_dedupe_keys(postings: DataFrame) -> DataFrame:
     """Add ``url_key`` and ``title_key``."""
     return postings.withColumn("url_key", canonical_url(F.col("url"))).withColumn(
@@ -50,9 +57,9 @@ def _chain_ends(links: DataFrame) -> DataFrame:
             (F.col("odd") != F.coalesce("flip", F.lit(False))).alias("odd"),
             F.col("next").isNotNull().alias("moved"),
         )
-        followed = cut_lineage(followed)
-        links = followed.drop("moved")
-        if followed.where("moved").isEmpty():
+        moved = Observation()
+        links = cut_lineage(followed.observe(moved, F.count_if("moved").alias("n"))).drop("moved")
+        if not moved.get["n"]:
             return links
 
 
@@ -78,16 +85,34 @@ def kept_orders(keyed: DataFrame, order: str = "ord") -> DataFrame:
     """Orders of the kept postings, from ``url_key``, ``title_key`` and a unique BIGINT order."""
     # A posting that repeats both keys of an earlier one is always dropped: if the earlier one
     # was kept it blocks, and if not, whatever blocked it blocks this one too.
-    undecided = cut_lineage(keyed.groupBy("url_key", "title_key").agg(F.min(order).alias("ord")))
-    kept = undecided.limit(0)
-    while not undecided.isEmpty():
+    undecided, n = _cut_and_count(keyed.groupBy("url_key", "title_key").agg(F.min(order).alias("ord")))
+    kept = undecided.select("ord").limit(0)
+    while n > FEW:
         winners = cut_lineage(_winners(undecided))
-        kept = kept.unionByName(winners)
+        kept = kept.unionByName(winners.select("ord"))
         rest = undecided.join(winners.select("url_key"), "url_key", "left_anti")
-        undecided = cut_lineage(rest.join(winners.select("title_key"), "title_key", "left_anti"))
+        undecided, n = _cut_and_count(rest.join(winners.select("title_key"), "title_key", "left_anti"))
+    if n:
+        kept = kept.unionByName(_settle_few(undecided))
     return kept.select(F.col("ord").alias(order))
 
 
+def _cut_and_count(rows: DataFrame) -> tuple[DataFrame, int]:
+    counter = Observation()
+    return cut_lineage(rows.observe(counter, F.count(F.lit(1)).alias("n"))), counter.get["n"]
+
+
+def _settle_few(undecided: DataFrame) -> DataFrame:
+    """Orders kept among at most ``FEW`` rows, read one after another."""
+    urls, titles, kept = set(), set(), []
+    for row in undecided.orderBy("ord").collect():
+        if row["url_key"] not in urls and row["title_key"] not in titles:
+            urls.add(row["url_key"])
+            titles.add(row["title_key"])
+            kept.append((row["ord"],))
+    return undecided.sparkSession.createDataFrame(kept, "ord bigint")
+
+
 def dedupe(postings: DataFrame, order: str = "ord", strict_empty: bool = False) -> DataFrame:
     """Kept postings. ``postings`` needs url, company, title and a unique BIGINT ``order``.
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siftwell.functions.bind import let
@@ -72,13 +72,13 @@ def render_prompt(prompt: Prompt) -> Column:
 
 def extract_json(response: Column) -> Column:
     """The JSON value of a reply: the whole text, the first fence, or its outermost braces."""
-    fence = r"```(?:json)?([\s\S]*?)```"
+    fence = r"(?s)```(?:json)?(.*?)```"
 
     def body(t: Column) -> Column:
         return F.when(t.rlike(fence), trim_space(F.regexp_extract(t, fence, 1))).otherwise(t)
 
     def read(candidate: Column) -> Column:
-        braces = F.regexp_extract(candidate, r"\{[\s\S]*\}", 0)
+        braces = F.regexp_extract(candidate, r"(?s)\{.*\}", 0)
         return F.coalesce(one_value(candidate), F.when(braces != "", one_value(braces)))
 
     return let(let(trim_space(F.coalesce(response, F.lit(""))), body), read)
@@ -134,11 +134,12 @@ def fixed_classification(eligible: bool, reason: Column | str) -> Column:
     )
 
 
-_REPLIES = "id string, response string, error string, input_tokens bigint, output_tokens bigint"
+_REPLIES = "id string, asked string, user string, response string, error string, input_tokens bigint, output_tokens bigint"
 
 
 def ask(prompts: DataFrame, make_scorer: MakeScorer, system: str, attempt: int, calls_at_once: int) -> DataFrame:
-    """One reply, or the error of the call, for each ``(id, user)``.
+    """One reply, or the error of the call, for each ``(id, asked, user)``. Token counts add to what
+    ``prompts`` already carries.
 
     The scorer is made once per partition and must allow ``calls_at_once`` calls side by side.
     """
@@ -158,9 +159,11 @@ def ask(prompts: DataFrame, make_scorer: MakeScorer, system: str, attempt: int,
                 replies = pd.DataFrame(
                     list(pool.map(call, frame["user"])), columns=["response", "error", "input_tokens", "output_tokens"]
                 )
-                yield replies.assign(id=frame["id"].to_numpy())
+                for spent in ("input_tokens", "output_tokens"):
+                    replies[spent] += frame[spent].to_numpy()
+                yield replies.assign(**{c: frame[c].to_numpy() for c in ("id", "asked", "user")})
 
-    return prompts.select("id", "user").mapInPandas(run, _REPLIES)
+    return prompts.select("id", "asked", "user", "input_tokens", "output_tokens").mapInPandas(run, _REPLIES)
 
 
 def score_batch(
@@ -172,63 +175,72 @@ def score_batch(
     backoff: float = BACKOFF_SECONDS,
     calls_at_once: int = CALLS_AT_ONCE,
 ) -> DataFrame:
-    """Scores per posting ``id``: classification, token counts and whether scoring failed.
+    """Scores per posting ``id``, each there once: classification, token counts, whether scoring failed.
 
     Only the id and the prompt text reach Python. Scoring goes in rounds: all postings are asked,
     the replies are read and kept in the checkpoint folder, and those without a usable reply are
-    asked again; the wait between rounds holds no task. Tokens of failed attempts count as well.
-    ``parallelism`` sets the number of partitions, each with ``calls_at_once`` calls.
+    asked again, with the prompt and the tokens spent so far taken from there; the wait between
+    rounds holds no task. ``asked`` is a hash of the prompt. ``parallelism`` sets the number of
+    partitions, each with ``calls_at_once`` calls.
     """
-    asked = postings.select("id", render_prompt(prompt).alias("user"))
-    pending, rounds = asked, []
+    user, none = render_prompt(prompt), F.lit(0).cast("bigint")
+    pending = postings.select(
+        "id", asked_hash(prompt).alias("asked"), user.alias("user"), none.alias("input_tokens"), none.alias("output_tokens")
+    )
+    settled = []
     for attempt in range(retries + 1):
         if parallelism:
             pending = pending.repartition(parallelism)
         replies = ask(pending, make_scorer, prompt.system, attempt, calls_at_once)
         response = F.col("response")
         unread = F.when(extract_json(response).isNull(), F.lit(NO_OBJECT)).otherwise(F.lit(NOT_BOOLEAN))
-        read = replies.select(
+        parsed = let(parse_classification(response), lambda c: F.struct(c.alias("c"), F.when(c.isNull(), unread).alias("why")))
+        read = replies.withColumn("reply", F.when(F.col("error").isNull(), parsed)).select(
             "id",
-            F.lit(attempt).alias("attempt"),
-            F.when(F.col("error").isNull(), parse_classification(response)).alias("parsed"),
-            F.coalesce("error", unread).alias("error"),
+            "asked",
+            F.col("reply.c").alias("parsed"),
+            F.coalesce("error", "reply.why").alias("error"),
+            F.when(F.col("reply.c").isNull(), F.col("user")).alias("user"),
             "input_tokens",
             "output_tokens",
         )
-        rounds.append(cut_lineage(read))
-        failed = rounds[-1].where(F.col("parsed").isNull()).select("id")
-        if attempt == retries or failed.isEmpty():
+        failures = Observation()
+        read = cut_lineage(read.observe(failures, F.count_if(F.col("parsed").isNull()).alias("n")))
+        failed = F.col("parsed").isNull()
+        if attempt == retries or not failures.get["n"]:
+            settled.append(read)
             break
+        settled.append(read.where(~failed))
+        pending = read.where(failed)
         time.sleep(backoff * 2**attempt)
-        pending = asked.join(failed, "id", "left_semi")
-    last = F.max_by(F.struct("parsed", "error"), "attempt").alias("last")
-    final = reduce(DataFrame.unionByName, rounds).groupBy("id").agg(
-        last, F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens")
-    )
-    why = F.concat(F.lit(FAILED + ": "), F.col("last.error"))
-    return final.select(
+    why = F.concat(F.lit(FAILED + ": "), F.col("error"))
+    return reduce(DataFrame.unionByName, settled).select(
         "id",
+        "asked",
         F.lit(prompt.version).alias("version"),
-        F.coalesce("last.parsed", fixed_classification(False, why)).alias("classification"),
+        F.coalesce("parsed", fixed_classification(False, why)).alias("classification"),
         "input_tokens",
         "output_tokens",
-        F.col("last.parsed").isNull().alias("failed"),
+        F.col("parsed").isNull().alias("failed"),
     )
 
 
+def asked_hash(prompt: Prompt) -> Column:
+    """Hash of what the model is asked about a posting."""
+    return F.sha2(F.concat(F.lit(prompt.system + "\u0000"), render_prompt(prompt)), 256)
+
+
 def score_once(postings: DataFrame, make_scorer: MakeScorer, prompt: Prompt, path: str, **options) -> DataFrame:
     """Score what ``path`` does not hold yet, append it there, and read the latest scores back.
 
     A row counts as held when its id was scored without failure under the same prompt text, so a
     rerun asks again for what failed and for postings that changed.
     """
-    spark = postings.sparkSession
-    text = F.sha2(F.concat(F.lit(prompt.system + "\u0000"), render_prompt(prompt)), 256)
-    todo = postings.withColumn("asked", text)
+    spark, todo = postings.sparkSession, postings
     if _exists(spark, path):
         done = spark.read.parquet(path).where((F.col("version") == prompt.version) & ~F.col("failed"))
-        todo = todo.join(done.select("id", "asked").distinct(), ["id", "asked"], "left_anti")
-    scores = score_batch(todo, make_scorer, prompt, **options).join(todo.select("id", "asked"), "id")
+        todo = todo.withColumn("asked", asked_hash(prompt)).join(done.select("id", "asked").distinct(), ["id", "asked"], "left_anti")
+    scores = score_batch(todo, make_scorer, prompt, **options)
     scores.withColumn("scored_at", F.lit(time.time_ns())).write.mode("append").parquet(path)
     held = spark.read.parquet(path).where(F.col("version") == prompt.version)
     return latest_per_key(held, ["id"], "scored_at").drop("asked", "scored_at")

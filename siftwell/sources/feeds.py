@@ -167,11 +167,11 @@ def from_rss(bronze: DataFrame) -> DataFrame:
 
 # The markup of a card's link, company and location.
 CARD_LINK = (
-    r'<a[^>]*class="[^"]*base-card__full-link[^"]*"[^>]*href="([^"]+)"[^>]*>[\s\S]*?'
-    rf'<span class="sr-only">{SPACE}*([\s\S]*?){SPACE}*</span>'
+    r'(?s)<a[^>]*class="[^"]*base-card__full-link[^"]*"[^>]*href="([^"]+)"[^>]*>.*?'
+    rf'<span class="sr-only">{SPACE}*(.*?){SPACE}*</span>'
 )
-CARD_COMPANY = r'<h4[^>]*class="[^"]*base-search-card__subtitle[^"]*"[^>]*>[\s\S]*?>([\s\S]*?)</a>'
-CARD_LOCATION = r'<span[^>]*class="[^"]*job-search-card__location[^"]*"[^>]*>([\s\S]*?)</span>'
+CARD_COMPANY = r'(?s)<h4[^>]*class="[^"]*base-search-card__subtitle[^"]*"[^>]*>.*?>(.*?)</a>'
+CARD_LOCATION = r'(?s)<span[^>]*class="[^"]*job-search-card__location[^"]*"[^>]*>(.*?)</span>'
 
 
 def from_linkedin_cards(bronze: DataFrame) -> DataFrame:

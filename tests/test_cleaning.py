@@ -72,8 +72,16 @@ def fold(rows):
 
 
 def kept(spark, rows):
+    """Kept rows, which must not depend on how many of the last ones the driver settles."""
     df = spark.createDataFrame(rows, "url_key string, title_key string, ord bigint")
-    return sorted(r["ord"] for r in dd.kept_orders(df).collect())
+    few, found = dd.FEW, []
+    try:
+        for dd.FEW in (0, len(rows) // 3, len(rows)):
+            found.append(sorted(r["ord"] for r in dd.kept_orders(df).collect()))
+    finally:
+        dd.FEW = few
+    assert found[0] == found[1] == found[2]
+    return found[0]
 
 
 @pytest.mark.parametrize("seed", [7, 8])
@@ -97,7 +105,8 @@ def test_dedupe_settles_a_long_chain_in_few_steps(spark, monkeypatch):
     cuts = []
     monkeypatch.setattr(dd, "cut_lineage", lambda df: cuts.append(1) or cut_lineage(df))
     assert kept(spark, rows) == fold(rows)
-    assert len(cuts) < 25
+    # Three runs.
+    assert len(cuts) < 45
 
 
 def test_dedupe_with_a_third_in_one_key(spark):
