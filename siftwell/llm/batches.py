@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,3 +15,12 @@ ROWS = 500
 def pieces(batch: pa.RecordBatch, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def hand_back() -> None:
+    """Give what a task has freed back to the system; Python workers live on for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

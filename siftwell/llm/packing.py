@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.batches import hand_back
+
 WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 4096
@@ -232,6 +234,8 @@ def pack(
         windows.close()
         if rows:
             yield flush()
+        del encode, windows
+        hand_back()
 
     packed = source.mapInArrow(run, schema)
     return packed.withColumnRenamed("doc", doc_id)

@@ -41,6 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftwell.llm.batches import hand_back
 from siftwell.llm.components import components
 from siftwell.llm.suffixes import mix
 from siftwell.runtime import cut_lineage
@@ -430,6 +431,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
                 shared = len(np.intersect1d(s, t, assume_unique=True))
                 same.append(shared >= similarity * (len(s) + len(t) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
+        hand_back()
 
     return both.mapInArrow(run, "a long, b long, same boolean")
 
@@ -457,6 +459,7 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
                     ],
                     ["doc", "body", "entry", "keys", "sketch"],
                 )
+        hand_back()
 
     prints = cut_lineage(source.mapInArrow(run, "doc long, body long, entry long, keys array<long>, sketch binary"))
     entries = prints.groupBy("entry").agg(

@@ -45,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.batches import hand_back
 from siftwell.llm.batches import pieces as small
 from siftwell.runtime import cut_lineage
 
@@ -70,7 +71,7 @@ MARKS_AT_ONCE = 64
 HINTS = 3
 # Subsequences looked up at a time.
 TERMS = 1_000_000
-CACHE = 50_000
+CACHE = 400_000
 BATCH = 512
 THRESHOLD = 0.3
 
@@ -288,6 +289,8 @@ def margins(documents: DataFrame, model: Model, doc_id: str, text: str) -> DataF
             found = best_margins(batch.column(1).to_pylist(), model, known)
             columns = [pa.array(np.ascontiguousarray(c)) for c in found.T]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc", "margin", "second", "third"])
+        known.clear()
+        hand_back()
 
     return source.mapInArrow(run, f"doc {kind}, {_HINTS}")
 
@@ -466,5 +469,7 @@ def accepted(
         for batch in chain.from_iterable(map(small, batches)):
             found = model.score(best_margins(batch.column(at).to_pylist(), model, known))
             yield batch.filter(pa.array(found < threshold))
+        known.clear()
+        hand_back()
 
     return documents.mapInArrow(run, documents.schema)
