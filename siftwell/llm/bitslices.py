@@ -17,6 +17,10 @@ Queries are a stated set of rows. Blocks of queries are sent to every block of r
 number; a task holds one block of rows and reads the queries after it, block by block, whatever the
 tables hold.
 
+Every finite component takes part, whatever its size. If a sum of products might leave 63 bits, the
+slices are cut from whole numbers of any length, blocks are smaller in proportion to the slices, and
+the order stays exact; a score that a long cannot hold is null.
+
 Cases: vectors that are null, or hold a null or non-finite component, take no part, neither do rows
 with a null id. All vectors need the same length; others are refused with an error. If rows repeat
 an id, each takes part, queries of one id share one list, and none meets rows with its own id. An empty table gives an
@@ -25,6 +29,7 @@ empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,23 +45,30 @@ ROWS_IN_BLOCK = 32_768
 QUERIES_IN_BLOCK = 128
 
 
-def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
-    """(``id``, ``v`` array<int>) of the rows that take part."""
-    v = F.col(vector)
-    # NaN is not equal to its own difference; infinities are caught by the bounds.
-    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(1e300)))
+def sound_vectors(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """(``id``, ``v`` array<double>) of the rows that take part."""
+    v = F.col(vector).cast("array<double>")
+    # Null, NaN and infinities differ from zero, or from themselves, when taken from themselves.
+    sound = F.forall(v, lambda x: F.coalesce(x - x == 0, F.lit(False)))
     rows = vectors.where(F.col(vec_id).isNotNull() & v.isNotNull() & sound)
-    return rows.select(
-        F.col(vec_id).cast("long").alias("id"),
-        F.transform(v, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("int")).alias("v"),
-    )
+    return rows.select(F.col(vec_id).cast("long").alias("id"), v.alias("v"))
+
+
+def whole_number(x: float, scale: int) -> int:
+    """floor(scale * x) for any finite x."""
+    return int(x) * scale if abs(x) >= 2.0**53 else math.floor(scale * x)
+
+
+def whole_numbers(v: np.ndarray, scale: int) -> np.ndarray:
+    """``whole_number`` of every component, as Python numbers."""
+    return np.array([whole_number(x, scale) for x in v.ravel().tolist()], object).reshape(v.shape)
 
 
 def slices_of(values: np.ndarray, low: int, bits: int) -> np.ndarray:
     """Bitmaps (components, bits, words of 64 rows) of ``values`` (rows, components) minus ``low``."""
     rows, dims = values.shape
     words = -(-rows // 64)
-    shifted = np.zeros((words * 64, dims), np.int64)
+    shifted = np.zeros((words * 64, dims), values.dtype if values.dtype == object else np.int64)
     shifted[:rows] = values - low
     out = np.empty((dims, bits, words), np.uint64)
     for b in range(bits):
@@ -93,9 +105,10 @@ def score_slices(index: np.ndarray, query: np.ndarray) -> list[np.ndarray | None
     """Slices of the score of all rows of a block, up to a shift that all rows share."""
     by_weight: dict[int, list[np.ndarray]] = {}
     size = np.abs(query)
-    for k in range(int(size.max(initial=0)).bit_length()):
-        has = (size >> k) & 1 == 1
-        for part, turn in ((has & (query > 0), False), (has & (query < 0), True)):
+    above, below = (query > 0).astype(bool), (query < 0).astype(bool)
+    for k in range(int(max(size, default=0)).bit_length()):
+        has = ((size >> k) & 1 == 1).astype(bool)
+        for part, turn in ((has & above, False), (has & below, True)):
             if not part.any():
                 continue
             for j in range(index.shape[1]):
@@ -136,7 +149,8 @@ def block_top(ids: np.ndarray, values: np.ndarray, index: np.ndarray, query_ids,
             among = every.copy()
             np.bitwise_and.at(among, own >> 6, ~(np.uint64(1) << (own & 63).astype(np.uint64)))
         rows = top_rows(score_slices(index, q), among, k)
-        yield qid, ids[rows], values[rows].astype(np.int64) @ q
+        chosen = values[rows]
+        yield qid, ids[rows], (chosen if chosen.dtype == object else chosen.astype(np.int64)) @ q
 
 
 def _blocks(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
@@ -159,7 +173,7 @@ def exact_top(
     queries_in_block: int = QUERIES_IN_BLOCK,
 ) -> DataFrame:
     """(``query_id``, ``rank``, ``vec_id``, ``score``): the k best rows for each row of ``is_query``."""
-    rows = cut_lineage(quantised(vectors, vec_id, vector, scale))
+    rows = sound_vectors(vectors, vec_id, vector)
     shape = rows.agg(
         F.min(F.array_min("v")).alias("low"), F.max(F.array_max("v")).alias("high"),
         F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most"),
@@ -169,7 +183,20 @@ def exact_top(
         raise ValueError("vectors differ in length")
     if not shape["least"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    low, bits = shape["low"], max(1, int(shape["high"] - shape["low"]).bit_length())
+    low, high = (whole_number(shape[x], scale) for x in ("low", "high"))
+    bits = max(1, (high - low).bit_length())
+    largest = max(abs(low), abs(high))
+    # Numbers of any length are cut from the doubles where the blocks are.
+    wide = largest >= 2**31 or shape["most"] * largest**2 >= 2**63
+    if wide:
+        rows_in_block = max(64, rows_in_block * 32 // max(bits, 32))
+    else:
+        rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("int")))
+    rows = cut_lineage(rows)
+    # Scores of any length are ordered as bytes.
+    n_bytes = (shape["most"] * largest**2).bit_length() // 8 + 1
+    zero = 1 << (8 * n_bytes - 1)
+    names = ["query_id", "vec_id", "score"] + ["size"] * wide
 
     bases, n_blocks = _blocks(rows, rows_in_block)
     asks, _ = _blocks(rows.where(is_query), queries_in_block)
@@ -184,19 +211,21 @@ def exact_top(
             for r in range(batch.num_rows):
                 ids = batch.column("ids")[r].values.to_numpy()
                 values = batch.column("values")[r].values.flatten().to_numpy().reshape(len(ids), -1)
+                if wide:
+                    values = whole_numbers(values, scale)
                 if batch.column("kind")[r].as_py() == 0:
                     block = (ids, values, slices_of(values, low, bits))
                     continue
-                out = list(block_top(*block, ids, values.astype(np.int64), k))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(ids, [len(x[1]) for x in out])),
-                        pa.array(np.concatenate([x[1] for x in out])),
-                        pa.array(np.concatenate([x[2] for x in out])),
-                    ],
-                    ["query_id", "vec_id", "score"],
-                )
-
-    best = met.mapInArrow(run, "query_id long, vec_id long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+                out = list(block_top(*block, ids, values if wide else values.astype(np.int64), k))
+                columns = [pa.array(np.repeat(ids, [len(x[1]) for x in out])), pa.array(np.concatenate([x[1] for x in out]))]
+                scores = np.concatenate([x[2] for x in out])
+                if wide:
+                    columns.append(pa.array([x if -(2**63) <= x < 2**63 else None for x in scores], pa.int64()))
+                    columns.append(pa.array([(x + zero).to_bytes(n_bytes, "big") for x in scores], pa.binary()))
+                else:
+                    columns.append(pa.array(scores))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    best = met.mapInArrow(run, "query_id long, vec_id long, score long" + ", size binary" * wide)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(names[-1]), "vec_id"))
     return best.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -8,8 +8,9 @@ from siftwell.llm import bitslices
 
 
 def brute(rows, k=20, every=20):
+    whole = lambda x: int(x) * 64 if abs(x) >= 2.0**53 else math.floor(64 * x)
     sound = [
-        (i, [math.floor(64 * x) for x in v])
+        (i, [whole(x) for x in v])
         for i, v in rows
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
@@ -42,6 +43,19 @@ def test_few_rows_and_empty(spark):
         bitslices.exact_top(uneven, F.col("id") % 20 == 0)
 
 
+@pytest.mark.parametrize("large", [3e7, 1e9, 1e12, 1e300, 1.7e308])
+def test_large_components_take_part(spark, large):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 3)]) for i in range(90)]
+    rows += [(100, [large, 0.5, -large]), (101, [-large, 1.0, 2.0]), (102, [large, 0.5, 0.0]), (120, [0.0, -0.01, large])]
+    rows += [(103, [large, 0.5, -large]), (104, [math.inf, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = bitslices.exact_top(frame, F.col("id") % 20 == 0, rows_in_block=400)
+    want = [(q, r, i, s if -(2**63) <= s < 2**63 else None) for q, r, i, s in brute(rows)]
+    assert sorted(map(tuple, got.collect()), key=lambda x: x[:2]) == want
+    assert {100, 101, 102, 103} <= {x[2] for x in want}
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_score_slices_hold_the_score(seed):
     rng = np.random.default_rng(seed)
