@@ -18,6 +18,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # Beyond 8000 bytes the JVM does not compile a method; split expressions run faster then.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Python workers and their buffers hold one batch at a time; rows with long texts make batches short.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # Feeds repeat keys now and then; the last one wins, as in any JSON reader.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
