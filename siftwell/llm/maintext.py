@@ -10,6 +10,9 @@ Text of a block: character references decoded, white space turned into one blank
 join in page order by one blank; blocks without text are left out. Scripts, styles, comments,
 templates and other raw elements are never text.
 
+An element's class, id or role names what it is, word by word. Words of the layout (``no-sidebar``) and
+words that also have another sense (``market-share``) do not count, nor does the header of an article.
+
 Cases: null and empty html give an empty text and no block; unclosed and cut-off markup is read as
 far as it goes. A page is parsed in one pass, in time and memory that follow its length. Repeated
 rows stay; other columns are ignored.
@@ -30,11 +33,13 @@ from siftwell.llm.trees import decide, train_trees
 # Element names of HTML.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt ruby s samp"
-    " small span strike strong sub sup time tt u var wbr".split()
+    " small span strike strong sub sup time tt u var wbr"
+    # Parts of formulas.
+    " math mfrac mi mn mo mover mroot mrow mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|template|noscript|iframe|object|svg|math|canvas|textarea|select|title|noembed|noframes|audio|video"
-ASIDE = frozenset("nav footer aside menu dialog button fieldset figcaption address datalist search".split())
+RAW = "script|style|template|noscript|iframe|object|svg|annotation|canvas|textarea|select|title|noembed|noframes|audio|video"
+ASIDE = frozenset("nav footer aside menu dialog button fieldset datalist search".split())
 # These may also wrap a whole page; an article inside them is not aside.
 WRAPPING = frozenset(("header", "form"))
 MAIN = frozenset(("article", "main"))
@@ -48,6 +53,12 @@ ASIDE_WORDS = frozenset(
     " teasers toolbar widget widgets".split()
 )
 
+# These mark no main text only at the start of a name, or after words that tell of the page's parts.
+UNSURE_WORDS = frozenset("promotion search share social subscription".split())
+PARTS = frozenset("article blog box content entry icons js main page post site social story top bottom".split())
+# A name that starts so tells of the layout, not of its element.
+LAYOUT = frozenset("has no with without".split())
+
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)",
@@ -70,6 +81,9 @@ LABELLED = [
     (8, 0.0, 12, 0.0, 90, 0.0, 1, 0, 1, 1), (11, 0.0, 6, 1.0, 120, 0.0, 1, 0, 1, 1), (1, 0.0, 12, 0.0, 30, 0.0, 1, 0, 1, 1),
     (90, 0.0, 8, 0.0, 60, 0.0, 1, 0, 0, 1), (60, 0.0, 90, 0.0, 14, 0.0, 1, 0, 0, 1), (1, 0.0, 60, 0.0, 9, 0.0, 1, 0, 0, 1),
     (2, 0.0, 1, 0.0, 1, 0.0, 1, 0, 0, 1), (14, 0.2, 70, 0.0, 3, 0.0, 1, 0, 0, 1), (1, 1.0, 40, 0.0, 60, 0.0, 1, 0, 0, 1),
+    (3, 0.0, 2, 1.0, 60, 0.0, 1, 0, 1, 1), (5, 0.0, 1, 1.0, 30, 0.0, 1, 0, 1, 1), (18, 0.0, 60, 0.0, 2, 1.0, 1, 0, 0, 1), (30, 0.0, 50, 0.0, 3, 1.0, 1, 0, 0, 1), (6, 0.0, 80, 0.0, 1, 1.0, 1, 0, 0, 1),
+    (9, 0.0, 40, 0.0, 4, 1.0, 1, 0, 0, 1), (3, 0.0, 20, 0.0, 2, 1.0, 1, 0, 0, 1), (18, 0.0, 60, 0.0, 2, 1.0, 0, 0, 0, 1),
+    (30, 0.0, 45, 0.0, 1, 1.0, 0, 0, 0, 1), (14, 0.0, 90, 0.0, 4, 1.0, 0, 0, 0, 1), (24, 0.0, 30, 0.1, 3, 1.0, 0, 0, 0, 1),
     (5, 1.0, 60, 0.0, 80, 0.0, 1, 0, 0, 1), (3, 0.7, 10, 0.0, 0, 0.0, 1, 0, 0, 1), (500, 0.02, 0, 0.0, 9, 0.0, 1, 0, 0, 1),
     (30, 0.0, 6, 1.0, 9, 0.0, 1, 0, 0, 1), (22, 0.5, 30, 0.1, 40, 0.0, 1, 0, 0, 1), (7, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1),
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (2, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (3, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0, 0),
@@ -92,14 +106,30 @@ def train(spark: SparkSession, labelled: list[tuple] = LABELLED) -> tuple:
     return train_trees(table, "features", "label", trees=1, depth=DEPTH)[0]
 
 
-def _is_aside(attributes: str) -> int:
-    """0: no, 1: unless an article opens inside, 2: whatever opens inside."""
+def _aside_words(name: str) -> set[str]:
+    """Words of one class name, id or role that mark what is no main text."""
+    words = [w for w in SPLIT_WORDS.split(CAMEL.sub(" ", name).lower()) if w]
+    if not words or words[0] in LAYOUT:
+        return set()
+    found = ASIDE_WORDS.intersection([*words, *SPLIT_WORDS.split(name.lower())])
+    for word in found & UNSURE_WORDS:
+        if word in words and not PARTS.issuperset(words[: words.index(word)]):
+            found = found - {word}
+    return found
+
+
+def _is_aside(attributes: str, inside: bool = False) -> int:
+    """0: no, 1: unless an article opens inside, 2: whatever opens inside. A header ``inside`` an
+    article belongs to it."""
+    found = set()
     for _, a, b, c in ATTRIBUTE.findall(attributes):
-        value = a or b or c
-        words = SPLIT_WORDS.split(value.lower()) + SPLIT_WORDS.split(CAMEL.sub(" ", value).lower())
-        if not ASIDE_WORDS.isdisjoint(words):
-            return 1 if KEPT_ASIDE.isdisjoint(words) else 2
-    return 0
+        for name in (a or b or c).split():
+            found |= _aside_words(name)
+    if inside:
+        found.discard("header")
+    if not found:
+        return 0
+    return 1 if KEPT_ASIDE.isdisjoint(found) else 2
 
 
 def blocks(html: str) -> list[tuple]:
@@ -166,7 +196,7 @@ def blocks(html: str) -> list[tuple]:
         else:
             off = 0
         if m[4] and off < 2 and not main and name not in ("html", "body"):
-            off = max(off, _is_aside(m[4]))
+            off = max(off, _is_aside(m[4], inside > 0))
         before = weak if main else 0
         stack.append((name, int(main), int(off == 2), int(off == 1), int(name in HEADING), before))
         inside, aside, heading = inside + main, aside + (off == 2), heading + (name in HEADING)

@@ -59,3 +59,28 @@ def test_extract_table(spark, tree):
         [f"Row(page_id=1, url='u', text={TEXT!r})", "Row(page_id=1, url='u', text='')", "Row(page_id=None, url=None, text='')"]
     )
     assert maintext.extract(spark.createDataFrame([], "page_id long, url string, html string"), tree).count() == 0
+
+
+WORDS = " ".join(f"word{i}" for i in range(60))
+
+
+def site(body: str) -> str:
+    menu = "<nav><a href=/>Home</a> <a href=/a>News</a></nav>"
+    return f"<html><body>{menu}{body}<footer><a href=/i>Imprint</a></footer></body></html>"
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"<article><p>{WORDS}</p><p>A short last line.</p></article><p><a href=/x>More</a></p>", f"{WORDS} A short last line."),
+        (f"<article><header class=\"entry-header\"><h1>Title of it</h1></header><p>{WORDS}</p></article>", f"Title of it {WORDS}"),
+        (f"<div class=\"no-sidebar\"><p>{WORDS}</p></div>", WORDS),
+        (f"<article><p class=\"market-share\">{WORDS}</p></article>", WORDS),
+        (f"<article><p>{WORDS}</p><figure><img src=a><figcaption>What it shows</figcaption></figure><p>{WORDS}</p></article>", f"{WORDS} What it shows {WORDS}"),
+        (f"<article><p>{WORDS} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p></article>", f"{WORDS} x=2 then"),
+        (f"<article><p>{WORDS}</p><div class=\"post-share\">Share it</div><div id=siteSearch>Find</div></article>", WORDS),
+        (f"<article><p>{WORDS}</p></article><div class=\"comments-header\"><p>{WORDS}</p></div>", WORDS),
+    ],
+)
+def test_what_belongs_to_an_article(tree, body, text):
+    assert maintext.main_text(site(body), tree) == text
