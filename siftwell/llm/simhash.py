@@ -20,9 +20,10 @@ pair at 0.8 shares no key with probability (1 - 0.8 ** 6) ** 32 < 1e-4, whatever
 edit. One bit per minimum is the entry's sketch; pairs whose sketches differ by four standard
 deviations more than expected are left alone, all others are decided by their whole sets of shingles.
 This goes in rounds: every entry of a key names its first entries of other components (one in the
-first round, twice as many in each that follows), the named pairs are compared and components
-joined, and keys that named a pair are walked again, without the pairs that were refuted. The
-rounds end when no key names a pair, so no pair that met is left out.
+first rounds, ``QUOTA_GROWS`` times as many in each that follows), the named pairs are compared and
+components joined, and keys that named a pair are walked again, without the pairs that were refuted.
+The rounds end when no key names a pair, so no pair that met is left out. The first two rounds look
+at all keys, the rest only at the rows and texts that these left undecided.
 
 Cases: a text of fewer words than a shingle is one shingle; no words (null, empty, white space)
 give fingerprint zero, which links like any other. A row with a null id gets the component of its
@@ -33,12 +34,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.llm.batches import hand_back
@@ -53,8 +55,12 @@ SIMILARITY = 0.8
 SIMILAR_SHINGLE = 5
 BANDS = 32
 BAND_ROWS = 6
-# The first round looks at so many keys of a text, the second at those up to the next number.
-KEYS_AT_FIRST = (4, 12)
+# The first round looks at so many keys of a text, the second at the others.
+KEYS_AT_FIRST = 4
+# Later rounds let an entry name so many times the others that the round before did.
+QUOTA_GROWS = 4
+# Links that one task joins.
+EDGES_AT_ONCE = 1 << 19
 # Rows of 24 bytes that a join sends to every executor.
 SENT_TO_ALL = 500_000
 # Shingles whose bits are counted at once, and node pairs that are walked at once.
@@ -436,6 +442,32 @@ def _compared(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return both.mapInArrow(run, "a long, b long, same boolean")
 
 
+def _joined_links(edges: DataFrame) -> DataFrame:
+    """``components`` of edges, after those of each part were replaced by a spanning star per group in it.
+
+    Parts hold ``EDGES_AT_ONCE`` edges, dealt in turn, so no node's edges gather in one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[column.to_numpy(zero_copy_only=False) for column in batch.columns] for batch in batches]
+        if parts:
+            a, b = (np.concatenate(side) for side in zip(*parts, strict=True))
+            nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+            label = _roots(place[: len(a)], place[len(a) :], np.arange(len(nodes)))
+            moved = np.flatnonzero(label != np.arange(len(nodes)))
+            stars = [pa.array(nodes[moved]), pa.array(nodes[label[moved]])]
+            yield pa.RecordBatch.from_arrays(stars, ["node", "component"])
+
+    parts = max(1, math.ceil(edges.count() / EDGES_AT_ONCE))
+    stars = cut_lineage(edges.repartition(parts).mapInArrow(run, "node long, component long"))
+    if parts == 1:
+        return stars
+    return components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
+
+
+def unioned(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
     """(``doc``, ``body`` hash of the text, ``component``) for every row."""
     spark = documents.sparkSession
@@ -467,47 +499,60 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
     )
     entries = cut_lineage(entries)
     far = far_for(similarity, BANDS * BAND_ROWS)
-    links = refuted = spark.createDataFrame([], "a long, b long")
-    found = spark.createDataFrame([], "node long, component long")
+
+    def texts_of(needed: DataFrame, small: bool) -> DataFrame:
+        """(``entry``, ``text``). One row of an entry is read, so copies are not sent; few needed rows leave
+        the others where they are."""
+        rows = needed.join(entries.select("entry", "row"), "entry")
+        rows = F.broadcast(rows) if small else rows
+        same_row = (F.col("row.body") == F.col("body")) & F.col("row.doc").eqNullSafe(F.col("doc"))
+        return rows.join(source, same_row).select("entry", "text").dropDuplicates(["entry"])
+
     # A few keys at first: what they bring together needs no pair under the other keys.
-    pending = [F.slice("keys", low + 1, high - low) for low, high in zip((0, *KEYS_AT_FIRST), (*KEYS_AT_FIRST, BANDS), strict=True)]
-    every, walked, quota, known = F.col("keys"), spark.createDataFrame([], "key long"), 1, False
+    pending = [F.slice("keys", 1, KEYS_AT_FIRST), F.slice("keys", KEYS_AT_FIRST + 1, BANDS)]
+    found, compared, named, quota = None, [], [], 1
+    walkable = texts = None
     while True:
         passing = bool(pending)
-        rows = entries.select("entry", "sketch", F.explode(pending.pop(0) if passing else every).alias("key"))
-        if not passing:
-            rows = rows.join(walked, "key", "left_semi")
-        if known:
+        if passing:
+            rows = entries.select("entry", "sketch", F.explode(pending.pop(0)).alias("key"))
+        else:
+            # Keys without a pair hold nothing undecided, now and later: neither do the rows and texts left behind.
+            walked = unioned(named).select("key").distinct()
+            if walkable is None:
+                walkable = entries.select("entry", "sketch", F.explode("keys").alias("key")).join(walked, "key", "left_semi")
+                walkable = rows = cut_lineage(walkable)
+                alive = cut_lineage(rows.select("entry").distinct())
+                texts = cut_lineage(texts_of(alive, alive.count() <= SENT_TO_ALL))
+            else:
+                rows = walkable.join(walked, "key", "left_semi")
+            named = []
+        if compared:
             rows = rows.join(found, F.col("entry") == F.col("node"), "left")
-            against = refuted.groupBy("a").agg(F.collect_list("b").alias("refuted"))
-            rows = rows.join(against, F.col("entry") == F.col("a"), "left")
+            gone = unioned(compared).where(~F.col("same"))
+            # Either entry of a pair may name the other.
+            gone = gone.select("a", "b").unionByName(gone.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            rows = rows.join(gone.groupBy("a").agg(F.collect_list("b").alias("refuted")), F.col("entry") == F.col("a"), "left")
             rows = rows.withColumn("component", F.coalesce("component", "entry"))
         else:
             rows = rows.withColumns({"component": F.col("entry"), "refuted": F.lit(None).cast("array<long>")})
-        pairs = cut_lineage(_named_pairs(rows, far, quota))
-        # Keys without a pair hold nothing undecided.
-        walked = pairs.select("key").distinct().unionByName(walked) if passing else pairs.select("key").distinct()
-        # What an entry names under other keys waits for the next round.
-        place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
-        asked = cut_lineage(pairs.select("a", "b").distinct().withColumn("place", place).where(F.col("place") <= quota).select("a", "b"))
-        if asked.isEmpty():
-            if passing:
-                continue
+        named.append(cut_lineage(_named_pairs(rows, far, quota)))
+        # What an entry names beyond its quota, under other keys, waits for the next round.
+        firsts = F.slice(F.array_sort(F.collect_set("b")), 1, quota)
+        asked = cut_lineage(named[-1].groupBy("a").agg(firsts.alias("b")).select("a", F.explode("b").alias("b")))
+        number = asked.count()
+        if number:
+            read = texts
+            if read is None:
+                read = texts_of(asked.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), 2 * number <= SENT_TO_ALL)
+            compared.append(cut_lineage(_compared(asked, read, shingle, similarity)))
+            new = compared[-1].where("same").select("a", "b")
+            found = _joined_links(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        elif not passing:
             break
-        needed = asked.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
-        # One row of an entry is read, so copies are not sent; few needed rows leave the others where they are.
-        needed = cut_lineage(needed.join(entries.select("entry", "row"), "entry"))
-        needed = F.broadcast(needed) if needed.count() <= SENT_TO_ALL else needed
-        same_row = (F.col("row.body") == F.col("body")) & F.col("row.doc").eqNullSafe(F.col("doc"))
-        texts = needed.join(source, same_row).select("entry", "text").dropDuplicates(["entry"])
-        compared = cut_lineage(_compared(asked, texts, shingle, similarity))
-        links = cut_lineage(links.unionByName(compared.where("same").select("a", "b")))
-        # Either entry of a pair may name the other.
-        gone = compared.where(~F.col("same"))
-        refuted = refuted.unionByName(gone.select("a", "b")).unionByName(gone.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        refuted = cut_lineage(refuted)
-        found, known = components(links), True
-        quota *= 1 if pending else 2
+        quota *= 1 if pending else QUOTA_GROWS
+    if found is None:
+        return prints.select("doc", "body", F.col("entry").alias("component"))
     return prints.join(found, prints["entry"] == found["node"], "left").select(
         "doc", "body", F.coalesce("component", "entry").alias("component")
     )
