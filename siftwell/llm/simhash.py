@@ -420,7 +420,9 @@ def _named_pairs(rows: DataFrame, far: int, quota: int) -> DataFrame:
         if kept is not None:
             yield close(kept, np.zeros(1, np.int64))
 
-    dealt = rows.select("key", "entry", "sketch", "component", "refuted").repartition("key")
+    # By a function of the key: rows that a join has already dealt by the key itself would not be dealt
+    # again, and adaptive execution may then read the join's partitions in pieces that split a key.
+    dealt = rows.select("key", "entry", "sketch", "component", "refuted").repartition(F.xxhash64("key"))
     return dealt.sortWithinPartitions("key", "entry").mapInArrow(run, "key long, a long, b long")
 
 
