@@ -18,12 +18,14 @@ within 3 bits of one.
 smallest of the shingles under ``BANDS`` x ``BAND_ROWS`` orders, ``BAND_ROWS`` of them to a key, so a
 pair at 0.8 shares no key with probability (1 - 0.8 ** 6) ** 32 < 1e-4, whatever the shape of the
 edit. One bit per minimum is the entry's sketch; pairs whose sketches differ by four standard
-deviations more than expected are left alone, all others are decided by their whole sets of shingles.
+deviations more than expected, or whose sets are too unequal in size, are left alone, all others are
+decided by their whole sets of shingles.
 This goes in rounds: every entry of a key names its first entries of other components (one in the
 first rounds, ``QUOTA_GROWS`` times as many in each that follows), the named pairs are compared and
 components joined, and keys that named a pair are walked again, without the pairs that were refuted.
 The rounds end when no key names a pair, so no pair that met is left out. The first two rounds look
-at all keys, the rest only at the rows and texts that these left undecided.
+at all keys, the rest only at the rows and texts that these left undecided, with sketches of ``WIDE``
+bits, so that texts that are alike to 0.7 do not have to be read pair by pair.
 
 Cases: a text of fewer words than a shingle is one shingle; no words (null, empty, white space)
 give fingerprint zero, which links like any other. A row with a null id gets the component of its
@@ -59,6 +61,9 @@ BAND_ROWS = 6
 KEYS_AT_FIRST = 4
 # Later rounds let an entry name so many times the others that the round before did.
 QUOTA_GROWS = 4
+# Bits of the sketches that the later rounds compare, and sets whose bits are found at once.
+WIDE = 1024
+SETS_AT_ONCE = 512
 # Links that one task joins.
 EDGES_AT_ONCE = 1 << 19
 # Rows of 24 bytes that a join sends to every executor.
@@ -323,12 +328,12 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(shingle_hashes(text, size))
 
 
-def _minima(sets: list[np.ndarray]) -> np.ndarray:
-    """(sets, BANDS x BAND_ROWS): the smallest hash of each set, none of them empty, under every order."""
+def _minima(sets: list[np.ndarray], orders: int = BANDS * BAND_ROWS) -> np.ndarray:
+    """(sets, orders): the smallest hash of each set, none of them empty, under every order."""
     hashes, sizes = _joined(sets)
     first = np.r_[0, np.cumsum(sizes)[:-1]]
     # Orders are fixed, so that all tasks and runs agree.
-    salts = mix(np.arange(1, 2 * BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1)
+    salts = mix(np.arange(1, 2 * orders + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1)
     out = [np.minimum.reduceat((hashes ^ x) * (m | np.uint64(1)), first) for x, m in salts.T]
     return np.stack(out, axis=1)
 
@@ -350,14 +355,25 @@ def signatures(texts: list[np.ndarray]) -> tuple[list[int], list[np.ndarray], li
     return whole, keys, sketch
 
 
-def _name_pairs(entry, sketch, component, refuted: list, far: int, quota: int) -> tuple[np.ndarray, np.ndarray]:
+def wide_sketches(texts: list[np.ndarray]) -> list[bytes]:
+    """One bit for the minimum of each of ``WIDE`` orders; a set without shingles has zeros."""
+    out, full = [bytes(WIDE // 8)] * len(texts), [i for i, t in enumerate(texts) if len(t)]
+    for at in range(0, len(full), SETS_AT_ONCE):
+        some = full[at : at + SETS_AT_ONCE]
+        least = mix(_minima([texts[i] for i in some], WIDE))
+        for i, bits in zip(some, np.packbits((least >> np.uint64(63)).astype(np.uint8), axis=1), strict=True):
+            out[i] = bits.tobytes()
+    return out
+
+
+def _name_pairs(entry, sketch, component, refuted: list, size, similarity: float, quota: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of entries of one key, as indices: for each entry its first ``quota`` others of another
-    component whose sketch is near, without ``refuted`` ones (entries, or None). No pair inside the
+    component that may be near, without ``refuted`` ones (entries, or None). No pair inside the
     component with most entries is looked at."""
-    number, size = np.unique(component, return_inverse=True, return_counts=True)[1:]
-    if len(size) < 2:
+    number, members = np.unique(component, return_inverse=True, return_counts=True)[1:]
+    if len(members) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    large = number == size.argmax()
+    large = number == members.argmax()
     left, others = np.arange(len(entry)), np.flatnonzero(~large)
     got = np.zeros(len(entry), np.int64)
     a, b = [], []
@@ -367,8 +383,9 @@ def _name_pairs(entry, sketch, component, refuted: list, far: int, quota: int) -
             x = left[start : start + 4096]
             near = (number[x][:, None] != number[y]) & (large[x][:, None] | (x[:, None] > y))
             i, j = np.nonzero(near)
-            close = np.bitwise_count(sketch[x[i]] ^ sketch[y[j]]).sum(axis=1, dtype=np.int64) <= far
-            i, j = x[i[close]], y[j[close]]
+            i, j = x[i], y[j]
+            close = _may_be_near(sketch, size, i, j, similarity)
+            i, j = i[close], j[close]
             known = np.array([refuted[p] is not None and entry[q] in refuted[p] for p, q in zip(i, j, strict=True)], bool)
             i, j = i[~known], j[~known]
             place = got[i] + np.arange(len(i)) - np.searchsorted(i, i)
@@ -380,21 +397,30 @@ def _name_pairs(entry, sketch, component, refuted: list, far: int, quota: int) -
     return np.concatenate(a), np.concatenate(b)
 
 
-def _named_pairs(rows: DataFrame, far: int, quota: int) -> DataFrame:
-    """(``key``, ``a``, ``b``) from (``key``, ``entry``, ``sketch``, ``component``, ``refuted``)."""
+def _may_be_near(sketch, size, i, j, similarity: float) -> np.ndarray:
+    """Whether the sizes of sets i and j allow the similarity and their sketches suggest it."""
+    near = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j])
+    at = np.flatnonzero(near)
+    differ = np.bitwise_count(sketch[i[at]] ^ sketch[j[at]]).sum(axis=1, dtype=np.int64)
+    near[at] = differ <= far_for(similarity, 64 * sketch.shape[1])
+    return near
+
+
+def _named_pairs(rows: DataFrame, similarity: float, quota: int) -> DataFrame:
+    """(``key``, ``a``, ``b``) from (``key``, ``entry``, ``sketch``, ``component``, ``refuted``, ``size``)."""
 
     def close(part: tuple, first: np.ndarray) -> pa.RecordBatch:
         """The pairs of all keys of ``part``, that begin at ``first``, as one batch."""
-        _, entry, sketch, component, refuted = part
+        _, entry, sketch, component, refuted, size = part
         ends = np.r_[first[1:], len(entry)]
         # Most keys with several entries have two; those are looked at together.
         j = first[ends - first == 2]
-        near = (component[j] != component[j + 1]) & (np.bitwise_count(sketch[j] ^ sketch[j + 1]).sum(axis=1) <= far)
+        near = (component[j] != component[j + 1]) & _may_be_near(sketch, size, j, j + 1, similarity)
         j = [x for x in j[near].tolist() if refuted[x + 1] is None or entry[x] not in refuted[x + 1]]
         a, b = [np.array(j, np.int64) + 1], [np.array(j, np.int64)]
         more = ends - first > 2
         for low, high in zip(first[more].tolist(), ends[more].tolist(), strict=True):
-            i, j = _name_pairs(*(x[low:high] for x in part[1:]), far, quota)
+            i, j = _name_pairs(*(x[low:high] for x in part[1:]), similarity, quota)
             a.append(i + low)
             b.append(j + low)
         a, b = np.concatenate(a), np.concatenate(b)
@@ -408,8 +434,8 @@ def _named_pairs(rows: DataFrame, far: int, quota: int) -> DataFrame:
             refuted = np.empty(batch.num_rows, object)
             refuted[:] = [r and frozenset(r) for r in batch.column(4).to_pylist()]
             body = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            key, entry, component = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 3))
-            part = (key, entry, body, component, refuted)
+            key, entry, component, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 3, 5))
+            part = (key, entry, body, component, refuted, size)
             if kept is not None:
                 part = tuple(np.concatenate(x) for x in zip(kept, part, strict=True))
             # The last key may go on in the next batch.
@@ -422,7 +448,7 @@ def _named_pairs(rows: DataFrame, far: int, quota: int) -> DataFrame:
 
     # By a function of the key: rows that a join has already dealt by the key itself would not be dealt
     # again, and adaptive execution may then read the join's partitions in pieces that split a key.
-    dealt = rows.select("key", "entry", "sketch", "component", "refuted").repartition(F.xxhash64("key"))
+    dealt = rows.select("key", "entry", "sketch", "component", "refuted", "size").repartition(F.xxhash64("key"))
     return dealt.sortWithinPartitions("key", "entry").mapInArrow(run, "key long, a long, b long")
 
 
@@ -490,17 +516,23 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
                         pa.array(np.array(whole, np.uint64).view(np.int64)),
                         pa.array(keys, pa.list_(pa.int64())),
                         pa.array(sketch, pa.binary()),
+                        pa.array([len(s) for s in group], pa.int64()),
                     ],
-                    ["doc", "body", "entry", "keys", "sketch"],
+                    ["doc", "body", "entry", "keys", "sketch", "size"],
                 )
         hand_back()
 
-    prints = cut_lineage(source.mapInArrow(run, "doc long, body long, entry long, keys array<long>, sketch binary"))
-    entries = prints.groupBy("entry").agg(
-        F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min(F.struct("body", "doc")).alias("row")
-    )
-    entries = cut_lineage(entries)
-    far = far_for(similarity, BANDS * BAND_ROWS)
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = _batched(batch.column(1), lambda t: shingle_set(t, shingle))
+            sketch = [s for group in groups for s in wide_sketches(group)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sketch, pa.binary())], ["entry", "text", "sketch"])
+        hand_back()
+
+    kinds = "doc long, body long, entry long, keys array<long>, sketch binary, size long"
+    prints = cut_lineage(source.mapInArrow(run, kinds))
+    firsts = [F.first(name).alias(name) for name in ("keys", "sketch", "size")]
+    entries = cut_lineage(prints.groupBy("entry").agg(*firsts, F.min(F.struct("body", "doc")).alias("row")))
 
     def texts_of(needed: DataFrame, small: bool) -> DataFrame:
         """(``entry``, ``text``). One row of an entry is read, so copies are not sent; few needed rows leave
@@ -517,15 +549,16 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
     while True:
         passing = bool(pending)
         if passing:
-            rows = entries.select("entry", "sketch", F.explode(pending.pop(0)).alias("key"))
+            rows = entries.select("entry", "sketch", "size", F.explode(pending.pop(0)).alias("key"))
         else:
             # Keys without a pair hold nothing undecided, now and later: neither do the rows and texts left behind.
             walked = unioned(named).select("key").distinct()
             if walkable is None:
-                walkable = entries.select("entry", "sketch", F.explode("keys").alias("key")).join(walked, "key", "left_semi")
-                walkable = rows = cut_lineage(walkable)
-                alive = cut_lineage(rows.select("entry").distinct())
-                texts = cut_lineage(texts_of(alive, alive.count() <= SENT_TO_ALL))
+                held = cut_lineage(entries.select("entry", "size", F.explode("keys").alias("key")).join(walked, "key", "left_semi"))
+                alive = cut_lineage(held.select("entry").distinct())
+                texts = texts_of(alive, alive.count() <= SENT_TO_ALL).mapInArrow(widen, "entry long, text string, sketch binary")
+                texts = cut_lineage(texts)
+                walkable = rows = cut_lineage(held.join(texts.select("entry", "sketch"), "entry"))
             else:
                 rows = walkable.join(walked, "key", "left_semi")
             named = []
@@ -538,7 +571,7 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
             rows = rows.withColumn("component", F.coalesce("component", "entry"))
         else:
             rows = rows.withColumns({"component": F.col("entry"), "refuted": F.lit(None).cast("array<long>")})
-        named.append(cut_lineage(_named_pairs(rows, far, quota)))
+        named.append(cut_lineage(_named_pairs(rows, similarity, quota)))
         # What an entry names beyond its quota, under other keys, waits for the next round.
         firsts = F.slice(F.array_sort(F.collect_set("b")), 1, quota)
         asked = cut_lineage(named[-1].groupBy("a").agg(firsts.alias("b")).select("a", F.explode("b").alias("b")))

@@ -144,3 +144,45 @@ def test_components(spark):
     label = smallest_reachable(len(nodes), lambda i, j: frozenset((nodes[i], nodes[j])) in pairs)
     assert {x: got.get(x, x) for x in nodes} == {x: nodes[label[place[x]]] for x in nodes}
     assert components.components(frame.limit(0)).count() == 0
+
+
+def test_no_key_is_split_after_a_join_on_it(spark):
+    rows = spark.range(40000).select(
+        (F.col("id") % 20000).alias("key"),
+        F.col("id").alias("entry"),
+        F.unhex(F.lit("00" * 24)).alias("sketch"),
+        F.lit(10).cast("long").alias("size"),
+    )
+    walked = spark.range(20000).select(F.col("id").alias("key")).distinct()
+    joined = rows.repartition(8).join(walked, "key", "left_semi")
+    joined = joined.withColumns({"component": F.col("entry"), "refuted": F.lit(None).cast("array<long>")})
+    pairs = simhash._named_pairs(joined, 0.8, 1)
+    assert "xxhash64(key" in pairs._jdf.queryExecution().toString()
+    assert pairs.where("a - b = 20000 and a % 20000 = key").distinct().count() == 20000
+
+
+def test_sizes_and_wide_sketches_leave_near_pairs_alone(spark):
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
+        # 450 of 550 hashes shared: 0.82; all of the smaller set: 0.8.
+        sets += [base, np.r_[base[50:], rng.integers(0, 1 << 63, 50, dtype=np.uint64)], base[:400]]
+    body = np.frombuffer(b"".join(simhash.wide_sketches(sets)), np.uint64).reshape(len(sets), -1)
+    size = np.array([len(s) for s in sets])
+    first = np.arange(0, len(sets), 3)
+    assert simhash._may_be_near(body, size, first, first + 1, 0.8).all()
+    assert simhash._may_be_near(body, size, first, first + 2, 0.8).all()
+    assert not simhash._may_be_near(body, size, first, np.roll(first, 3), 0.8).any()
+    assert simhash.wide_sketches([np.zeros(0, np.uint64)]) == [bytes(simhash.WIDE // 8)]
+
+
+def test_links_joined_in_parts(spark, monkeypatch):
+    rng = random.Random(6)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    whole = dict(map(tuple, simhash._joined_links(frame).collect()))
+    monkeypatch.setattr(simhash, "EDGES_AT_ONCE", 30)
+    assert dict(map(tuple, simhash._joined_links(frame).collect())) == whole
+    assert whole == dict(map(tuple, components.components(frame).collect()))
+    assert simhash._joined_links(frame.limit(0)).count() == 0
