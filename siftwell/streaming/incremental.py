@@ -52,6 +52,15 @@ STATE_STORE = {
 }
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions of a stream's state: one per core, and no more than the session's shuffles have.
+
+    Every batch opens and commits each of them, however few rows it brings, so more than can run
+    side by side only add to the time of a batch. A started checkpoint keeps the number it has.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def stream_first_seen(stream: DataFrame, target: str, checkpoint: str, moment: str = "ts") -> StreamingQuery:
     """First-seen dates of a stream's urls, kept at ``target``; read them with :func:`first_seen_table`.
 
@@ -72,19 +81,21 @@ def stream_first_seen(stream: DataFrame, target: str, checkpoint: str, moment: s
         log.append(batch.select("url", F.to_date("first").alias("first_seen")), f"{run}-{batch_id}")
         log.compact_if_due()
 
-    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
-    for key, value in STATE_STORE.items():
+    # A query keeps the settings it was started under; merges of the table use the caller's.
+    settings = {**STATE_STORE, "spark.sql.shuffle.partitions": str(state_partitions(spark))}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         writer = first.writeStream.foreachBatch(handle).outputMode("update").option("checkpointLocation", checkpoint)
         query = writer.trigger(availableNow=True).start()
-        query.awaitTermination()
     finally:
         for key, value in before.items():
             if value is None:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+    query.awaitTermination()
     return query
 
 

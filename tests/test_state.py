@@ -188,6 +188,21 @@ def test_a_batch_reads_its_own_urls_only(spark, tmp_path):
     assert "rocksdbBytesCopied" in state["customMetrics"]
 
 
+def test_state_has_no_more_partitions_than_cores(spark, tmp_path):
+    """Each is committed by every batch; the session's own setting stays as it was."""
+    key, landing = "spark.sql.shuffle.partitions", str(tmp_path / "in")
+    land(spark, landing, [(f"u{i}", datetime(2024, 1, 2)) for i in range(40)])
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    try:
+        query = run_stream(spark, landing, str(tmp_path / "state"), str(tmp_path / "progress"))
+        assert spark.conf.get(key) == "64"
+    finally:
+        spark.conf.set(key, before)
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == spark.sparkContext.defaultParallelism
+    assert incremental.first_seen_table(spark, str(tmp_path / "state")).count() == 40
+
+
 def test_streamed_state_is_merged_and_survives_a_new_checkpoint(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(statelog, "MOST_DELTAS", 1)
     landing, target = str(tmp_path / "in"), str(tmp_path / "state")
