@@ -41,3 +41,24 @@ def test_query_agrees_with_sql(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_a_query_starts_its_shuffles_finer_than_a_small_session(spark):
+    """Adaptive execution cannot split the partitions that the session's few would make too large."""
+    from siftwell.runtime import FINEST, INITIAL_PARTITIONS
+
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.unset(INITIAL_PARTITIONS)
+    try:
+        df = entry.queries()["observed_counts"](spark, SF)
+        assert spark.conf.get(INITIAL_PARTITIONS) == str(FINEST)
+        plan = df.groupBy(*df.columns[:1]).count()._jdf.queryExecution().executedPlan().toString()
+        assert f", {FINEST})" in plan
+        spark.conf.set(INITIAL_PARTITIONS, "7")
+        entry.queries()["observed_counts"](spark, SF)
+        assert spark.conf.get(INITIAL_PARTITIONS) == "7"
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
