@@ -170,3 +170,34 @@ def test_money(one):
     assert one(money.estimate_cost(F.lit(2_000_000), F.lit(1_000_000), 0.15, 0.6)) == pytest.approx(0.9)
     assert one(money.ratio(F.lit(1), F.lit(0))) == 0
     assert one(money.per_thousand(F.lit(0.5), F.lit(0))) == 0
+
+
+@pytest.mark.parametrize(
+    "base, href, want",
+    [
+        ("https://a.example.com/open/Careers", "../jobs/job-1/", "https://a.example.com/jobs/job-1/"),
+        ("https://a.example.com/x/y/z", "../v1.2/b", "https://a.example.com/x/v1.2/b"),
+        ("https://a.example.com/", "../b", "https://a.example.com/b"),
+        ("https://a.example.com/x/", "../", "https://a.example.com/"),
+        ("https://a.example.com:8080/x/y", "../b", "https://a.example.com:8080/b"),
+    ],
+)
+def test_one_folder_up_is_resolved_at_once(one, base, href, want):
+    """The text needs no walk over its dot segments any more."""
+    assert one(urls.resolve(F.lit(href), urls.url_parts(F.lit(base)))) == want
+
+
+@pytest.mark.parametrize(
+    "url",
+    [
+        "https://a.example.com", "https://a.example.com/", "https://a.example.com/x//y/", "https://A.example.com/X", "http://a.example.com/x?q=1#f",
+        "https://a.example.com:443/x", "https://a.example.com:8/x", "https://a.example.com/x/../y", "https://a.example.com/.well", "https://a.example.com/x y",
+        "https://a.example.com/x\n", "HTTPS://a.example.com/x", "mailto:a@b", "no url", "", None, "https://a.example.com/x?", "https://a.example.com/?q",
+    ],
+)
+def test_settled_urls_are_keyed_as_parsed_ones(one, url):
+    from siftwell.operators.pages import page_key
+
+    parsed = F.coalesce(F.regexp_replace(urls.url_text(urls._messy_parts(F.col("x"))), r"/+\z", ""), F.lit("none"))
+    assert one(page_key(F.col("x"), "none"), url) == one(parsed, url)
+    assert one(urls.url_text(urls.url_parts(F.col("x"))), url) == one(urls.url_text(urls._messy_parts(F.col("x"))), url)
