@@ -58,8 +58,9 @@ def write_snapshots(scored: DataFrame, root: str, day: date) -> None:
     number, content = versions.latest()
     mark = uuid.uuid4().hex
     latest, dated = f"latest/version={mark}", f"jobs/run_date={day.isoformat()}/version={mark}"
-    scored.write.json(f"{root}/{latest}")
-    scored.where(F.col("classification.eligible")).write.json(f"{root}/{dated}")
+    # Postings repeat their texts, so that a packed file is a small part of a plain one.
+    scored.write.json(f"{root}/{latest}", compression="gzip")
+    scored.where(F.col("classification.eligible")).write.json(f"{root}/{dated}", compression="gzip")
     days = {**content.get("days", {}), day.isoformat(): dated}
     versions.publish(number + 1, {"latest": latest, "days": days})
     # Readers of the version before may still be at work; what lies behind it goes.

@@ -165,6 +165,16 @@ def test_a_snapshot_that_dies_leaves_the_old_one(spark, tmp_path):
     assert latest() == ["f"] and days() == [("2024-05-01", "a"), ("2024-05-02", "e"), ("2024-05-03", "f")]
 
 
+def test_snapshots_are_packed(spark, tmp_path):
+    """What is written twice, for the latest and for its day, is a small part of the plain text."""
+    text = spark.range(2000).selectExpr("concat('https://jobs.example.com/', id) as url", "named_struct('eligible', true) as classification")
+    sinks.write_snapshots(text, str(tmp_path), date(2024, 5, 1))
+    files = [f for f in tmp_path.rglob("part-*")]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert sinks.read_latest(spark, str(tmp_path), "url string").distinct().count() == 2000
+    assert sinks.read_days(spark, str(tmp_path), "url string").count() == 2000
+
+
 def land(spark, folder, rows):
     spark.createDataFrame(rows, "url string, ts timestamp").coalesce(1).write.mode("append").json(folder)
 
