@@ -87,7 +87,7 @@ def read_days(spark: SparkSession, root: str, schema: StructType | str) -> DataF
     dated = StructType(spark.createDataFrame([], schema).schema.fields).add("run_date", "date")
     if not content:
         return spark.createDataFrame([], dated)
-    whole = StructType(dated.fields).add("version", "string")
+    whole = StructType([*dated.fields]).add("version", "string")
     paths = [f"{root}/{name}" for name in content["days"].values()]
     return spark.read.schema(whole).option("basePath", f"{root}/jobs").json(paths).drop("version")
 

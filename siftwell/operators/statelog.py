@@ -141,5 +141,6 @@ def history_log(spark: SparkSession, root: str) -> StateLog:
 
 def ledger_log(spark: SparkSession, root: str) -> StateLog:
     """Application records, the last write (``ord``) per url. Losing one would repeat an application."""
-    schema = StructType(LEDGER.fields).add("ord", LongType())
+    # A copy of the list: adding to a shared one would change the schema for everyone.
+    schema = StructType([*LEDGER.fields]).add("ord", LongType())
     return StateLog(spark, root, schema, ["url"], lambda rows: latest_per_key(rows, ["url"], "ord"))

@@ -165,6 +165,15 @@ def test_a_snapshot_that_dies_leaves_the_old_one(spark, tmp_path):
     assert latest() == ["f"] and days() == [("2024-05-01", "a"), ("2024-05-02", "e"), ("2024-05-03", "f")]
 
 
+def test_opening_a_ledger_leaves_its_schema_alone(spark, tmp_path):
+    from siftwell.schema import LEDGER
+
+    names = list(LEDGER.names)
+    for _ in range(2):
+        log = statelog.ledger_log(spark, str(tmp_path))
+    assert [f.name for f in LEDGER.fields] == names and log.schema.names == [*names, "ord"]
+
+
 def test_snapshots_are_packed(spark, tmp_path):
     """What is written twice, for the latest and for its day, is a small part of the plain text."""
     text = spark.range(2000).selectExpr("concat('https://jobs.example.com/', id) as url", "named_struct('eligible', true) as classification")
