@@ -282,7 +282,8 @@ def src_remoteok(spark, sf_dir):
     )
 
     def wrap(listed: Column) -> Column:
-        return F.replace(F.concat(F.lit('[{"legal":"notice"},'), F.substring(F.to_json(listed), 2, 1 << 30)), F.lit(",]"), F.lit("]"))
+        # A document has a line at least, so a comma follows the notice.
+        return F.regexp_replace(F.to_json(listed), r"\A\[", '[{"legal":"notice"},')
 
     return shown(feeds.from_remoteok(one_document_per_order(posts(spark, sf_dir), "remoteok", item, wrap)))
 

@@ -50,15 +50,16 @@ def _mail_date(c: Column) -> Column:
 
 def text_to_timestamp(c: Column) -> Column:
     """Text rule: plain numbers are epochs, then ISO, then mail dates; the rest is NULL."""
+    return let(trim_space(c), trimmed_to_timestamp)
 
-    def read(t: Column) -> Column:
-        iso = F.when(t.rlike(r"^\d{4}(?:-\d{1,2}){1,2}(?:[T ]|$)"), t.try_cast("timestamp"))
-        number = number_to_timestamp(t.try_cast("double"))
-        plain = t.rlike(r"^\+?(?:\d+\.?\d*|\.\d+)(?:[eE]\+?\d+)?$")
-        # A text that is no date of one kind may be one of the next.
-        return F.coalesce(iso, F.when(plain, number), _mail_date(t))
 
-    return let(trim_space(c), read)
+def trimmed_to_timestamp(t: Column) -> Column:
+    """The text rule for a column of trimmed text."""
+    iso = F.when(t.rlike(r"^\d{4}(?:-\d{1,2}){1,2}(?:[T ]|$)"), t.try_cast("timestamp"))
+    number = number_to_timestamp(t.try_cast("double"))
+    plain = t.rlike(r"^\+?(?:\d+\.?\d*|\.\d+)(?:[eE]\+?\d+)?$")
+    # A text that is no date of one kind may be one of the next.
+    return F.coalesce(iso, F.when(plain, number), _mail_date(t))
 
 
 def to_iso_date(c: Column) -> Column:

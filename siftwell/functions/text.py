@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions.bind import let
@@ -30,14 +32,14 @@ NOISE_PHRASES = [
 # Legal forms dropped from company names.
 LEGAL_FORMS = r"gmbh|ltd|limited|inc|llc|b\.?v\.?|s\.?a\.?|ag|oy|ab"
 
-# HTML entities decoded, in this order.
+# HTML entities decoded, in this order, without their ampersand.
 ENTITIES = [
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&#39;|&rsquo;", "'"),
-    ("&quot;|&ldquo;|&rdquo;", '"'),
+    ("nbsp;", " "),
+    ("amp;", "&"),
+    ("lt;", "<"),
+    ("gt;", ">"),
+    ("#39;|rsquo;", "'"),
+    ("quot;|ldquo;|rdquo;", '"'),
 ]
 
 # Longest description kept, and the mark put after a cut.
@@ -66,31 +68,55 @@ def join_parts(parts: list[Column], sep: str = " / ") -> Column:
     return F.concat_ws(sep, *kept)
 
 
+# Every pattern begins with one character, which is all that is tried at most places of a text, and
+# matches only what changes.
+def _untag(t: Column) -> Column:
+    out = F.regexp_replace(t, rf"<(?i:br{SPACE}*/?>|/(?:p|div|li|h[1-6])>)", "\n")
+    return F.when(F.contains(t, F.lit("<")), F.regexp_replace(out, r"<[^>]*>", " ")).otherwise(t)
+
+
+def _decode(t: Column) -> Column:
+    out = t
+    for entity, char in ENTITIES:
+        out = F.regexp_replace(out, f"&(?i:{entity})", char)
+    return F.when(F.contains(t, F.lit("&")), out).otherwise(t)
+
+
+def _blanks(t: Column) -> Column:
+    return F.regexp_replace(t, r"[ \t](?:(?<=\t)[ \t]*|[ \t]+)", " ")
+
+
+def _squeeze(t: Column) -> Column:
+    out = F.regexp_replace(F.regexp_replace(t, r"[ \n](?:(?<=\n) +|(?<= ) *\n *)", "\n"), r"\n{3,}", "\n\n")
+    return trim_space(F.when(F.contains(t, F.lit("\n")), out).otherwise(t))
+
+
+# Markup to plain text. Tags go before entities, so escaped markup stays as text. Each group of
+# passes runs only over text that holds the character it is about.
+_PLAIN_STEPS = [_untag, _decode, _blanks, _squeeze]
+
+
 def strip_html(c: Column) -> Column:
-    """Markup to plain text. Tags go before entities, so escaped markup stays as text.
+    """Markup to plain text."""
+    return reduce(let, _PLAIN_STEPS, c)
 
-    Each group of passes runs only over text that holds the character it is about.
-    """
 
-    def untag(t: Column) -> Column:
-        out = F.regexp_replace(t, rf"(?i)<br{SPACE}*/?>|</(?:p|div|li|h[1-6])>", "\n")
-        return F.when(F.contains(t, F.lit("<")), F.regexp_replace(out, r"<[^>]*>", " ")).otherwise(t)
+def with_plain_text(df: DataFrame, *names: str, limit: int | None = None) -> DataFrame:
+    """Columns with markup as plain text, cut after ``limit`` characters if one is given.
 
-    def decode(t: Column) -> Column:
-        out = t
-        for entity, char in ENTITIES:
-            out = F.regexp_replace(out, f"(?i){entity}", char)
-        return F.when(F.contains(t, F.lit("&")), out).otherwise(t)
+    The same steps as :func:`strip_html`, one projection each: ``let`` is interpreted for every
+    row, projections are compiled.
+    """
+    steps = [*_PLAIN_STEPS, *([] if limit is None else [lambda t: _cut(t, limit)])]
+    return reduce(lambda d, step: d.withColumns({n: step(F.col(n)) for n in names}), steps, df)
 
-    def squeeze(t: Column) -> Column:
-        out = F.regexp_replace(F.regexp_replace(t, r" *\n *", "\n"), r"\n{3,}", "\n\n")
-        return trim_space(F.when(F.contains(t, F.lit("\n")), out).otherwise(t))
 
-    return let(let(let(c, untag), decode), lambda t: let(F.regexp_replace(t, r"[ \t]+", " "), squeeze))
+def _cut(t: Column, limit: int) -> Column:
+    return F.when(F.length(t) > limit, F.concat(F.substring(t, 1, limit), F.lit(CUT_MARK))).otherwise(t)
 
 
 def truncate(c: Column, limit: int) -> Column:
-    return let(c, lambda t: F.when(F.length(t) > limit, F.concat(F.substring(t, 1, limit), F.lit(CUT_MARK))).otherwise(t))
+    return let(c, lambda t: _cut(t, limit))
 
 
 def pick_description(*candidates: Column) -> Column:

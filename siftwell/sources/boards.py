@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.functions.dates import text_to_timestamp
-from siftwell.functions.text import join_parts, pick_description, pick_string, trim_space
+from siftwell.functions.dates import trimmed_to_timestamp
+from siftwell.functions.text import MAX_DESCRIPTION_CHARS, join_parts, pick_string, trim_space, with_plain_text
 from siftwell.sources.payloads import (
     as_postings,
+    as_scalar,
+    as_text,
+    dates,
     document_seq,
     documents,
     explode_list,
+    is_truthy,
     moment,
     not_blank,
     remote,
-    scalar_text,
-    text,
-    truthy,
     valid,
 )
 from siftwell.operators.unnest import unnest
@@ -29,94 +30,157 @@ def _rank(source: str) -> int:
 
 
 def from_greenhouse(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
-    rows = explode_list(bronze, "greenhouse", "jobs")
+    rows = explode_list(
+        bronze,
+        "greenhouse",
+        "jobs",
+        {
+            "title": ("title", as_text),
+            "place": ("location.name", as_text),
+            "link": ("absolute_url", as_text),
+            "content": ("content", as_text),
+            **dates("updated_at", "first_published"),
+        },
+    )
     return valid(
         as_postings(
             rows,
             "greenhouse",
             _rank("greenhouse"),
             company=F.col("company"),
-            title=pick_string(text(raw, "title")),
-            location=pick_string(text(raw, "location.name")),
-            url=pick_string(text(raw, "absolute_url")),
-            posted_at=moment(raw, "updated_at", "first_published"),
-            description=pick_description(text(raw, "content")),
+            title=pick_string(F.col("title")),
+            location=pick_string(F.col("place")),
+            url=pick_string(F.col("link")),
+            posted_at=moment(),
+            description=pick_string(F.col("content")),
         )
     )
 
 
 def from_lever(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
-    rows = explode_list(bronze, "lever", None)
+    rows = explode_list(
+        bronze,
+        "lever",
+        None,
+        {
+            "title": ("text", as_text),
+            "place": ("categories.location", as_scalar),
+            "workplace": ("workplaceType", as_scalar),
+            "hosted": ("hostedUrl", as_text),
+            "apply": ("applyUrl", as_text),
+            "plain": ("descriptionPlain", as_text),
+            "html": ("description", as_text),
+            **dates("createdAt"),
+        },
+    )
     return valid(
         as_postings(
             rows,
             "lever",
             _rank("lever"),
             company=F.col("company"),
-            title=pick_string(text(raw, "text")),
-            location=join_parts([scalar_text(raw, "categories.location"), scalar_text(raw, "workplaceType")]),
-            url=pick_string(text(raw, "hostedUrl"), text(raw, "applyUrl")),
-            posted_at=moment(raw, "createdAt"),
-            description=pick_description(text(raw, "descriptionPlain"), text(raw, "description")),
+            title=pick_string(F.col("title")),
+            location=join_parts([F.col("place"), F.col("workplace")]),
+            url=pick_string(F.col("hosted"), F.col("apply")),
+            posted_at=moment(),
+            description=pick_string(F.col("plain"), F.col("html")),
         )
     )
 
 
 def from_ashby(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
-    rows = explode_list(bronze, "ashby", "jobs")
+    rows = explode_list(
+        bronze,
+        "ashby",
+        "jobs",
+        {
+            "title": ("title", as_text),
+            "place": ("location", as_scalar),
+            "is_remote": ("isRemote", is_truthy),
+            "link": ("jobUrl", as_text),
+            "apply": ("applyUrl", as_text),
+            "pay": ("compensation.compensationTierSummary", as_text),
+            "plain": ("descriptionPlain", as_text),
+            "html": ("descriptionHtml", as_text),
+            **dates("publishedAt"),
+        },
+    )
     return valid(
         as_postings(
             rows,
             "ashby",
             _rank("ashby"),
             company=F.col("company"),
-            title=pick_string(text(raw, "title")),
-            location=join_parts([scalar_text(raw, "location"), remote(raw, "isRemote")]),
-            url=pick_string(text(raw, "jobUrl"), text(raw, "applyUrl")),
-            posted_at=moment(raw, "publishedAt"),
-            salary=not_blank(text(raw, "compensation.compensationTierSummary")),
-            description=pick_description(text(raw, "descriptionPlain"), text(raw, "descriptionHtml")),
+            title=pick_string(F.col("title")),
+            location=join_parts([F.col("place"), remote("is_remote")]),
+            url=pick_string(F.col("link"), F.col("apply")),
+            posted_at=moment(),
+            salary=not_blank(F.col("pay")),
+            description=pick_string(F.col("plain"), F.col("html")),
         )
     )
 
 
 def from_workable(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
-    rows = explode_list(bronze, "workable", "jobs")
+    rows = explode_list(
+        bronze,
+        "workable",
+        "jobs",
+        {
+            "title": ("title", as_text),
+            "city": ("city", as_scalar),
+            "country": ("country", as_scalar),
+            "is_remote": ("telecommuting", is_truthy),
+            "link": ("url", as_text),
+            "short": ("shortlink", as_text),
+            "apply": ("application_url", as_text),
+            "html": ("description", as_text),
+            "needs": ("requirements", as_text),
+            **dates("published_on", "created_at"),
+        },
+    )
     return valid(
         as_postings(
             rows,
             "workable",
             _rank("workable"),
             company=F.col("company"),
-            title=pick_string(text(raw, "title")),
-            location=join_parts(
-                [scalar_text(raw, "city"), scalar_text(raw, "country"), remote(raw, "telecommuting")], ", "
-            ),
-            url=pick_string(text(raw, "url"), text(raw, "shortlink"), text(raw, "application_url")),
-            posted_at=moment(raw, "published_on", "created_at"),
-            description=pick_description(text(raw, "description"), text(raw, "requirements")),
+            title=pick_string(F.col("title")),
+            location=join_parts([F.col("city"), F.col("country"), remote("is_remote")], ", "),
+            url=pick_string(F.col("link"), F.col("short"), F.col("apply")),
+            posted_at=moment(),
+            description=pick_string(F.col("html"), F.col("needs")),
         )
     )
 
 
 def from_recruitee(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
-    rows = explode_list(bronze, "recruitee", "offers")
+    rows = explode_list(
+        bronze,
+        "recruitee",
+        "offers",
+        {
+            "title": ("title", as_text),
+            "place": ("location", as_scalar),
+            "is_remote": ("remote", is_truthy),
+            "link": ("careers_url", as_text),
+            "apply": ("careers_apply_url", as_text),
+            "html": ("description", as_text),
+            "needs": ("requirements", as_text),
+            **dates("created_at"),
+        },
+    )
     return valid(
         as_postings(
             rows,
             "recruitee",
             _rank("recruitee"),
             company=F.col("company"),
-            title=pick_string(text(raw, "title")),
-            location=join_parts([scalar_text(raw, "location"), remote(raw, "remote")]),
-            url=pick_string(text(raw, "careers_url"), text(raw, "careers_apply_url")),
-            posted_at=moment(raw, "created_at"),
-            description=pick_description(text(raw, "description"), text(raw, "requirements")),
+            title=pick_string(F.col("title")),
+            location=join_parts([F.col("place"), remote("is_remote")]),
+            url=pick_string(F.col("link"), F.col("apply")),
+            posted_at=moment(),
+            description=pick_string(F.col("html"), F.col("needs")),
         )
     )
 
@@ -137,7 +201,8 @@ def detail_texts(details: DataFrame) -> DataFrame:
         ),
         "\n",
     )
-    texts = details.select("company", "id", pick_description(joined).alias("detail"))
+    texts = details.select("company", "id", pick_string(joined).alias("detail"))
+    texts = with_plain_text(texts, "detail", limit=MAX_DESCRIPTION_CHARS)
     # A document that landed twice counts once.
     return texts.groupBy("company", "id").agg(F.max("detail").alias("detail"))
 
@@ -147,11 +212,19 @@ def from_smartrecruiters(bronze: DataFrame, details: DataFrame) -> DataFrame:
 
     (company, id) is made unique among the details, so a document landed twice doubles nothing.
     """
-    raw = F.col("raw")
-    rows = explode_list(bronze, "smartrecruiters", "content").select(
-        "*",
-        F.when(truthy(raw, "id"), scalar_text(raw, "id")).alias("id"),
-        pick_string(text(raw, "name")).alias("title"),
+    rows = explode_list(
+        bronze,
+        "smartrecruiters",
+        "content",
+        {
+            "id": ("id", lambda v: F.when(is_truthy(v), as_scalar(v))),
+            "title": ("name", lambda v: pick_string(as_text(v))),
+            "named": ("company.name", lambda v: pick_string(as_text(v))),
+            "city": ("location.city", as_scalar),
+            "country": ("location.country", as_text),
+            "is_remote": ("location.remote", is_truthy),
+            **dates("releasedDate"),
+        },
     )
     # Postings that need no detail get a key of their own: it matches nothing and spreads.
     pair = F.concat_ws("\u0001", "company", "id")
@@ -160,7 +233,7 @@ def from_smartrecruiters(bronze: DataFrame, details: DataFrame) -> DataFrame:
     rows = rows.withColumn("_key", F.when(wants, pair).otherwise(own))
     found = detail_texts(details).select(pair.alias("_key"), "detail")
     rows = rows.join(found, "_key", "left")
-    named = pick_string(text(raw, "company.name"))
+    named = F.col("named")
     return valid(
         as_postings(
             rows,
@@ -168,16 +241,10 @@ def from_smartrecruiters(bronze: DataFrame, details: DataFrame) -> DataFrame:
             _rank("smartrecruiters"),
             company=F.when(named != "", named).otherwise(F.col("company")),
             title=F.col("title"),
-            location=join_parts(
-                [
-                    scalar_text(raw, "location.city"),
-                    F.upper(text(raw, "location.country")),
-                    remote(raw, "location.remote"),
-                ],
-                ", ",
-            ),
+            location=join_parts([F.col("city"), F.upper("country"), remote("is_remote")], ", "),
             url=F.coalesce(F.concat(F.lit(SMART_URL), F.col("company"), F.lit("/"), F.col("id")), F.lit("")),
-            posted_at=moment(raw, "releasedDate"),
+            posted_at=moment(),
+            markup=(),
             description=F.coalesce("detail", F.lit("")),
         )
     )
@@ -207,7 +274,8 @@ def from_personio_xml(bronze: DataFrame) -> DataFrame:
         F.coalesce(p["jobDescriptions"]["jobDescription"], F.array().cast("array<struct<name:string,value:string>>")),
         lambda d: F.concat(F.coalesce(d["name"], blank), F.lit("\n"), F.coalesce(d["value"], blank)),
     )
-    body = pick_description(F.array_join(parts, "\n"))
+    rows = rows.select("*", pick_string(F.array_join(parts, "\n")).alias("body"), trim_space(p["createdAt"]).alias("created"))
+    rows = with_plain_text(rows, "body", limit=MAX_DESCRIPTION_CHARS)
     kind = F.when(F.coalesce(p["employmentType"], blank) != "", F.concat(F.lit("Employment type: "), p["employmentType"]))
     url = F.concat(F.lit("https://"), F.col("company"), F.lit(".jobs.personio.de/job/"), given(p["id"]))
     return valid(
@@ -219,7 +287,8 @@ def from_personio_xml(bronze: DataFrame) -> DataFrame:
             title=trim_space(F.coalesce(p["name"], blank)),
             location=F.array_join(F.filter(offices, lambda o: o != ""), ", "),
             url=F.coalesce(url, blank),
-            posted_at=text_to_timestamp(p["createdAt"]),
-            description=F.concat_ws("\n", kind, given(body)),
+            posted_at=trimmed_to_timestamp(F.col("created")),
+            markup=(),
+            description=F.concat_ws("\n", kind, given(F.col("body"))),
         )
     )

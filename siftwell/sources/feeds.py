@@ -5,28 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.functions.dates import text_to_timestamp
+from siftwell.functions.dates import trimmed_to_timestamp
 from siftwell.functions.text import (
     SPACE,
     after_first_colon,
     before_first_colon,
     join_parts,
-    pick_description,
     pick_string,
-    strip_html,
+    trim_space,
+    with_plain_text,
 )
 from siftwell.sources.payloads import (
+    TEXT_LIST,
+    Fields,
     as_postings,
+    as_scalar,
+    as_text,
+    dates,
     document_seq,
     documents,
     explode_list,
+    is_truthy,
     moment,
     not_blank,
     remote,
-    scalar_text,
-    text,
-    text_list,
-    truthy,
 )
 from siftwell.operators.unnest import unnest
 from siftwell.schema import SOURCE_ORDER
@@ -42,101 +44,185 @@ def _or_anywhere(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) != "", c).otherwise(F.lit(ANYWHERE))
 
 
-def _pay_range(raw: Column, low: str, high: str, currency: str | None = None) -> Column:
+def _pay_fields(low: str, high: str, currency: str | None = None) -> Fields:
+    """The fields that :func:`_pay_range` reads."""
+    ends = {
+        "low": (low, as_scalar), "has_low": (low, is_truthy),
+        "high": (high, as_scalar), "has_high": (high, is_truthy),
+    }
+    return {**ends, "currency": (currency, as_scalar)} if currency else ends
+
+
+def _pay_range(currency: bool = False) -> Column:
     """``low-high CUR`` when both ends are given and not zero."""
-    amount = F.concat(scalar_text(raw, low), F.lit("-"), scalar_text(raw, high))
+    low, high = F.col("low"), F.col("high")
     if currency:
-        shown = F.coalesce(scalar_text(raw, currency), F.lit(""))
-        amount = F.trim(F.concat(amount, F.lit(" "), shown))
+        amount = F.trim(F.concat(low, F.lit("-"), high, F.lit(" "), F.coalesce("currency", F.lit(""))))
     else:
-        amount = F.concat(F.lit("$"), scalar_text(raw, low), F.lit("-$"), scalar_text(raw, high))
-    return F.when(truthy(raw, low) & truthy(raw, high), amount)
+        amount = F.concat(F.lit("$"), low, F.lit("-$"), high)
+    return F.when(F.col("has_low") & F.col("has_high"), amount)
 
 
 def from_remotive(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
+    rows = explode_list(
+        bronze,
+        "remotive",
+        "jobs",
+        {
+            "employer": ("company_name", as_text),
+            "title": ("title", as_text),
+            "place": ("candidate_required_location", as_text),
+            "link": ("url", as_text),
+            "pay": ("salary", as_text),
+            "tags": ("tags", TEXT_LIST),
+            "html": ("description", as_text),
+            **dates("publication_date"),
+        },
+    )
     return as_postings(
-        explode_list(bronze, "remotive", "jobs"),
+        rows,
         "remotive",
         _rank("remotive"),
-        company=pick_string(text(raw, "company_name")),
-        title=pick_string(text(raw, "title")),
-        location=pick_string(text(raw, "candidate_required_location")),
-        url=pick_string(text(raw, "url")),
-        posted_at=moment(raw, "publication_date"),
-        salary=not_blank(text(raw, "salary")),
-        tags=text_list(raw, "tags"),
-        description=pick_description(text(raw, "description")),
+        company=pick_string(F.col("employer")),
+        title=pick_string(F.col("title")),
+        location=pick_string(F.col("place")),
+        url=pick_string(F.col("link")),
+        posted_at=moment(),
+        salary=not_blank(F.col("pay")),
+        tags=F.col("tags"),
+        description=pick_string(F.col("html")),
     )
 
 
 def from_remoteok(bronze: DataFrame) -> DataFrame:
     """The feed opens with a notice: elements without an id or a position are no postings."""
-    raw = F.col("raw")
-    rows = explode_list(bronze, "remoteok", None).where(truthy(raw, "id") & truthy(raw, "position"))
+    rows = explode_list(
+        bronze,
+        "remoteok",
+        None,
+        {
+            "has_id": ("id", is_truthy),
+            "has_position": ("position", is_truthy),
+            "position": ("position", as_text),
+            "employer": ("company", as_text),
+            "place": ("location", as_text),
+            "link": ("url", as_text),
+            "apply": ("apply_url", as_text),
+            "tags": ("tags", TEXT_LIST),
+            "html": ("description", as_text),
+            **dates("date"),
+            **_pay_fields("salary_min", "salary_max"),
+        },
+    )
     return as_postings(
-        rows,
+        rows.where(F.col("has_id") & F.col("has_position")),
         "remoteok",
         _rank("remoteok"),
-        company=pick_string(text(raw, "company")),
-        title=pick_string(text(raw, "position")),
-        location=_or_anywhere(pick_string(text(raw, "location"))),
-        url=pick_string(text(raw, "url"), text(raw, "apply_url")),
-        posted_at=moment(raw, "date"),
-        salary=_pay_range(raw, "salary_min", "salary_max"),
-        tags=text_list(raw, "tags"),
-        description=pick_description(text(raw, "description")),
+        company=pick_string(F.col("employer")),
+        title=pick_string(F.col("position")),
+        location=_or_anywhere(pick_string(F.col("place"))),
+        url=pick_string(F.col("link"), F.col("apply")),
+        posted_at=moment(),
+        salary=_pay_range(),
+        tags=F.col("tags"),
+        description=pick_string(F.col("html")),
     )
 
 
 def from_arbeitnow(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
+    rows = explode_list(
+        bronze,
+        "arbeitnow",
+        "data",
+        {
+            "employer": ("company_name", as_text),
+            "title": ("title", as_text),
+            "place": ("location", as_scalar),
+            "is_remote": ("remote", is_truthy),
+            "link": ("url", as_text),
+            "tags": ("tags", TEXT_LIST),
+            "html": ("description", as_text),
+            **dates("created_at"),
+        },
+    )
     return as_postings(
-        explode_list(bronze, "arbeitnow", "data"),
+        rows,
         "arbeitnow",
         _rank("arbeitnow"),
-        company=pick_string(text(raw, "company_name")),
-        title=pick_string(text(raw, "title")),
-        location=join_parts([scalar_text(raw, "location"), remote(raw, "remote")]),
-        url=pick_string(text(raw, "url")),
-        posted_at=moment(raw, "created_at"),
-        tags=text_list(raw, "tags"),
-        description=pick_description(text(raw, "description")),
+        company=pick_string(F.col("employer")),
+        title=pick_string(F.col("title")),
+        location=join_parts([F.col("place"), remote("is_remote")]),
+        url=pick_string(F.col("link")),
+        posted_at=moment(),
+        tags=F.col("tags"),
+        description=pick_string(F.col("html")),
     )
 
 
 def from_himalayas(bronze: DataFrame) -> DataFrame:
-    raw = F.col("raw")
+    rows = explode_list(
+        bronze,
+        "himalayas",
+        "jobs",
+        {
+            "employer": ("companyName", as_text),
+            "title": ("title", as_text),
+            "places": ("locationRestrictions", TEXT_LIST),
+            "link": ("applicationLink", as_text),
+            "guid": ("guid", as_text),
+            "tags": ("categories", TEXT_LIST),
+            "html": ("description", as_text),
+            "excerpt": ("excerpt", as_text),
+            **dates("pubDate"),
+            **_pay_fields("minSalary", "maxSalary", "salaryCurrency"),
+        },
+    )
     return as_postings(
-        explode_list(bronze, "himalayas", "jobs"),
+        rows,
         "himalayas",
         _rank("himalayas"),
-        company=pick_string(text(raw, "companyName")),
-        title=pick_string(text(raw, "title")),
-        location=_or_anywhere(F.array_join(text_list(raw, "locationRestrictions"), ", ", "")),
-        url=pick_string(text(raw, "applicationLink"), text(raw, "guid")),
-        posted_at=moment(raw, "pubDate"),
-        salary=_pay_range(raw, "minSalary", "maxSalary", "salaryCurrency"),
-        tags=text_list(raw, "categories"),
-        description=pick_description(text(raw, "description"), text(raw, "excerpt")),
+        company=pick_string(F.col("employer")),
+        title=pick_string(F.col("title")),
+        location=_or_anywhere(F.array_join("places", ", ", "")),
+        url=pick_string(F.col("link"), F.col("guid")),
+        posted_at=moment(),
+        salary=_pay_range(currency=True),
+        tags=F.col("tags"),
+        description=pick_string(F.col("html"), F.col("excerpt")),
     )
 
 
 def from_jobicy(bronze: DataFrame) -> DataFrame:
     """Titles arrive as HTML."""
-    raw = F.col("raw")
+    rows = explode_list(
+        bronze,
+        "jobicy",
+        "jobs",
+        {
+            "employer": ("companyName", as_text),
+            "title": ("jobTitle", as_text),
+            "place": ("jobGeo", as_text),
+            "link": ("url", as_text),
+            "tags": ("jobIndustry", TEXT_LIST),
+            "html": ("jobDescription", as_text),
+            "excerpt": ("jobExcerpt", as_text),
+            **dates("pubDate"),
+            **_pay_fields("annualSalaryMin", "annualSalaryMax", "salaryCurrency"),
+        },
+    )
     return as_postings(
-        explode_list(bronze, "jobicy", "jobs"),
+        rows,
         "jobicy",
         _rank("jobicy"),
-        company=pick_string(text(raw, "companyName")),
-        title=pick_description(text(raw, "jobTitle")),
-        location=pick_string(text(raw, "jobGeo")),
-        url=pick_string(text(raw, "url")),
-        posted_at=moment(raw, "pubDate"),
-        salary=_pay_range(raw, "annualSalaryMin", "annualSalaryMax", "salaryCurrency"),
-        tags=text_list(raw, "jobIndustry"),
-        description=pick_description(text(raw, "jobDescription"), text(raw, "jobExcerpt")),
+        markup=("title", "description"),
+        company=pick_string(F.col("employer")),
+        title=pick_string(F.col("title")),
+        location=pick_string(F.col("place")),
+        url=pick_string(F.col("link")),
+        posted_at=moment(),
+        salary=_pay_range(currency=True),
+        tags=F.col("tags"),
+        description=pick_string(F.col("html"), F.col("excerpt")),
     )
 
 
@@ -148,10 +234,16 @@ def from_rss(bronze: DataFrame) -> DataFrame:
     parsed = F.from_xml("payload", RSS, {"ignoreSurroundingSpaces": "true"})
     feeds = documents(bronze, "weworkremotely").where(F.col("payload").contains("<rss"))
     rows = unnest(feeds, parsed["channel"]["item"], "_pos", "item")
-    rows = rows.select(document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "item")
     item, blank = F.col("item"), F.lit("")
-    title = F.coalesce(item["title"], blank)
-    region = strip_html(F.coalesce(item["region"], blank))
+    rows = rows.select(
+        document_seq(F.col("seq"), F.col("_pos")).alias("seq"),
+        "item",
+        F.coalesce(item["title"], blank).alias("title"),
+        F.coalesce(item["region"], blank).alias("region"),
+        trim_space(item["pubDate"]).alias("published"),
+    )
+    rows = with_plain_text(rows, "region")
+    title, region = F.col("title"), F.col("region")
     return as_postings(
         rows,
         "weworkremotely",
@@ -160,8 +252,8 @@ def from_rss(bronze: DataFrame) -> DataFrame:
         title=after_first_colon(title),
         location=F.when(region != "", region).otherwise(F.lit("Remote")),
         url=F.coalesce(item["link"], blank),
-        posted_at=text_to_timestamp(item["pubDate"]),
-        description=pick_description(item["description"]),
+        posted_at=trimmed_to_timestamp(F.col("published")),
+        description=pick_string(item["description"]),
     )
 
 
@@ -190,14 +282,15 @@ def from_linkedin_cards(bronze: DataFrame) -> DataFrame:
     rows = unnest(documents(bronze, "linkedin"), cards, "_pos", "card")
     # Zipping pads the shorter lists; a company or place without a link is no card.
     rows = rows.where(F.col("card.href").isNotNull())
-    rows = rows.select(document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "card")
-    card = F.col("card")
+    rows = rows.select(document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "card.*")
+    rows = with_plain_text(rows, "company", "name", "place")
     return as_postings(
         rows,
         "linkedin",
         _rank("linkedin"),
-        company=F.coalesce(strip_html(card["company"]), F.lit("")),
-        title=strip_html(card["name"]),
-        location=F.coalesce(strip_html(card["place"]), F.lit("Remote")),
-        url=F.split_part(card["href"], F.lit("?"), F.lit(1)),
+        markup=(),
+        company=F.coalesce("company", F.lit("")),
+        title=F.col("name"),
+        location=F.coalesce("place", F.lit("Remote")),
+        url=F.split_part("href", F.lit("?"), F.lit(1)),
     )

@@ -6,12 +6,15 @@ one, so a number where text should be is skipped, not printed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions.bind import let
-from siftwell.functions.dates import number_to_timestamp, text_to_timestamp
-from siftwell.functions.text import is_blank
+from siftwell.functions.dates import number_to_timestamp, trimmed_to_timestamp
+from siftwell.functions.text import MAX_DESCRIPTION_CHARS, is_blank, trim_space, with_plain_text
 from siftwell.operators.unnest import unnest
 from siftwell.schema import POSTING_COLUMNS
 
@@ -29,14 +32,15 @@ def kind(value: Column) -> Column:
 
 
 def names_number(kind_name: Column) -> Column:
-    return kind_name.rlike(r"^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return kind_name.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind_name, F.lit("DECIMAL"))
 
 
 def is_number(value: Column) -> Column:
     return names_number(kind(value))
 
 
-def string_or_null(value: Column) -> Column:
+def as_text(value: Column) -> Column:
+    """The value if it is a JSON string, else NULL."""
     return F.when(kind(value) == "STRING", value.cast("string"))
 
 
@@ -48,66 +52,49 @@ def one_value(c: Column) -> Column:
     )
 
 
-def text(raw: Column, path: str) -> Column:
-    """The field if it is a JSON string, else NULL."""
-    return let(field(raw, path), lambda v: F.when(v.isNotNull(), string_or_null(v)))
-
-
 def number_text(value: Column) -> Column:
     """A number the way it is written in a document, without a trailing fraction of zeros."""
     whole = value.cast("double")
     return F.when(whole == F.floor(whole), F.floor(whole).cast("string")).otherwise(value.cast("string"))
 
 
-def scalar_text(raw: Column, path: str) -> Column:
+def as_scalar(value: Column) -> Column:
     """Any scalar as text; NULL for null, objects and arrays."""
+    k = kind(value)
+    return F.when(k.isin("STRING", "BOOLEAN"), value.cast("string")).when(names_number(k), number_text(value))
 
-    def shown(value: Column) -> Column:
-        return let(
-            kind(value),
-            lambda k: F.when(k.isin("STRING", "BOOLEAN"), value.cast("string")).when(names_number(k), number_text(value)),
-        )
 
-    return let(field(raw, path), lambda v: F.when(v.isNotNull(), shown(v)))
+def as_number(value: Column) -> Column:
+    return F.when(is_number(value), value.cast("double"))
 
 
-def truthy(raw: Column, path: str) -> Column:
+def is_truthy(value: Column) -> Column:
     """Present and neither null, false, 0 nor the empty string."""
-
-    def holds(value: Column) -> Column:
-        return let(
-            kind(value),
-            lambda k: F.when(k == "BOOLEAN", value.cast("boolean"))
-            .when(k == "STRING", value.cast("string") != "")
-            .when(names_number(k), value.cast("double") != 0)
-            .otherwise(k != "VOID"),
-        )
-
-    return let(field(raw, path), lambda v: F.coalesce(F.when(v.isNotNull(), holds(v)), F.lit(False)))
+    k = kind(value)
+    holds = (
+        F.when(k == "BOOLEAN", value.cast("boolean"))
+        .when(k == "STRING", value.cast("string") != "")
+        .when(names_number(k), value.cast("double") != 0)
+        .otherwise(k != "VOID")
+    )
+    return F.coalesce(F.when(value.isNotNull(), holds), F.lit(False))
 
 
-def first_present(raw: Column, *paths: str) -> Column:
-    """First field that is there and not null."""
-    return F.coalesce(*[F.when(~F.is_variant_null(field(raw, p)), field(raw, p)) for p in paths])
+# The same for a field of an object that is not taken apart by :func:`explode_list`.
+def text(raw: Column, path: str) -> Column:
+    return let(field(raw, path), as_text)
 
 
-def moment(raw: Column, *paths: str) -> Column:
-    """Timestamp from the first field present, by its JSON type."""
-    return let(
-        first_present(raw, *paths),
-        lambda v: F.when(is_number(v), number_to_timestamp(v.cast("double"))).when(
-            kind(v) == "STRING", text_to_timestamp(v.cast("string"))
-        ),
-    )
+def scalar_text(raw: Column, path: str) -> Column:
+    return let(field(raw, path), as_scalar)
 
 
-def text_list(raw: Column, path: str) -> Column:
-    """The field if it is an array, else NULL."""
-    return F.try_variant_get(raw, f"$.{path}", "array<string>")
+def truthy(raw: Column, path: str) -> Column:
+    return let(field(raw, path), is_truthy)
 
 
-def remote(raw: Column, path: str) -> Column:
-    return F.when(truthy(raw, path), F.lit("Remote"))
+def remote(flag: str) -> Column:
+    return F.when(F.col(flag), F.lit("Remote"))
 
 
 def not_blank(c: Column) -> Column:
@@ -118,16 +105,58 @@ def documents(bronze: DataFrame, source: str) -> DataFrame:
     return bronze.where(F.col("source") == source)
 
 
-def explode_list(bronze: DataFrame, source: str, path: str | None) -> DataFrame:
-    """One row per list element, as ``raw``, with ``company`` and ``seq``.
+# Read a field as a list of texts, or NULL if it is no array.
+TEXT_LIST = "array<string>"
+
+# Where a field is (the first path that is there and not null), and how its value is read.
+Fields = dict[str, tuple[str | tuple[str, ...], Callable[[Column], Column] | str]]
+
+
+def dates(*paths: str) -> Fields:
+    """The fields that :func:`moment` reads."""
+    return {"date_number": (paths, as_number), "date_text": (paths, lambda v: trim_space(as_text(v)))}
+
+
+def moment() -> Column:
+    """Timestamp from the first field present, by its JSON type."""
+    number = F.col("date_number")
+    return F.when(number.isNotNull(), number_to_timestamp(number)).otherwise(trimmed_to_timestamp(F.col("date_text")))
+
+
+def _type_of(members: dict) -> str:
+    inner = ", ".join(f"`{n}`: {_type_of(t) if isinstance(t, dict) else t}" for n, t in members.items())
+    return f"struct<{inner}>"
+
+
+def explode_list(bronze: DataFrame, source: str, path: str | None, fields: Fields) -> DataFrame:
+    """One row per list element, with ``company``, ``seq`` and its ``fields``.
 
     ``path`` names the list inside the document; None means the document is the list. Anything
-    that is no list gives no rows.
+    that is no list gives no rows. The list is cast once to structs of the fields asked for, so an
+    element is not searched again for each of them, and columns made of them are compiled.
     """
+    members: dict = {}
+    for paths, how in fields.values():
+        for one in [paths] if isinstance(paths, str) else paths:
+            *above, last = one.split(".")
+            inner = members
+            for name in above:
+                inner = inner.setdefault(name, {})
+            inner[last] = how if isinstance(how, str) else "variant"
     parsed = F.try_parse_json(F.col("payload"))
-    items = F.try_variant_get(parsed, "$" if path is None else f"$.{path}", "array<variant>")
+    items = F.try_variant_get(parsed, "$" if path is None else f"$.{path}", f"array<{_type_of(members)}>")
     rows = unnest(documents(bronze, source), items, "_pos", "raw")
-    return rows.select("company", document_seq(F.col("seq"), F.col("_pos")).alias("seq"), "raw")
+
+    def value(one: str) -> Column:
+        return reduce(lambda c, name: c[name], one.split("."), F.col("raw"))
+
+    def read(paths: str | tuple[str, ...], how: Callable[[Column], Column] | str) -> Column:
+        if isinstance(paths, str):
+            return value(paths) if isinstance(how, str) else how(value(paths))
+        return how(F.coalesce(*[F.when(~F.is_variant_null(value(p)), value(p)) for p in paths]))
+
+    columns = [read(*given).alias(name) for name, given in fields.items()]
+    return rows.select("company", document_seq(F.col("seq"), F.col("_pos")).alias("seq"), *columns)
 
 
 def document_seq(seq: Column, pos: Column) -> Column:
@@ -137,8 +166,8 @@ def document_seq(seq: Column, pos: Column) -> Column:
     )
 
 
-def as_postings(rows: DataFrame, source: str, rank: int, **columns: Column) -> DataFrame:
-    """Project to the posting schema; columns not given are NULL."""
+def as_postings(rows: DataFrame, source: str, rank: int, markup: tuple[str, ...] = ("description",), **columns: Column) -> DataFrame:
+    """Project to the posting schema; columns not given are NULL, those with ``markup`` become plain text of bounded width."""
     defaults = {
         "source": F.lit(source),
         "source_rank": F.lit(rank),
@@ -148,7 +177,8 @@ def as_postings(rows: DataFrame, source: str, rank: int, **columns: Column) -> D
         "posted_at": F.lit(None).cast("timestamp"),
         "description": F.lit(""),
     }
-    return rows.select(*[{**defaults, **columns}[c].alias(c) for c in POSTING_COLUMNS])
+    postings = rows.select(*[{**defaults, **columns}[c].alias(c) for c in POSTING_COLUMNS])
+    return with_plain_text(postings, *markup, limit=MAX_DESCRIPTION_CHARS) if markup else postings
 
 
 def valid(postings: DataFrame, need_url: bool = True) -> DataFrame:
