@@ -20,12 +20,13 @@ pair at 0.8 shares no key with probability (1 - 0.8 ** 6) ** 32 < 1e-4, whatever
 edit. One bit per minimum is the entry's sketch; pairs whose sketches differ by four standard
 deviations more than expected, or whose sets are too unequal in size, are left alone, all others are
 decided by their whole sets of shingles.
-This goes in rounds: every entry of a key names its first entries of other components (one in the
-first rounds, ``QUOTA_GROWS`` times as many in each that follows), the named pairs are compared and
-components joined, and keys that named a pair are walked again, without the pairs that were refuted.
-The rounds end when no key names a pair, so no pair that met is left out. The first two rounds look
-at all keys, the rest only at the rows and texts that these left undecided, with sketches of ``WIDE``
-bits, so that texts that are alike to 0.7 do not have to be read pair by pair.
+Two passes, over a few keys and then over the others, settle most: every entry of a key names its
+first entry of another component, the named pairs are compared and components joined. What shares a
+key that still holds two components is then brought together, once and with its whole sets: entries
+linked by such keys are a family, and in it every pair of components that sizes and sketches allow
+is compared inside a task, which returns links only. A family of more than ``BLOCK`` entries is dealt
+to blocks, and every pair of blocks is a group of its own. So no pair that met is left out, and the
+rows that move grow with the pairs of blocks, not of texts.
 
 Cases: a text of fewer words than a shingle is one shingle; no words (null, empty, white space)
 give fingerprint zero, which links like any other. A row with a null id gets the component of its
@@ -59,9 +60,12 @@ BANDS = 32
 BAND_ROWS = 6
 # The first round looks at so many keys of a text, the second at the others.
 KEYS_AT_FIRST = 4
-# Later rounds let an entry name so many times the others that the round before did.
-QUOTA_GROWS = 4
-# Bits of the sketches that the later rounds compare, and sets whose bits are found at once.
+# Entries of a family, and hashes of their sets, that a block holds, about.
+BLOCK = 2048
+BLOCK_HASHES = 1 << 20
+# Families of so many entries compare sketches of ``WIDE`` bits before sets.
+WIDE_FROM = 64
+# Bits of those sketches, and sets whose bits are found at once.
 WIDE = 1024
 SETS_AT_ONCE = 512
 # Links that one task joins.
@@ -470,6 +474,121 @@ def _compared(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return both.mapInArrow(run, "a long, b long, same boolean")
 
 
+def linked_sets(
+    sets: list[np.ndarray], sketch: np.ndarray | None, component: np.ndarray, block: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links, as indices, that join the components of similar sets: of one block all pairs count, of two
+    blocks those between them. Pairs inside a component, also one that was just joined, are not looked at."""
+    size = np.array([len(x) for x in sets], np.int64)
+    rank = np.argsort(size, kind="stable")
+    size, label, block = size[rank], component[rank], block[rank]
+    sketch = None if sketch is None else sketch[rank]
+    hashes, place = np.unique(np.concatenate([sets[i] for i in rank]), return_inverse=True)
+    places = np.split(place, np.cumsum(size)[:-1])
+    held = np.zeros(len(hashes), bool)
+    least, across = similarity * size, block.min() < block.max()
+    a, b = [], []
+    for x in range(len(rank) - 1):
+        y = np.arange(x + 1, np.searchsorted(least, size[x], side="right"))
+        y = y[label[y] != label[x]]
+        if across:
+            y = y[block[y] != block[x]]
+        if sketch is not None and len(y):
+            y = y[_may_be_near(sketch, size, np.full(len(y), x), y, similarity)]
+        if not len(y):
+            continue
+        held[places[x]] = True
+        # The texts of a piece have about COUNT_AT_ONCE hashes.
+        for some in np.split(y, np.flatnonzero(np.diff(np.cumsum(size[y]) // COUNT_AT_ONCE)) + 1):
+            found = held[np.concatenate([places[i] for i in some])]
+            shared = np.add.reduceat(found, np.r_[0, np.cumsum(size[some])[:-1]], dtype=np.int64)
+            some = some[shared >= similarity * (size[x] + size[some] - shared)]
+            other, first = np.unique(label[some], return_index=True)
+            new = other != label[x]
+            a.append(np.full(int(new.sum()), x))
+            b.append(some[first[new]])
+            if new.any():
+                label[np.isin(label, other)] = label[x]
+        held[places[x]] = False
+    none = [np.zeros(0, np.int64)]
+    return rank[np.concatenate(a or none)], rank[np.concatenate(b or none)]
+
+
+def _families(held: DataFrame, refuted: DataFrame) -> DataFrame:
+    """(``entry``, ``family``) of the entries that share a key with another component, directly or through others.
+
+    ``held`` has ``key``, ``entry`` and ``component``. A key of two entries that are in ``refuted`` (``a``, ``b``) is decided."""
+    low, high = F.min("entry").alias("low"), F.when(F.count(F.lit(1)) == 2, F.max("entry")).alias("high")
+    undecided = held.groupBy("key").agg(low, high, (F.min("component") != F.max("component")).alias("mixed")).where("mixed")
+    gone = refuted.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
+    undecided = undecided.join(gone, ["low", "high"], "left_anti").select("key", F.col("low").alias("b"))
+    near = _joined_links(cut_lineage(held.join(undecided, "key").select(F.col("entry").alias("a"), "b").distinct()))
+    first = near.select(F.col("component").alias("node"), "component").distinct()
+    return near.unionByName(first).select(F.col("node").alias("entry"), F.col("component").alias("family"))
+
+
+def _family_links(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(``a``, ``b``): links that join what is similar in each family, from its ``entry``, ``text``, ``component``,
+    ``family``, the number ``n`` of its entries and the number of ``blocks`` they are dealt to."""
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["entry", "component", "family", "blocks", "sets", "sketch"]
+        for batch in batches:
+            at = 0
+            for group in _batched(batch.column(4), lambda t: shingle_set(t, shingle)):
+                rows = batch.slice(at, len(group))
+                at += len(group)
+                large = np.flatnonzero(rows.column(5).to_numpy(zero_copy_only=False) >= WIDE_FROM).tolist()
+                sketch: list = [None] * len(group)
+                for i, bits in zip(large, wide_sketches([group[i] for i in large]), strict=True):
+                    sketch[i] = bits
+                sets = pa.array([s.tobytes() for s in group], pa.binary())
+                yield pa.RecordBatch.from_arrays([*rows.columns[:4], sets, pa.array(sketch, pa.binary())], names)
+        hand_back()
+
+    def linked(rows: pa.RecordBatch) -> list[np.ndarray]:
+        entry, component, block = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("entry", "component", "block"))
+        sketch = rows.column("sketch").to_pylist()
+        wide = None if sketch[0] is None else np.frombuffer(b"".join(sketch), np.uint64).reshape(len(sketch), -1)
+        sets = [np.frombuffer(s, np.uint64) for s in rows.column("sets").to_pylist()]
+        return [entry[x] for x in linked_sets(sets, wide, component.copy(), block, similarity)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups come in order; those that are complete are compared as soon as a batch has them."""
+        kept: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("family", "low", "high")]
+            changes = np.any([x[1:] != x[:-1] for x in group], axis=0)
+            first = [0, *(np.flatnonzero(changes) + 1).tolist()]
+            if last is not None and last != tuple(x[0] for x in group):
+                yield stars([pa.concat_batches(kept)])
+                kept = []
+            if len(first) > 1:
+                whole = [pa.concat_batches([*kept, batch.slice(0, first[1])])]
+                yield stars(whole + [batch.slice(at, end - at) for at, end in zip(first[1:-1], first[2:], strict=True)])
+                kept = []
+            kept.append(batch.slice(first[-1]))
+            last = tuple(x[-1] for x in group)
+        if kept:
+            yield stars([pa.concat_batches(kept)])
+        hand_back()
+
+    def stars(groups: list[pa.RecordBatch]) -> pa.RecordBatch:
+        a, b = (np.concatenate(side) for side in zip(*map(linked, groups), strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    kinds = "entry long, component long, family long, blocks long, sets binary, sketch binary"
+    sets = members.select("entry", "component", "family", "blocks", "text", "n").mapInArrow(widen, kinds)
+    dealt = sets.withColumn("block", F.pmod(F.xxhash64("entry"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks")
+    dealt = dealt.repartition(F.xxhash64("family", "low", "high")).sortWithinPartitions("family", "low", "high")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def _joined_links(edges: DataFrame) -> DataFrame:
     """``components`` of edges, after those of each part were replaced by a spanning star per group in it.
 
@@ -522,13 +641,6 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
                 )
         hand_back()
 
-    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = _batched(batch.column(1), lambda t: shingle_set(t, shingle))
-            sketch = [s for group in groups for s in wide_sketches(group)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sketch, pa.binary())], ["entry", "text", "sketch"])
-        hand_back()
-
     kinds = "doc long, body long, entry long, keys array<long>, sketch binary, size long"
     prints = cut_lineage(source.mapInArrow(run, kinds))
     firsts = [F.first(name).alias(name) for name in ("keys", "sketch", "size")]
@@ -542,26 +654,13 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
         same_row = (F.col("row.body") == F.col("body")) & F.col("row.doc").eqNullSafe(F.col("doc"))
         return rows.join(source, same_row).select("entry", "text").dropDuplicates(["entry"])
 
+    def with_links(new: DataFrame, found: DataFrame | None) -> DataFrame:
+        return _joined_links(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
     # A few keys at first: what they bring together needs no pair under the other keys.
-    pending = [F.slice("keys", 1, KEYS_AT_FIRST), F.slice("keys", KEYS_AT_FIRST + 1, BANDS)]
-    found, compared, named, quota = None, [], [], 1
-    walkable = texts = None
-    while True:
-        passing = bool(pending)
-        if passing:
-            rows = entries.select("entry", "sketch", "size", F.explode(pending.pop(0)).alias("key"))
-        else:
-            # Keys without a pair hold nothing undecided, now and later: neither do the rows and texts left behind.
-            walked = unioned(named).select("key").distinct()
-            if walkable is None:
-                held = cut_lineage(entries.select("entry", "size", F.explode("keys").alias("key")).join(walked, "key", "left_semi"))
-                alive = cut_lineage(held.select("entry").distinct())
-                texts = texts_of(alive, alive.count() <= SENT_TO_ALL).mapInArrow(widen, "entry long, text string, sketch binary")
-                texts = cut_lineage(texts)
-                walkable = rows = cut_lineage(held.join(texts.select("entry", "sketch"), "entry"))
-            else:
-                rows = walkable.join(walked, "key", "left_semi")
-            named = []
+    found, compared, named = None, [], []
+    for keys in (F.slice("keys", 1, KEYS_AT_FIRST), F.slice("keys", KEYS_AT_FIRST + 1, BANDS)):
+        rows = entries.select("entry", "sketch", "size", F.explode(keys).alias("key"))
         if compared:
             rows = rows.join(found, F.col("entry") == F.col("node"), "left")
             gone = unioned(compared).where(~F.col("same"))
@@ -571,21 +670,30 @@ def _similar(documents: DataFrame, doc_id: str, text: str, shingle: int, similar
             rows = rows.withColumn("component", F.coalesce("component", "entry"))
         else:
             rows = rows.withColumns({"component": F.col("entry"), "refuted": F.lit(None).cast("array<long>")})
-        named.append(cut_lineage(_named_pairs(rows, similarity, quota)))
-        # What an entry names beyond its quota, under other keys, waits for the next round.
-        firsts = F.slice(F.array_sort(F.collect_set("b")), 1, quota)
-        asked = cut_lineage(named[-1].groupBy("a").agg(firsts.alias("b")).select("a", F.explode("b").alias("b")))
+        named.append(cut_lineage(_named_pairs(rows, similarity, 1)))
+        # What an entry names under other keys waits for the families.
+        asked = cut_lineage(named[-1].groupBy("a").agg(F.min("b").alias("b")))
         number = asked.count()
         if number:
-            read = texts
-            if read is None:
-                read = texts_of(asked.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), 2 * number <= SENT_TO_ALL)
+            read = texts_of(asked.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), 2 * number <= SENT_TO_ALL)
             compared.append(cut_lineage(_compared(asked, read, shingle, similarity)))
-            new = compared[-1].where("same").select("a", "b")
-            found = _joined_links(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        elif not passing:
-            break
-        quota *= 1 if pending else QUOTA_GROWS
+            found = with_links(compared[-1].where("same").select("a", "b"), found)
+    if compared:
+        # Keys that named no pair hold nothing undecided.
+        walked = unioned(named).select("key").distinct()
+        held = entries.select("entry", F.explode("keys").alias("key")).join(walked, "key", "left_semi")
+        held = held.join(found, F.col("entry") == F.col("node"), "left")
+        held = cut_lineage(held.select("key", "entry", F.coalesce("component", "entry").alias("component")))
+        members = _families(held, unioned(compared).where(~F.col("same")))
+        members = cut_lineage(members.join(entries.select("entry", "size"), "entry"))
+        shape = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("hashes"))
+        blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("hashes") / BLOCK_HASHES)).alias("blocks")
+        members = members.join(shape.select("family", "n", blocks), "family").join(found, F.col("entry") == F.col("node"), "left")
+        members = cut_lineage(members.select("entry", "family", "n", "blocks", F.coalesce("component", "entry").alias("component")))
+        number = members.count()
+        if number:
+            read = texts_of(members.select("entry"), number <= SENT_TO_ALL).join(members, "entry")
+            found = with_links(cut_lineage(_family_links(read, shingle, similarity)), found)
     if found is None:
         return prints.select("doc", "body", F.col("entry").alias("component"))
     return prints.join(found, prints["entry"] == found["node"], "left").select(

@@ -186,3 +186,61 @@ def test_links_joined_in_parts(spark, monkeypatch):
     assert dict(map(tuple, simhash._joined_links(frame).collect())) == whole
     assert whole == dict(map(tuple, components.components(frame).collect()))
     assert simhash._joined_links(frame.limit(0)).count() == 0
+
+
+def alike_but_not_near(rng, side):
+    """``side`` ** 2 texts of pairwise similarity 0.73 or 0.77, and two copies of every tenth with one word replaced."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(200)]
+    texts = []
+    for x in range(side):
+        for y in range(side):
+            # Two texts share one of their three places at most.
+            text = list(base)
+            for at in (x, side + y, 2 * side + (x + y) % side):
+                text[5 * at + 5] = word()
+            texts.append(text)
+    texts += [text[:2] + [word()] + text[3:] for text in texts[::10] for _ in range(2)]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def smallest_similar(rows):
+    near = {(i, j) for i, s in rows for j, t in rows if j < i and jaccard(s, t) >= 0.8}
+    return smallest_reachable(len(rows), lambda i, j: (i, j) in near or (j, i) in near)
+
+
+def test_pairs_of_a_large_group_of_alike_texts_are_no_rows(spark, docs, monkeypatch):
+    rows = alike_but_not_near(random.Random(11), 11)
+    label = smallest_similar(rows)
+    asked, compared = [], simhash._compared
+    monkeypatch.setattr(simhash, "_compared", lambda pairs, *rest: asked.append(pairs.count()) or compared(pairs, *rest))
+    got = dict(map(tuple, simhash.similar_documents(docs(rows)).collect()))
+    assert [got[i] for i in range(len(rows))] == label
+    assert len(set(label)) > 50
+    assert sum(asked) <= 2 * len(rows)
+
+
+def test_families_in_blocks_lose_no_link(spark, docs, monkeypatch):
+    rows = alike_but_not_near(random.Random(12), 8)
+    label = smallest_similar(rows)
+    monkeypatch.setattr(simhash, "BLOCK", 9)
+    got = dict(map(tuple, simhash.similar_documents(docs(rows)).collect()))
+    assert [got[i] for i in range(len(rows))] == label
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_linked_sets_match_all_pairs(blocks):
+    rng = np.random.default_rng(blocks)
+    for n in (2, 9, 40):
+        base = rng.integers(0, 1 << 62, 150, dtype=np.uint64)
+        sets = [np.unique(np.r_[rng.permutation(base)[rng.integers(5, 40) :], rng.integers(0, 1 << 62, 5, dtype=np.uint64)]) for _ in range(n)]
+        component, block = rng.integers(0, n, n), np.arange(n) % blocks
+        same = lambda i, j: len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) >= 0.8
+        linked = lambda i, j: component[i] == component[j] or ((blocks == 1 or block[i] != block[j]) and same(i, j))
+        wide = np.frombuffer(b"".join(simhash.wide_sketches(sets)), np.uint64).reshape(n, -1)
+        for sketch in (None, wide):
+            a, b = simhash.linked_sets(sets, sketch, component.copy(), block, 0.8)
+            stars = set(zip(a.tolist(), b.tolist())) | set(zip(b.tolist(), a.tolist()))
+            joined = smallest_reachable(n, lambda i, j: component[i] == component[j] or (i, j) in stars)
+            assert joined == smallest_reachable(n, linked)
+            assert len(a) < len(np.unique(component))
