@@ -166,3 +166,11 @@ def test_budgeted_take_equals_a_loop(spark, budget):
         used += status in ("applied", "dry-run")
     got = ordering.budgeted_take(df, F.struct("ord"), F.col("status").isin("applied", "dry-run"), budget)
     assert sorted(r["ord"] for r in got.collect()) == want
+
+
+def test_names_join_the_lines_after_the_dates(spark):
+    from siftwell.catalog.inputs import postings_star
+
+    plan = postings_star(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "p_partkey" in joins[0] and "l_orderkey" in joins[-1]
