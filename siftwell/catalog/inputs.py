@@ -25,19 +25,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def postings_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+def postings_star(spark: SparkSession, sf_dir: str, by_supplier: DataFrame | None = None) -> DataFrame:
     """One posting per order line: company, title, place and date come from the joined tables.
 
     Part, supplier and orders grow with the data, so their join strategy is left to the
     optimizer's size check. Orders come first and part last, so that shuffles for the joins
-    carry keys and dates, not names.
+    carry keys and dates, not names. Lines are dealt by their order once, which serves the
+    aggregate and the join.
+
+    ``by_supplier`` has ``s_suppkey`` and columns to add; it is joined while rows lie by supplier.
     """
     lines = (
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        .repartition("l_orderkey")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(F.min("l_partkey").alias("p_partkey"), F.min("l_suppkey").alias("s_suppkey"))
     )
-    joined = (
+    supplied = (
         lines.join(
             table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey"
         )
@@ -46,7 +51,13 @@ def postings_star(spark: SparkSession, sf_dir: str) -> DataFrame:
             table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey"), "s_nationkey"
         )
         .join(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
-        .join(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand"), "p_partkey")
+    )
+    added = [] if by_supplier is None else [c for c in by_supplier.columns if c != "s_suppkey"]
+    if by_supplier is not None:
+        # Names of their own: the star has a region already.
+        supplied = supplied.join(by_supplier.withColumnsRenamed({c: f"_{c}" for c in added}), "s_suppkey")
+    joined = (
+        supplied.join(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand"), "p_partkey")
     )
     return joined.select(
         F.expr("concat('src', l_orderkey % 16)").alias("source"),
@@ -74,6 +85,7 @@ def postings_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         "p_partkey",
         "s_suppkey",
+        *[F.col(f"_{c}").alias(c) for c in added],
     )
 
 

@@ -17,19 +17,25 @@ posts AS (SELECT *, l_orderkey * 1000000 + row_number() OVER (PARTITION BY l_ord
   'co' || l_orderkey AS slug, strftime(posted_at, '%Y-%m-%d') AS day FROM star)"""
 
 
-def posts(spark, sf_dir) -> DataFrame:
-    star = postings_star(spark, sf_dir)
-    return star.select("*", F.expr("concat('co', l_orderkey)").alias("slug"), F.date_format("posted_at", "yyyy-MM-dd").alias("day"))
+SLUG = "concat('co', l_orderkey)"
+
+
+def posts(spark, sf_dir, by_supplier: DataFrame | None = None) -> DataFrame:
+    star = postings_star(spark, sf_dir, by_supplier)
+    return star.select("*", F.expr(SLUG).alias("slug"), F.date_format("posted_at", "yyyy-MM-dd").alias("day"))
 
 
 def one_document_per_order(rows: DataFrame, source: str, item: Column, wrap) -> DataFrame:
-    """Bronze rows: the (at most seven) lines of an order make one document of one company."""
-    items = rows.select("l_orderkey", "slug", F.struct("l_linenumber", item.alias("item")).alias("line"))
-    grouped = items.groupBy("l_orderkey", "slug").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    """Bronze rows: the (at most seven) lines of an order make one document of one company.
+
+    The company's slug follows from the order, so the shuffle does not carry it.
+    """
+    items = rows.select("l_orderkey", F.struct("l_linenumber", item.alias("item")).alias("line"))
+    grouped = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     listed = F.transform("lines", lambda x: x["item"])
     return grouped.select(
         F.lit(source).alias("source"),
-        F.col("slug").alias("company"),
+        F.expr(SLUG).alias("company"),
         F.lit("").alias("url"),
         wrap(listed).alias("payload"),
         F.col("l_orderkey").alias("seq"),
@@ -193,7 +199,10 @@ def src_recruitee(spark, sf_dir):
 )
 def src_smartrecruiters(spark, sf_dir):
     """Details exist for most postings but are read for plausible titles only."""
-    rows = posts(spark, sf_dir)
+    region = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    ).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "r_name")
+    rows = posts(spark, sf_dir, region).withColumn("location", F.col("r_name"))
     title = "case when l_linenumber % 3 = 0 then concat('React ', title) else title end"
     item = item_of(
         id="case when seq % 2 = 0 then cast(seq as string) else cast(seq as string) end",
@@ -202,10 +211,6 @@ def src_smartrecruiters(spark, sf_dir):
         location="named_struct('city', source, 'country', lower(regexp_replace(location, '^Remote, | US only$', '')), 'remote', l_linenumber % 2 = 1)",
         company="case when l_linenumber % 2 = 0 then named_struct('name', company) end",
     )
-    region = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    ).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "r_name")
-    rows = rows.join(region, "s_suppkey").withColumn("location", F.col("r_name"))
     sections = "named_struct('b', named_struct('title', 'Tasks', 'text', concat('<p>', title, '</p>')), 'a', named_struct('title', 'About', 'text', company))"
     details = rows.where("seq % 7 <> 0").select(
         F.col("slug").alias("company"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions.dates import trimmed_to_timestamp
@@ -192,7 +192,10 @@ SECTIONS = "jobAd struct<sections map<string, struct<title string, text string>>
 
 
 def detail_texts(details: DataFrame) -> DataFrame:
-    """Plain text per detail document (``company, id, payload``): its sections in document order."""
+    """Plain text per key of a detail document (``company, id, payload``): its sections in document order.
+
+    Texts are grouped by the key that postings are joined on, so they are shuffled once.
+    """
     sections = F.map_values(F.from_json("payload", SECTIONS)["jobAd"]["sections"])
     blank = F.lit("")
     joined = F.array_join(
@@ -201,10 +204,14 @@ def detail_texts(details: DataFrame) -> DataFrame:
         ),
         "\n",
     )
-    texts = details.select("company", "id", pick_string(joined).alias("detail"))
+    texts = details.select(detail_key().alias("_key"), pick_string(joined).alias("detail"))
     texts = with_plain_text(texts, "detail", limit=MAX_DESCRIPTION_CHARS)
     # A document that landed twice counts once.
-    return texts.groupBy("company", "id").agg(F.max("detail").alias("detail"))
+    return texts.groupBy("_key").agg(F.max("detail").alias("detail"))
+
+
+def detail_key() -> Column:
+    return F.concat_ws("\u0001", "company", "id")
 
 
 def from_smartrecruiters(bronze: DataFrame, details: DataFrame) -> DataFrame:
@@ -227,12 +234,14 @@ def from_smartrecruiters(bronze: DataFrame, details: DataFrame) -> DataFrame:
         },
     )
     # Postings that need no detail get a key of their own: it matches nothing and spreads.
-    pair = F.concat_ws("\u0001", "company", "id")
     own = F.concat(F.lit("\u0000"), F.col("seq").cast("string"))
     wants = F.col("title").rlike(DETAIL_TITLES) & F.col("id").isNotNull()
-    rows = rows.withColumn("_key", F.when(wants, pair).otherwise(own))
-    found = detail_texts(details).select(pair.alias("_key"), "detail")
-    rows = rows.join(found, "_key", "left")
+    place = join_parts([F.col("city"), F.upper("country"), remote("is_remote")], ", ")
+    rows = rows.select(
+        "seq", "company", "id", "title", "named", place.alias("place"), moment().alias("moment"),
+        F.when(wants, detail_key()).otherwise(own).alias("_key"),
+    )
+    rows = rows.join(detail_texts(details), "_key", "left")
     named = F.col("named")
     return valid(
         as_postings(
@@ -241,9 +250,9 @@ def from_smartrecruiters(bronze: DataFrame, details: DataFrame) -> DataFrame:
             _rank("smartrecruiters"),
             company=F.when(named != "", named).otherwise(F.col("company")),
             title=F.col("title"),
-            location=join_parts([F.col("city"), F.upper("country"), remote("is_remote")], ", "),
+            location=F.col("place"),
             url=F.coalesce(F.concat(F.lit(SMART_URL), F.col("company"), F.lit("/"), F.col("id")), F.lit("")),
-            posted_at=moment(),
+            posted_at=F.col("moment"),
             markup=(),
             description=F.coalesce("detail", F.lit("")),
         )

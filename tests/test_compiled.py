@@ -16,6 +16,16 @@ def landed(spark, source, payload):
     return spark.createDataFrame([row], "source string, company string, url string, payload string, seq bigint")
 
 
+@pytest.fixture
+def without_broadcasts(spark):
+    """Joins as they are planned for large tables."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize("source", READ)
 def test_no_reader_binds_values_in_lambdas(spark, source):
     """A bound value (``let``) is a lambda, which Spark interprets for every row."""
@@ -71,3 +81,12 @@ def test_plain_text_by_columns_is_that_of_the_expression(spark):
         assert r["x"] == r["e"] == r["y"]
     cut = with_plain_text(spark.createDataFrame([("<b>abcdef</b>",)], "x string"), "x", limit=3).first()["x"]
     assert cut == "abc" + CUT_MARK
+
+
+def test_details_are_shuffled_once(spark, without_broadcasts):
+    """Texts of details are grouped by the key that postings are joined on."""
+    details = spark.createDataFrame([("orbit", "1", "{}"), ("orbit", "1", "{}")], "company string, id string, payload string")
+    bronze = landed(spark, "smartrecruiters", json.dumps({"content": [{"id": "1", "name": "React Lead"}]}))
+    frame = boards.from_smartrecruiters(bronze, details)
+    assert frame.count() == 1
+    assert frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
