@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftwell.functions.text import CUT_MARK, strip_html, with_plain_text
-from siftwell.sources import boards, collect
+from siftwell.operators.pages import extract_jsonld, values_of
+from siftwell.sources import boards, collect, jsonld
 
 READ = ["greenhouse", "lever", "ashby", "workable", "recruitee", "personio", "remotive", "remoteok", "arbeitnow", "himalayas", "jobicy", "linkedin", "smartrecruiters"]
 
@@ -90,3 +91,47 @@ def test_details_are_shuffled_once(spark, without_broadcasts):
     frame = boards.from_smartrecruiters(bronze, details)
     assert frame.count() == 1
     assert frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
+def objects(spark, *values):
+    rows = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "seq bigint, j string")
+    return rows.select(F.lit("s").alias("source"), F.lit("https://x.example/p").alias("page_url"), F.lit("F").alias("fallback_company"), "seq", F.try_parse_json("j").alias("o"))
+
+
+def test_jsonld_objects_are_read_by_columns(spark):
+    """Only lists (places, employment types) are left to lambdas."""
+    frame = jsonld.from_jsonld(objects(spark, {})).select("seq", "company", "title", "url", "posted_at", "salary")
+    assert "lambda" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+PLACES = [
+    None, "Oslo", 7, {}, {"name": "Hall"}, {"address": "Street 1"}, {"address": None, "name": "Hall"}, {"address": None, "addressLocality": "Riga"},
+    {"address": {"addressLocality": 5, "addressCountry": {"name": "NO"}}}, {"address": {}, "name": "Hall"}, {"address": 3, "name": "Hall"}, {"address": ""},
+    {"address": {"addressLocality": "", "addressCountry": "PL"}}, {"address": ["x"], "name": 4}, [], [{"name": "A"}, "B", None, {"address": {"addressCountry": "C"}}],
+]
+PAY = [
+    None, 5, {}, {"value": 5}, {"value": {}}, {"value": {"minValue": 1, "maxValue": 2.5, "unitText": "HOUR"}, "currency": "EUR"}, {"value": {"minValue": 0, "maxValue": 2}},
+    {"value": {"value": "0"}}, {"value": {"value": "", "minValue": 3}}, {"value": {"value": 3, "unitText": {"x": 1}}, "currency": ""}, {"value": {"maxValue": True, "minValue": [1]}},
+]
+
+
+def test_columns_read_what_expressions_read(spark):
+    """Places and pay by columns are those of ``place_name`` and ``salary_text``, whatever the shape."""
+    posting = {"@type": "JobPosting", "title": "t"}
+    rows = objects(spark, *[{**posting, "jobLocation": p} for p in PLACES], *[{**posting, "baseSalary": p} for p in PAY])
+    found = {r["seq"]: (r["location"], r["salary"]) for r in jsonld.from_jsonld(rows).collect()}
+    names = F.filter(F.transform(values_of(F.expr("try_variant_get(o, '$.jobLocation', 'variant')")), jsonld.place_name), lambda n: n != "")
+    pay = jsonld.salary_text(F.expr("try_variant_get(o, '$.baseSalary', 'variant')"))
+    asked = {r["seq"]: (r["p"], r["s"]) for r in rows.select("seq", F.array_join(names, " / ").alias("p"), pay.alias("s")).collect()}
+    assert found == asked
+    assert found[len(PLACES) - 1][0] == "A / B / C" and found[len(PLACES) + 5][1] == "1-2.5 EUR per hour"
+
+
+def test_types_of_employment_and_escaped_graphs(spark):
+    posting = {"@type": "JobPosting", "title": "t"}
+    kinds = [None, "A", 3, ["A", "B"], ["A", 2, 1.5, None], {"x": 1}, []]
+    rows = jsonld.from_jsonld(objects(spark, *[{**posting, "employmentType": k} for k in kinds])).orderBy("seq").collect()
+    assert [r["tags"] for r in rows] == [None, ["a"], ["3"], ["a", "b"], ["a", "2", "1.5", None], ['{"x":1}'], None]
+    # A key may be written with escapes.
+    block = '<script type="application/ld+json">{"\\u0040graph":[{"@type":"JobPosting"}]}</script>'
+    assert extract_jsonld(spark.createDataFrame([(block,)], "html string"), postings_only=True).count() == 1
