@@ -135,3 +135,23 @@ def test_types_of_employment_and_escaped_graphs(spark):
     # A key may be written with escapes.
     block = '<script type="application/ld+json">{"\\u0040graph":[{"@type":"JobPosting"}]}</script>'
     assert extract_jsonld(spark.createDataFrame([(block,)], "html string"), postings_only=True).count() == 1
+
+
+def test_candidates_are_shuffled_by_site_once(spark, without_broadcasts):
+    """Candidates go to the store first; what was landed is ranked after one shuffle by site."""
+    site = "https://www.orbit.example"
+    home = '<a href="/jobs">a</a><a href="/jobs/">b</a><a href="/team">c</a>'
+    pages = spark.createDataFrame([(f"{site}/", home), (f"{site}/jobs", "x"), (f"{site}/team", "y")], "url string, html string")
+    frame = jsonld.career_pages(spark.createDataFrame([(1, "www.orbit.example")], "site bigint, domain string"), pages)
+    assert [(r["page"], r["visit"]) for r in frame.orderBy("visit").collect()] == [(f"{site}/jobs", 1), (f"{site}/team", 2)]
+    assert frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(site") == 1
+
+
+def test_a_site_given_twice_names_its_pages_once(spark):
+    site = "https://www.orbit.example"
+    # Two landed pages of one key both count.
+    pages = spark.createDataFrame([(f"{site}/", "h"), (f"{site}/jobs", "x"), (f"{site}/jobs/", "y")], "url string, html string")
+    sites = spark.createDataFrame([(1, "www.orbit.example")] * 2, "site bigint, domain string")
+    assert sorted((r["html"], r["visit"]) for r in jsonld.career_pages(sites, pages).select("html", "visit").collect()) in (
+        [("x", 1), ("y", 2)], [("x", 2), ("y", 1)]
+    )
